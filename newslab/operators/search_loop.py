@@ -18,7 +18,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newslab import schema as S
@@ -66,7 +66,9 @@ def run_search(spark: SparkSession, vectors: DataFrame, store: str, pop_size: in
                 pred = ml.screen(model, G.distinct_candidates(pool_df))
                 best = G.topk(pred, "predicted", topk).select("cand_key", *G.GENE_COLS)
                 population = population.select("cand_key", *G.GENE_COLS).unionByName(best)
-                population = population.withColumn("slot", F.monotonically_increasing_id().cast("int"))
+                # pop_size + topk rows: a global order is cheap and deterministic
+                population = population.withColumn(
+                    "slot", (F.row_number().over(Window.orderBy("cand_key")) - 1).cast("int"))
                 population = population.withColumn("gen", F.lit(gen)).select("gen", "slot", "cand_key", *G.GENE_COLS)
         # A population is at most pop_size (+ topk) rows: pin it through the
         # driver so the next plan does not re-derive it from older files.

@@ -43,7 +43,7 @@ def hit_sql(c: str, words) -> str:
 
 
 def count_sql(c: str, words) -> str:
-    return f"len(list_filter({tokens_sql(c)}, t -> list_contains({_lst(words)}, t)))"
+    return f"len(list_filter({tokens_sql(c)}, lambda t: list_contains({_lst(words)}, t)))"
 
 
 def sentiment_sql(c: str, pos=C.POSITIVE, neg=C.NEGATIVE) -> tuple[str, str]:
@@ -68,7 +68,7 @@ def tickers_sql(text: str, tickers=C.TICKER_WORDS) -> str:
         f"CASE WHEN regexp_matches(upper(coalesce({text}, '')), '(^|[^\\pL\\pN_]){t}([^\\pL\\pN_]|$)') THEN '{t}' END"
         for t in tickers
     ]
-    return f"list_filter([{', '.join(parts)}], x -> x IS NOT NULL)"
+    return f"list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL)"
 
 
 def signal_sql(s: str, c: str) -> str:
@@ -371,9 +371,9 @@ SELECT vec_id, pred_id, CASE pred_id WHEN 0 THEN 'negatif' WHEN 1 THEN 'netral'
 FROM (
   SELECT vec_id, list_position(p, list_max(p)) - 1 AS pred_id, list_max(p) AS pmax
   FROM (
-    SELECT vec_id, list_transform(e, x -> x / (e[1] + e[2] + e[3])) AS p
-    FROM (SELECT vec_id, list_transform(l, x -> exp(x - list_max(l))) AS e
-          FROM (SELECT vec_id, list_transform(embedding[1:3], x -> CAST(x AS DOUBLE)) AS l FROM embeddings))))""")
+    SELECT vec_id, list_transform(e, lambda x: x / (e[1] + e[2] + e[3])) AS p
+    FROM (SELECT vec_id, list_transform(l, lambda x: exp(x - list_max(l))) AS e
+          FROM (SELECT vec_id, list_transform(embedding[1:3], lambda x: CAST(x AS DOUBLE)) AS l FROM embeddings))))""")
     q["news_features"] = with_ctes("SELECT news_id, tickers, sentiment, confidence, signal FROM feat")
     dom = "(SELECT * FROM (VALUES (0, 'positif'), (1, 'netral'), (2, 'negatif')) t(ord, sentiment))"
     q["sentiment_counts_filled"] = with_ctes(
@@ -403,7 +403,7 @@ SELECT 'ticker', row_number() OVER (ORDER BY first_seq, ticker), ticker, sentime
 UNION ALL
 SELECT 'ticker', 1, 'none', 'No ticker detected' WHERE NOT EXISTS (SELECT 1 FROM feat WHERE len(tickers) > 0)""")
     q["daily_sentiment"] = with_ctes("""
-SELECT CAST(created_at AS DATE) AS day,
+SELECT strftime(created_at, '%Y-%m-%d') AS day,
        count(*) FILTER (WHERE sentiment = 'positif') AS positif,
        count(*) FILTER (WHERE sentiment = 'netral') AS netral,
        count(*) FILTER (WHERE sentiment = 'negatif') AS negatif
@@ -436,10 +436,10 @@ QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY pos) <= {S.ITEMS_PER_SO
     s_t, c_t = sentiment_sql(clean_sql("title"))
     q["ingest_score_store"] = with_ctes(f"""
 SELECT h.seq, h.title, h.url, h.source, {s_t} AS sentiment, {c_t} AS confidence,
-       '[' || upper({s_t}) || '] ' || h.title AS badge, e.ts AS created_at, CAST(e.ts AS DATE) AS date
+       '[' || upper({s_t}) || '] ' || h.title AS badge, e.ts AS created_at, strftime(e.ts, '%Y-%m-%d') AS date
 FROM heads_cap h LEFT JOIN events e ON e.event_id = h.seq""", headlines=True)
     q["sink_news_roundtrip"] = with_ctes(
-        "SELECT news_id AS seq, sentiment, confidence, created_at, CAST(created_at AS DATE) AS date FROM scored")
+        "SELECT news_id AS seq, sentiment, confidence, created_at, strftime(created_at, '%Y-%m-%d') AS date FROM scored")
 
     q["stream_ingest_dedup"] = with_ctes("SELECT DISTINCT title FROM heads", headlines=True)
     q["stream_daily_sentiment"] = with_ctes(
@@ -550,9 +550,9 @@ WHERE k.cand_key NOT IN (SELECT p.cand_key FROM pop_2 p)""")
 def _encode_sql() -> str:
     body = f"""
 SELECT n.news_id,
-       (coalesce(p.ids, []::INTEGER[]) || list_transform(range({S.MAX_LENGTH}), x -> 0))[1:{S.MAX_LENGTH}] AS input_ids,
-       (list_transform(range(len(coalesce(p.ids, []::INTEGER[]))), x -> 1)
-          || list_transform(range({S.MAX_LENGTH}), x -> 0))[1:{S.MAX_LENGTH}] AS attention_mask
+       (coalesce(p.ids, []::INTEGER[]) || list_transform(range({S.MAX_LENGTH}), lambda x: 0))[1:{S.MAX_LENGTH}] AS input_ids,
+       (list_transform(range(len(coalesce(p.ids, []::INTEGER[]))), lambda x: 1)
+          || list_transform(range({S.MAX_LENGTH}), lambda x: 0))[1:{S.MAX_LENGTH}] AS attention_mask
 FROM news n LEFT JOIN (
   SELECT news_id, list(id ORDER BY pos) AS ids FROM (
     SELECT t.news_id, t.pos, CAST(v.id AS INTEGER) AS id

@@ -323,7 +323,7 @@ def ingest_score_store(spark, d):
     files.append_news(scored, store, quarantine_path=store + "-quarantine")
     out = files.load_news_store(spark, store)
     return out.select("seq", "title", "url", "source", "sentiment", "confidence", "badge", "created_at",
-                      F.col("date").cast("date").alias("date"))
+                      F.date_format(F.col("date"), "yyyy-MM-dd").alias("date"))
 
 
 @query
@@ -333,7 +333,7 @@ def sink_news_roundtrip(spark, d):
     store = scratch_path(spark, "news-sink")
     files.append_news(s, store, quarantine_path=store + "-quarantine")
     out = files.load_news_store(spark, store)
-    return out.select("seq", "sentiment", "confidence", "created_at", F.col("date").cast("date").alias("date"))
+    return out.select("seq", "sentiment", "confidence", "created_at", F.date_format(F.col("date"), "yyyy-MM-dd").alias("date"))
 
 # --------------------------------------------------------------------------- search
 
