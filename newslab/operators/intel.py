@@ -89,23 +89,35 @@ def market_briefing(features: DataFrame, seq_col: str = "news_id") -> DataFrame:
 
     total; counts in fixed order; dominant sentiment per ticker in order of
     first appearance, or one "No ticker detected" row.
+
+    One pass over the rows: they are aggregated by (sentiment, ticker set),
+    a table bounded by 3 x the number of distinct ticker subsets, and every
+    section is derived from that small table (its shuffle is reused).
     """
-    spark = features.sparkSession
-    total = features.agg(F.count(F.lit(1)).alias("n")).select(
+    combos = features.groupBy("sentiment", "tickers").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.col(seq_col)).alias("s")
+    )
+    total = combos.agg(F.sum("n").alias("n")).select(
         F.lit("total").alias("section"), F.lit(0).alias("ord"), F.lit("total").alias("key"),
-        F.col("n").cast("string").alias("value"),
+        F.coalesce(F.col("n"), F.lit(0)).cast("string").alias("value"),
     )
-    counts = sentiment_counts(features).select(
+    per_sentiment = combos.groupBy("sentiment").agg(F.sum("n").alias("n"))
+    dom_table = F.broadcast(_domain(features.sparkSession))  # three fixed rows
+    counts = dom_table.join(per_sentiment, "sentiment", "left").select(
         F.lit("sentiment").alias("section"), (F.col("ord") + 1).alias("ord"), F.col("sentiment").alias("key"),
-        F.col("n").cast("string").alias("value"),
+        F.coalesce(F.col("n"), F.lit(0)).cast("string").alias("value"),
+    )
+    per = combos.select("s", F.explode("tickers").alias("ticker"), "sentiment", "n").groupBy(
+        "ticker", "sentiment").agg(F.sum("n").alias("n"), F.min("s").alias("s"))
+    dom = per.groupBy("ticker").agg(
+        F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("sentiment"))).alias("m"), F.min("s").alias("first_seq")
     )
-    dom = ticker_dominant(features, seq_col)
     # The ticker table is bounded by the dictionary size, so a global order is cheap.
     ranked = dom.select(
         F.lit("ticker").alias("section"),
         F.row_number().over(Window.orderBy("first_seq", "ticker")).alias("ord"),
         F.col("ticker").alias("key"),
-        F.col("dominant").alias("value"),
+        F.col("m.sentiment").alias("value"),
     )
     none_row = (
         dom.agg(F.count(F.lit(1)).alias("k"))
@@ -113,7 +125,6 @@ def market_briefing(features: DataFrame, seq_col: str = "news_id") -> DataFrame:
         .select(F.lit("ticker").alias("section"), F.lit(1).alias("ord"), F.lit("none").alias("key"),
                 F.lit("No ticker detected").alias("value"))
     )
-    del spark
     return total.unionByName(counts).unionByName(ranked).unionByName(none_row)
 
 

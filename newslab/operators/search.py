@@ -203,10 +203,12 @@ def next_generation(evaluated: DataFrame, n: int, seed: int, gen: int, rate: flo
 # ---------------------------------------------------------------------------
 
 
-def scorer_features(news_df: DataFrame, positive: Sequence[str], negative: Sequence[str]) -> DataFrame:
+def scorer_features(news_df: DataFrame, positive: Sequence[str], negative: Sequence[str],
+                    by: Sequence[str] = ()) -> DataFrame:
     """Bounded integer features per news row (needs ``clean_text``, ``words``, ``label_id``)."""
     clean = F.col("clean_text")
     return news_df.select(
+        *by,
         "label_id",
         F.least(X.lexicon_count(clean, positive), F.lit(HIT_CLIP)).alias("ph"),
         F.least(X.lexicon_count(clean, negative), F.lit(HIT_CLIP)).alias("nh"),
@@ -215,9 +217,10 @@ def scorer_features(news_df: DataFrame, positive: Sequence[str], negative: Seque
     )
 
 
-def feature_vectors(news_df: DataFrame, positive: Sequence[str], negative: Sequence[str]) -> DataFrame:
-    """Distinct feature vectors with their row counts (bounded size)."""
-    return scorer_features(news_df, positive, negative).groupBy(*FEATURE_COLS).agg(
+def feature_vectors(news_df: DataFrame, positive: Sequence[str], negative: Sequence[str],
+                    by: Sequence[str] = ()) -> DataFrame:
+    """Distinct feature vectors with their row counts (bounded size per ``by`` group)."""
+    return scorer_features(news_df, positive, negative, by).groupBy(*by, *FEATURE_COLS).agg(
         F.count(F.lit(1)).alias("cnt")
     )
 
@@ -252,36 +255,51 @@ def _score_matrix(cands: np.ndarray, vec: pd.DataFrame) -> np.ndarray:
     return out
 
 
-def _sweep_batch(cands_pdf: pd.DataFrame, vectors: DataFrame) -> DataFrame:
+def _sweep_batch(cands_pdf: pd.DataFrame, vectors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     keys = cands_pdf["cand_key"].tolist()
     mat = cands_pdf[GENE_COLS].to_numpy(np.int64)
     count_cols = [f"c{i}{j}" for i in range(3) for j in range(3)]
-    out_schema = "cand_key STRING, " + ", ".join(f"{c} LONG" for c in count_cols)
+    by = list(by)
+    by_schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema.fields if f.name in by)
+    out_schema = (by_schema + ", " if by else "") + "cand_key STRING, " + ", ".join(f"{c} LONG" for c in count_cols)
 
     def score(batches):
-        total = np.zeros((len(keys), 9), dtype=np.int64)
+        totals: dict = {}
         for vec in batches:
-            if len(vec):
-                total += _score_matrix(mat, vec)
-        res = pd.DataFrame(total, columns=count_cols)
-        res.insert(0, "cand_key", keys)
-        yield res
+            if not len(vec):
+                continue
+            groups = vec.groupby(by, sort=False, dropna=False) if by else [((), vec)]
+            for gkey, part in groups:
+                gkey = gkey if isinstance(gkey, tuple) else (gkey,)
+                acc = totals.setdefault(gkey, np.zeros((len(keys), 9), dtype=np.int64))
+                acc += _score_matrix(mat, part)
+        if not by and not totals:
+            totals[()] = np.zeros((len(keys), 9), dtype=np.int64)
+        for gkey, acc in totals.items():
+            res = pd.DataFrame(acc, columns=count_cols)
+            res.insert(0, "cand_key", keys)
+            for name, value in zip(by, gkey):
+                res.insert(by.index(name), name, value)
+            yield res
 
     partial = vectors.mapInPandas(score, out_schema)
-    return partial.groupBy("cand_key").agg(*(F.sum(c).alias(c) for c in count_cols))
+    return partial.groupBy(*by, "cand_key").agg(*(F.sum(c).alias(c) for c in count_cols))
 
 
-def sweep(cands: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Every candidate scored over every vector; metrics per candidate.
+def sweep(cands: DataFrame, vectors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Every candidate scored over every vector; metrics per candidate (and per ``by`` group).
 
     Candidates are brought to the driver in batches of at most
     ``MAX_CANDIDATES_PER_BATCH`` rows (their size is checked), never the data.
-    Returns cand_key, genes, c00..c22, n, accuracy, precision, recall, fitness,
-    elapsed (rows scored) and error (G6: evaluation failure becomes a row).
+    Returns [by...], cand_key, genes, c00..c22, n, accuracy, precision, recall,
+    fitness, elapsed (rows scored) and error (G6: an evaluation failure
+    becomes a row with fitness -1).  A ``by`` group present only with zero
+    counts yields failure rows.
     """
     n_cands = cands.count()
     spark = cands.sparkSession
     sel = cands.select("cand_key", *GENE_COLS).dropDuplicates(["cand_key"])
+    count_cols = [f"c{i}{j}" for i in range(3) for j in range(3)]
     results = None
     for start in range(0, max(n_cands, 1), MAX_CANDIDATES_PER_BATCH):
         batch = (
@@ -291,29 +309,26 @@ def sweep(cands: DataFrame, vectors: DataFrame) -> DataFrame:
         )
         if batch.empty:
             continue
-        part = _sweep_batch(batch, vectors)
+        part = _sweep_batch(batch, vectors, by)
         results = part if results is None else results.unionByName(part)
     if results is None:
-        empty = spark.createDataFrame([], "cand_key STRING, " + ", ".join(f"c{i}{j} LONG" for i in range(3) for j in range(3)))
-        results = empty
-    count_cols = [f"c{i}{j}" for i in range(3) for j in range(3)]
-    # Candidates are bounded (checked above): keep every one, zero counts when no vector was seen.
-    joined = F.broadcast(sel).join(results, "cand_key", "left").fillna(0, subset=count_cols)
+        results = spark.createDataFrame([], "cand_key STRING, " + ", ".join(f"{c} LONG" for c in count_cols))
+        by = ()
+    if by:
+        joined = results.join(F.broadcast(sel), "cand_key")
+    else:
+        # Candidates are bounded (checked above): keep every one, zero counts when no vector was seen.
+        joined = F.broadcast(sel).join(results, "cand_key", "left").fillna(0, subset=count_cols)
     scored = M.with_metrics(joined)
     failed = F.col("f1").isNull()
     return scored.select(
-        "cand_key", *GENE_COLS, *[f"c{i}{j}" for i in range(3) for j in range(3)], "n", "accuracy", "precision",
-        "recall",
+        *by, "cand_key", *GENE_COLS, *count_cols, "n", "accuracy", "precision", "recall",
         F.when(failed, F.lit(-1.0)).otherwise(F.col("f1")).alias("fitness"),
         F.col("n").cast("double").alias("elapsed"),
         F.when(failed, F.lit("empty evaluation set")).alias("error"),
     )
 
 
-def sweep_cached(cands: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Sweep with candidates collected once (the typical per-generation call)."""
-    return sweep(cands, vectors)
-
 # ---------------------------------------------------------------------------
 # Trial-table operators
 # ---------------------------------------------------------------------------

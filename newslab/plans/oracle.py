@@ -472,6 +472,21 @@ FROM heads_cap h LEFT JOIN events e ON e.event_id = h.seq""", headlines=True)
     sw = "cand_key, n, accuracy, precision, recall, fitness"
     q["trial_sweep"] = qs(f"SELECT {sw} FROM ({_sweep('(SELECT DISTINCT cand_key, ' + ig + ' FROM pop_1)', 'vec_proxy')})")
     q["grid_sweep"] = qs(f"SELECT {sw} FROM gs")
+    g = {name: f"c.i_{name}" for name in GENES}
+    s_ = f"(v.ph * ({g['learning_rate']} + 1) - v.nh * ({g['batch_size']} + 1))"
+    m_ = f"({g['lora_dropout']} * v.lb)"
+    pred = (f"CASE WHEN v.wm < {g['weight_decay']} * 2 + 3 THEN 1 WHEN {s_} > {g['lora_rank']} + {m_} THEN 2 "
+            f"WHEN -{s_} > {g['lora_alpha']} + {m_} THEN 0 ELSE 1 END")
+    vec_lang = _vectors("(SELECT p.*, d.lang FROM proxy p JOIN documents d ON d.doc_id = p.news_id)").replace(
+        "SELECT label_id,", "SELECT lang, label_id,")
+    pairs = (f"(SELECT l.lang, c.cand_key, v.label_id, coalesce(v.cnt, 0) AS cnt, {pred} AS pred "
+             f"FROM (SELECT DISTINCT lang FROM documents) l CROSS JOIN (SELECT DISTINCT cand_key, {ig} FROM pop_1) c "
+             f"LEFT JOIN ({vec_lang}) v ON v.lang = l.lang)")
+    met = _metrics_select("(" + _counts(pairs, "label_id", "pred", "lang, cand_key", "cnt") + ")")
+    q["trial_errors"] = qs(f"""
+SELECT lang, cand_key, n, CASE WHEN f1 IS NULL THEN -1.0 ELSE f1 END AS fitness,
+       CASE WHEN f1 IS NULL THEN 'empty evaluation set' END AS error
+FROM ({met})""")
     q["valid_trials"] = qs("SELECT cand_key, gen, fitness FROM trials WHERE fitness >= 0")
     q["best_trial"] = qs(f"SELECT cand_key, {ig}, fitness FROM trials WHERE fitness >= 0 ORDER BY fitness DESC, cand_key LIMIT 1")
     q["leaderboard"] = qs("SELECT row_number() OVER (ORDER BY fitness DESC, cand_key) AS position, cand_key, gen, fitness "

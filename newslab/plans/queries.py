@@ -405,19 +405,19 @@ def grid_sweep(spark, d):
 
 @query
 def trial_errors(spark, d):
-    """Per-language sweeps; a language without labelled rows yields failure rows."""
+    """The first population swept per document language in one job.
+
+    Languages present in ``documents`` but without labelled proxy rows enter
+    as zero-count vectors, so their evaluations fail and become rows with
+    ``fitness = -1`` and an error text; the job goes on.
+    """
     pop = G.create_population(spark, S.POPULATION_SIZE, S.SEED, 1)
-    docs = read_table(spark, d, "documents").select(F.col("doc_id").alias("news_id"), "lang")
-    n = C.proxy_news(spark, d).join(docs, "news_id")
-    langs = [r[0] for r in read_table(spark, d, "documents").select("lang").distinct().orderBy("lang").collect()]
-    parts = []
-    for lang in langs:  # languages: a small fixed domain
-        vec = G.feature_vectors(n.filter(F.col("lang") == lang), C.POSITIVE, C.NEGATIVE)
-        parts.append(G.sweep(pop, vec).select(F.lit(lang).alias("lang"), "cand_key", "n", "fitness", "error"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    langs = read_table(spark, d, "documents").select(F.col("doc_id").alias("news_id"), "lang")
+    labelled = G.feature_vectors(C.proxy_news(spark, d).join(langs, "news_id"), C.POSITIVE, C.NEGATIVE, ("lang",))
+    placeholders = langs.select("lang").distinct().select(
+        "lang", *(F.lit(0).alias(c) for c in G.FEATURE_COLS), F.lit(0).cast("long").alias("cnt"))
+    vec = labelled.unionByName(placeholders)
+    return G.sweep(pop, vec, by=("lang",)).select("lang", "cand_key", "n", "fitness", "error")
 
 
 @query

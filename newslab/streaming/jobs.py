@@ -30,6 +30,9 @@ def land_in_batches(df: DataFrame, landing: str, order_col: str, n_files: int =
     reach the driver); each drop is a separate write so file times follow
     the order.
     """
+    staging = f"{landing}-staging"
+    df.write.mode("overwrite").parquet(staging)  # one pass over the source
+    df = df.sparkSession.read.parquet(staging)
     cuts = df.approxQuantile(order_col, [k / n_files for k in range(1, n_files)], 0.001)
     bounds = [None, *cuts, None]
     for k in range(n_files):
