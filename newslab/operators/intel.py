@@ -21,7 +21,7 @@ def news_features(df: DataFrame, text_col: str = "text", positive: Sequence[str]
                   negative: Sequence[str] = S.NEGATIVE_WORDS,
                   tickers: Sequence[str] = tuple(t for t, _ in S.TICKERS)) -> DataFrame:
     """Sentiment, confidence, tickers and signal per row (F7 + F5 + F6)."""
-    clean = X.clean_text(F.col(text_col))
+    clean = F.col("clean_text") if "clean_text" in df.columns else X.clean_text(F.col(text_col))
     sentiment, confidence = X.lexicon_sentiment(clean, positive, negative)
     out = df.withColumns(
         {
