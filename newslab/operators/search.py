@@ -296,17 +296,22 @@ def sweep(cands: DataFrame, vectors: DataFrame, by: Sequence[str] = ()) -> DataF
     becomes a row with fitness -1).  A ``by`` group present only with zero
     counts yields failure rows.
     """
-    n_cands = cands.count()
     spark = cands.sparkSession
     sel = cands.select("cand_key", *GENE_COLS).dropDuplicates(["cand_key"])
     count_cols = [f"c{i}{j}" for i in range(3) for j in range(3)]
     results = None
-    for start in range(0, max(n_cands, 1), MAX_CANDIDATES_PER_BATCH):
-        batch = (
-            sel.orderBy("cand_key").offset(start).limit(MAX_CANDIDATES_PER_BATCH).toPandas()
-            if n_cands > MAX_CANDIDATES_PER_BATCH
-            else sel.toPandas()
-        )
+    # Size check and first batch in one job: at most MAX + 1 candidate rows reach the driver.
+    first = sel.orderBy("cand_key").limit(MAX_CANDIDATES_PER_BATCH + 1).toPandas()
+    batches = [first.iloc[:MAX_CANDIDATES_PER_BATCH]]
+    if len(first) > MAX_CANDIDATES_PER_BATCH:
+        start = MAX_CANDIDATES_PER_BATCH
+        while True:
+            nxt = sel.orderBy("cand_key").offset(start).limit(MAX_CANDIDATES_PER_BATCH).toPandas()
+            if nxt.empty:
+                break
+            batches.append(nxt)
+            start += MAX_CANDIDATES_PER_BATCH
+    for batch in batches:
         if batch.empty:
             continue
         part = _sweep_batch(batch, vectors, by)

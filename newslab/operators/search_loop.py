@@ -83,7 +83,9 @@ def run_search(spark: SparkSession, vectors: DataFrame, store: str, pop_size: in
         files.append_trials(fresh, trials_path)
         trials = files.load_trials(spark, trials_path)
         evaluated = pop.join(trials.select("cand_key", "fitness"), "cand_key")
-        best_gen = evaluated.agg(F.max(F.when(F.col("fitness") >= 0, F.col("fitness")))).first()[0]
+        best_gen = None
+        if patience is not None:  # one number per generation
+            best_gen = evaluated.agg(F.max(F.when(F.col("fitness") >= 0, F.col("fitness")))).first()[0]
         walls.append(time.time() - t0)
         if patience is not None and best_gen is not None:
             if best_gen > best_so_far:

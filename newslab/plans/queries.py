@@ -55,7 +55,7 @@ def _split(spark, d) -> DataFrame:
 @query
 def news_etl_summary(spark, d):
     """N5 (flagship): documents and total words per label after cleaning, plus the total row."""
-    n = C.news(spark, d)
+    n = P.news(spark, d)
     return n.rollup("label").agg(F.count(F.lit(1)).alias("documents"), F.sum("words").alias("total_words"))
 
 
@@ -70,18 +70,18 @@ def scan_csv_roundtrip(spark, d):
 
 @query
 def sql_label_counts(spark, d):
-    C.news(spark, d).createOrReplaceTempView("stock_news")
+    P.news(spark, d).createOrReplaceTempView("stock_news")
     return spark.sql("SELECT label, COUNT(*) AS count FROM stock_news GROUP BY label ORDER BY count DESC")
 
 
 @query
 def label_distribution(spark, d):
-    return C.news(spark, d).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return P.news(spark, d).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def total_words(spark, d):
-    return C.news(spark, d).agg(
+    return P.news(spark, d).agg(
         F.coalesce(F.sum("words"), F.lit(0)).cast("long").alias("total_words"), F.count(F.lit(1)).alias("documents")
     )
 
@@ -114,7 +114,7 @@ def word_count(spark, d):
 
 @query
 def min_words(spark, d):
-    return C.news(spark, d).select("news_id", "words")
+    return P.news(spark, d).select("news_id", "words")
 
 
 @query
