@@ -83,6 +83,19 @@ def lexicon_count(clean: Column, words: Sequence[str]) -> Column:
     return F.size(F.filter(tokens(clean), lambda t: F.array_contains(lex, t)))
 
 
+def lexicon_semi_join(df, lexicon, clean_col: str = "clean_text", id_col: str = "news_id"):
+    """Rows with at least one token in a *large* lexicon table (column ``word``).
+
+    Tokens are exploded and equi-joined with the lexicon; Spark broadcasts
+    the lexicon only when AQE measures it small, otherwise both sides are
+    shuffled on the word (a hot word is split by the skew-join rule).  The
+    distinct (id) hits then semi-join the rows, so each row is kept once.
+    """
+    toks = df.select(F.col(id_col), F.explode(tokens(F.col(clean_col))).alias("word"))
+    hits = toks.join(lexicon.select("word").distinct(), "word", "left_semi").select(id_col).distinct()
+    return df.join(hits, id_col, "left_semi")
+
+
 def lexicon_sentiment(clean: Column, positive: Sequence[str] = S.POSITIVE_WORDS,
                       negative: Sequence[str] = S.NEGATIVE_WORDS) -> tuple[Column, Column]:
     """(sentiment, confidence); a positive hit wins over a negative hit."""

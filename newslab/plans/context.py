@@ -92,3 +92,22 @@ def population_results(spark: SparkSession, sf_dir: str, gen: int) -> DataFrame:
     pop = populations(spark, sf_dir).filter(F.col("gen") == gen)
     t = trials(spark, sf_dir).select("cand_key", "fitness")
     return pop.join(t, "cand_key")
+
+
+def surrogate(spark: SparkSession, sf_dir: str, kind: str = "gbt"):
+    """The surrogate fitted on the default search's trials (fitted once per session).
+
+    The fitted pipeline is saved to the shared folder, so a new driver can
+    load it instead of refitting.
+    """
+    from pyspark.ml import PipelineModel
+
+    from newslab.operators import ml
+
+    k = _key(spark, sf_dir, f"surrogate-{kind}")
+    if k not in _CACHE:
+        model = ml.fit_surrogate(trials(spark, sf_dir), kind=kind)
+        path = scratch_path(spark, f"surrogate-{kind}")
+        model.write().overwrite().save(path)
+        _CACHE[k] = path
+    return PipelineModel.load(_CACHE[k])

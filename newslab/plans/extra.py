@@ -31,7 +31,7 @@ def _pool(spark, gen: int = 3):
 def surrogate_fit(spark, d):
     """Regressor fitted on the stored trials; its predictions on the training rows."""
     t = C.trials(spark, d)
-    model = ml.fit_surrogate(t)
+    model = C.surrogate(spark, d)
     return ml.screen(model, t.select("cand_key", *G.GENE_COLS)).join(t.select("cand_key", "fitness"), "cand_key")
 
 
@@ -39,17 +39,14 @@ def surrogate_fit(spark, d):
 def surrogate_screen(spark, d):
     """G8 + K3 + J1: score a random pool, keep the best unseen candidates."""
     t = C.trials(spark, d)
-    model = ml.fit_surrogate(t)
-    pred = ml.screen(model, _pool(spark))
+    pred = ml.screen(C.surrogate(spark, d), _pool(spark))
     return G.unseen(G.topk(pred, "predicted", S.SURROGATE_TOPK), t)
 
 
 @query
 def surrogate_calibration(spark, d):
     """Predicted versus measured fitness for the screened pool (measured on the proxy vectors)."""
-    t = C.trials(spark, d)
-    model = ml.fit_surrogate(t)
-    pred = ml.screen(model, _pool(spark))
+    pred = ml.screen(C.surrogate(spark, d), _pool(spark))
     measured = G.sweep(pred, C.vectors(spark, d, "proxy")).withColumn("gen", F.lit(0))
     return ml.surrogate_calibration(pred, measured)
 

@@ -29,7 +29,10 @@ def write_news_csv(df: DataFrame, path: str) -> None:
 
 
 def read_news(spark: SparkSession, path: str, schema: T.StructType = S.RAW_NEWS) -> DataFrame:
-    """CSV with header, declared schema, quoted newlines and doubled quotes."""
+    """CSV with header, declared schema, quoted newlines and doubled quotes.
+
+    Empty fields (quoted or not) read as null, like a pandas CSV reader.
+    """
     opts = dict(_CSV_OPTS)
     opts["emptyValue"] = ""
     return spark.read.schema(schema).options(**opts).option("mode", "FAILFAST").csv(path)

@@ -33,7 +33,7 @@ def land_in_batches(df: DataFrame, landing: str, order_col: str, n_files: int =
     staging = f"{landing}-staging"
     df.write.mode("overwrite").parquet(staging)  # one pass over the source
     df = df.sparkSession.read.parquet(staging)
-    cuts = df.approxQuantile(order_col, [k / n_files for k in range(1, n_files)], 0.001)
+    cuts = df.approxQuantile(order_col, [k / n_files for k in range(1, n_files)], 0.001) if n_files > 1 else []
     bounds = [None, *cuts, None]
     for k in range(n_files):
         cond = F.lit(True)
