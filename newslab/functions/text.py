@@ -196,10 +196,14 @@ def first_href(html: Column) -> Column:
 
 
 def resolve_link(page_url: Column, href: Column) -> Column:
-    """Relative ``/x`` links get the page's scheme and netloc (host, port, user)."""
-    base = F.concat(F.parse_url(page_url, F.lit("PROTOCOL")), F.lit("://"), F.parse_url(page_url, F.lit("AUTHORITY")))
+    """Relative ``/x`` links get the page's scheme and netloc (host, port, user).
+
+    A malformed page URL yields null instead of failing the job.
+    """
+    base = F.concat(F.try_parse_url(page_url, F.lit("PROTOCOL")), F.lit("://"),
+                    F.try_parse_url(page_url, F.lit("AUTHORITY")))
     return F.when(href.startswith("/"), F.concat(base, href)).otherwise(href)
 
 
 def url_host(page_url: Column) -> Column:
-    return F.parse_url(page_url, F.lit("HOST"))
+    return F.try_parse_url(page_url, F.lit("HOST"))

@@ -42,12 +42,17 @@ def headlines_from_pages(pages: DataFrame, heading_tags: Sequence[str] = ("h2",
     return out.filter((F.col("title") != "") & (F.length("title") > min_len))
 
 
-def feed_json(conversations: DataFrame) -> DataFrame:
-    """A JSON listing per conversation (``data.children[].data.{title,permalink}``).
+LISTING_PAGE = 10  # posts per listing page (a listing API returns pages of bounded size)
 
-    Turns of one conversation form one document, so the list is bounded by
-    the conversation length, not by the table.
+
+def feed_json(conversations: DataFrame, page_size: int = LISTING_PAGE) -> DataFrame:
+    """JSON listing pages per conversation (``data.children[].data.{title,permalink}``).
+
+    A conversation is served as pages of at most ``page_size`` turns, so every
+    collected group is bounded even when one conversation holds a third of
+    all rows.
     """
+    page = (F.col("turn") / page_size).cast("long")
     posts = F.array_sort(F.collect_list(F.struct("turn", "text")))
     children = F.transform(
         posts,
@@ -59,18 +64,24 @@ def feed_json(conversations: DataFrame) -> DataFrame:
             ).alias("data")
         ),
     )
-    return conversations.groupBy("conv_id").agg(
+    return conversations.groupBy("conv_id", page.alias("page")).agg(
         F.to_json(F.struct(F.struct(children.alias("children")).alias("data"))).alias("json")
     )
 
 
 def json_posts(feeds: DataFrame, json_col: str = "json", source_col: str = "conv_id",
-               min_len: int = S.JSON_MIN_TITLE, prefix: str = S.JSON_LINK_PREFIX) -> DataFrame:
-    """S5 + P8: posts of JSON listings; missing keys default to ''."""
-    parsed = feeds.select(F.col(source_col).alias("source"), F.from_json(F.col(json_col), S.JSON_FEED).alias("j"))
-    posts = parsed.select("source", F.posexplode(F.col("j.data.children")).alias("pos", "child"))
+               min_len: int = S.JSON_MIN_TITLE, prefix: str = S.JSON_LINK_PREFIX,
+               page_size: int = LISTING_PAGE) -> DataFrame:
+    """S5 + P8: posts of JSON listing pages; missing keys default to ''.
+
+    ``seq`` = (source, position) where position = page * page_size + index.
+    """
+    parsed = feeds.select(F.col(source_col).alias("source"), F.col("page"),
+                          F.from_json(F.col(json_col), S.JSON_FEED).alias("j"))
+    posts = parsed.select("source", "page", F.posexplode(F.col("j.data.children")).alias("idx", "child"))
+    pos = (F.col("page") * page_size + F.col("idx")).cast("int")
     out = posts.select(
-        F.struct(F.col("source"), F.col("pos")).alias("seq"),
+        F.struct(F.col("source"), pos.alias("pos")).alias("seq"),
         F.coalesce(F.col("child.data.title"), F.lit("")).alias("title"),
         F.concat(F.lit(prefix), F.coalesce(F.col("child.data.permalink"), F.lit(""))).alias("url"),
         F.col("source").cast("string").alias("source"),

@@ -319,11 +319,14 @@ def sweep(cands: DataFrame, vectors: DataFrame, by: Sequence[str] = ()) -> DataF
     if results is None:
         results = spark.createDataFrame([], "cand_key STRING, " + ", ".join(f"{c} LONG" for c in count_cols))
         by = ()
+    # Broadcast the candidate table only when it fits in one checked batch.
+    small = len(batches) == 1
+    cands_side = F.broadcast(sel) if small else sel
     if by:
-        joined = results.join(F.broadcast(sel), "cand_key")
+        joined = results.join(cands_side, "cand_key")
     else:
-        # Candidates are bounded (checked above): keep every one, zero counts when no vector was seen.
-        joined = F.broadcast(sel).join(results, "cand_key", "left").fillna(0, subset=count_cols)
+        # Keep every candidate, zero counts when no vector was seen.
+        joined = cands_side.join(results, "cand_key", "left").fillna(0, subset=count_cols)
     scored = M.with_metrics(joined)
     failed = F.col("f1").isNull()
     return scored.select(

@@ -426,7 +426,8 @@ FROM {recent}""")
     q["json_posts"] = with_ctes(f"""
 SELECT conv_id, pos, title, url FROM (
   SELECT * FROM (
-    SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos,
+    SELECT conv_id, CAST((turn // 10) * 10 + row_number() OVER (PARTITION BY conv_id, turn // 10 ORDER BY turn) - 1
+                         AS INTEGER) AS pos,
            coalesce(text, '') AS title,
            '{S.JSON_LINK_PREFIX}' || '/c/' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS url
     FROM conversations)
