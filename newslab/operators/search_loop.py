@@ -9,8 +9,9 @@ Parquet instead of chaining lineage across generations, and a lost
 executor only re-runs the current generation's small jobs.
 
 Optional surrogate screening (G7, G8): after ``warmup`` generations a
-Spark ML regressor trained on the stored trials scores a random pool and
-only the best ``topk`` unseen candidates are evaluated.
+Spark ML regressor trained on the stored trials scores a fresh random pool
+and only the best ``topk`` unseen candidates are evaluated; the generation's
+population is then its cached members plus those ``topk``.
 """
 
 from __future__ import annotations
@@ -65,7 +66,11 @@ def run_search(spark: SparkSession, vectors: DataFrame, store: str, pop_size: in
                 pool_df = G.create_population(spark, pool, seed, gen, tag="pool")
                 pred = ml.screen(model, G.distinct_candidates(pool_df))
                 best = G.topk(pred, "predicted", topk).select("cand_key", *G.GENE_COLS)
-                population = population.select("cand_key", *G.GENE_COLS).unionByName(best)
+                # Only the screened top-k are evaluated; population members are
+                # looked up in the store (uncached ones are not evaluated).
+                cached = population.select("cand_key", *G.GENE_COLS).join(
+                    seen.select("cand_key"), "cand_key", "left_semi")
+                population = cached.unionByName(best)
                 # pop_size + topk rows: a global order is cheap and deterministic
                 population = population.withColumn(
                     "slot", (F.row_number().over(Window.orderBy("cand_key")) - 1).cast("int"))

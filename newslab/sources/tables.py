@@ -29,5 +29,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key:
         cores = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+            # A fixed count (one per core): the work after it is CPU-bound text
+            # processing, which size-based coalescing would put back in one task.
+            df = df.repartition(cores, key)
     return df
