@@ -191,6 +191,18 @@ def first_heading(html: Column, tags: Sequence[str] = ("h1",)) -> Column:
     return F.regexp_extract(html, rf"(?is)<(?:{alt})(?:\s[^>]*)?>(.*?)</(?:{alt})>", 1)
 
 
+CONTAINER_TAGS = ("article", "li", "div")
+
+
+def containers_before_heading(html: Column, tags: Sequence[str] = ("h1",),
+                              containers: Sequence[str] = CONTAINER_TAGS) -> Column:
+    """Number of container elements opened before the first heading (0 when there is no heading)."""
+    alt = "|".join(re.escape(t) for t in tags)
+    prefix = F.regexp_extract(html, rf"(?is)^(.*?)<(?:{alt})(?:\s[^>]*)?>", 1)
+    cont = "|".join(re.escape(t) for t in containers)
+    return F.size(F.regexp_extract_all(prefix, F.lit(rf"(?i)<(?:{cont})(?:\s[^>]*)?>"), 0))
+
+
 def first_href(html: Column) -> Column:
     return F.regexp_extract(html, r"(?is)<a\s[^>]*?href=\"([^\"]*)\"", 1)
 

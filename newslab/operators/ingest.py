@@ -24,22 +24,27 @@ from newslab.functions import text as X
 
 
 def headlines_from_pages(pages: DataFrame, heading_tags: Sequence[str] = ("h2", "h3"),
-                         min_len: int = S.HTML_MIN_TITLE) -> DataFrame:
+                         min_len: int = S.HTML_MIN_TITLE, max_containers: int = S.MAX_CONTAINERS) -> DataFrame:
     """S4 + F12 + P8: one candidate headline per page.
 
     The headline is the text of the page's first heading with one of
-    ``heading_tags``; its link is the page's first anchor, made absolute
-    with the page's scheme and netloc.  Source is the page host.
+    ``heading_tags``, kept when it sits inside one of the page's first
+    ``max_containers`` container elements (article, li, div); its link is the
+    page's first anchor, made absolute with the page's scheme and netloc.
+    Source is the page host.
     """
     title = X.html_text(X.first_heading(F.col("html"), heading_tags))
     href = X.first_href(F.col("html"))
+    opened = X.containers_before_heading(F.col("html"), heading_tags)
     out = pages.select(
         F.col("page_id").alias("seq"),
         title.alias("title"),
         X.resolve_link(F.col("url"), href).alias("url"),
         X.url_host(F.col("url")).alias("source"),
+        opened.alias("_opened"),
     )
-    return out.filter((F.col("title") != "") & (F.length("title") > min_len))
+    keep = (F.col("title") != "") & (F.length("title") > min_len) & F.col("_opened").between(1, max_containers)
+    return out.filter(keep).drop("_opened")
 
 
 LISTING_PAGE = 10  # posts per listing page (a listing API returns pages of bounded size)

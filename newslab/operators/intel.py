@@ -92,11 +92,15 @@ def market_briefing(features: DataFrame, seq_col: str = "news_id") -> DataFrame:
 
     One pass over the rows: they are aggregated by (sentiment, ticker set),
     a table bounded by 3 x the number of distinct ticker subsets, and every
-    section is derived from that small table (its shuffle is reused).
+    section is derived from that small table.
     """
     combos = features.groupBy("sentiment", "tickers").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.col(seq_col)).alias("s")
     )
+    # Each section reads a different column subset, which would give each its
+    # own copy of the scan; pin the small aggregate once (reliable checkpoint
+    # in the shared folder) so the rows are read and featurised a single time.
+    combos = combos.checkpoint(eager=True)
     total = combos.agg(F.sum("n").alias("n")).select(
         F.lit("total").alias("section"), F.lit(0).alias("ord"), F.lit("total").alias("key"),
         F.coalesce(F.col("n"), F.lit(0)).cast("string").alias("value"),

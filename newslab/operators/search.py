@@ -31,7 +31,6 @@ thing shipped to tasks.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
 import numpy as np
@@ -514,7 +513,3 @@ def rank_shift(proxy: DataFrame, full: DataFrame) -> DataFrame:
     j = proxy.select("cand_key", "proxy_rank", F.col("fitness").alias("proxy_f1")).join(f, "cand_key")
     j = j.withColumn("full_rank", F.row_number().over(Window.orderBy(F.col("full_f1").desc(), "cand_key")))
     return j.withColumn("rank_kept", (F.col("proxy_rank") == 1) & (F.col("full_rank") == 1))
-
-
-def product(*sizes: int):
-    return itertools.product(*[range(n) for n in sizes])

@@ -122,10 +122,12 @@ def stream_ingest_dedup(spark, d):
     rows = heads.join(ev, "seq", "left").withColumn(
         "event_time", F.coalesce(F.col("event_time"), F.timestamp_seconds(F.col("seq"))))
     landing = scratch_path(spark, "landing-headlines")
-    jobs.land_in_batches(rows, landing, "seq", 3)
     store = scratch_path(spark, "stream-store")
-    jobs.ingest_dedup_stream(spark, landing, rows.schema, store, scratch_path(spark, "stream-ckpt"))
-    return spark.read.parquet(store).select("title")
+    ckpt = scratch_path(spark, "stream-ckpt")
+    # Three scheduled runs, each after one more drop has landed.
+    jobs.land_in_batches(rows, landing, "seq", 3,
+                         after_each=lambda k: jobs.ingest_dedup_stream(spark, landing, rows.schema, store, ckpt))
+    return spark.read.parquet(store).select("title")  # one row per distinct title
 
 
 @query
@@ -134,7 +136,8 @@ def stream_daily_sentiment(spark, d):
     scored = _scored(spark, d).filter(F.col("created_at").isNotNull()).select(
         "news_id", F.col("created_at").cast("timestamp").alias("event_time"), "sentiment")
     landing = scratch_path(spark, "landing-news")
-    jobs.land_in_batches(scored, landing, "news_id", 3)
     out = scratch_path(spark, "stream-daily")
-    jobs.daily_sentiment_stream(spark, landing, scored.schema, out, scratch_path(spark, "stream-ckpt"))
+    ckpt = scratch_path(spark, "stream-ckpt")
+    jobs.land_in_batches(scored, landing, "news_id", 3)
+    jobs.daily_sentiment_stream(spark, landing, scored.schema, out, ckpt)
     return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("day"), "sentiment", "n")

@@ -293,10 +293,13 @@ def _headlines() -> str:
     auth = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
     host = f"regexp_extract({auth}, '^(?:[^@]*@)?([^:]*)', 1)"
     link = f"CASE WHEN starts_with({href}, '/') THEN {scheme} || '://' || {auth} || {href} ELSE {href} END"
+    prefix = f"regexp_extract(html, '(?is)^(.*?)<(?:{tags})(?:\\s[^>]*)?>', 1)"
+    opened = f"len(regexp_extract_all({prefix}, '(?i)<(?:article|li|div)(?:\\s[^>]*)?>'))"
     return f""",
 heads_all AS (SELECT page_id AS seq, {title} AS title, {link} AS url, {host} AS source, page_id,
-                     {href} AS href, {link} AS link FROM pages),
-heads AS (SELECT seq, title, url, source FROM heads_all WHERE title <> '' AND length(title) > {S.HTML_MIN_TITLE}),
+                     {href} AS href, {link} AS link, {opened} AS opened FROM pages),
+heads AS (SELECT seq, title, url, source FROM heads_all
+          WHERE title <> '' AND length(title) > {S.HTML_MIN_TITLE} AND opened BETWEEN 1 AND {S.MAX_CONTAINERS}),
 heads_dedup AS (SELECT * FROM heads QUALIFY row_number() OVER (PARTITION BY title ORDER BY seq) = 1),
 heads_cap AS (SELECT * FROM heads_dedup QUALIFY row_number() OVER (PARTITION BY source ORDER BY seq) <= {S.ITEMS_PER_SOURCE})"""
 

@@ -28,7 +28,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = TEXT_TABLES.get(name)
     if key:
         cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        if df._jdf.rdd().getNumPartitions() < cores:  # file splits, planned on the JVM side
             # A fixed count (one per core): the work after it is CPU-bound text
             # processing, which size-based coalescing would put back in one task.
             df = df.repartition(cores, key)

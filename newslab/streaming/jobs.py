@@ -3,8 +3,10 @@
 T1 - scheduled ingest as an incremental stream: new landed files only,
 title de-duplication inside the watermark (``dropDuplicatesWithinWatermark``)
 and, to be exact across runs, an anti join against the store in
-``foreachBatch``; every batch is written under its own ``batch_id``
-partition with overwrite, so a replayed batch replaces itself instead of
+``foreachBatch``.  The store is partitioned by (title hash bucket,
+``batch_id``): the anti join reads only the buckets present in the batch
+(partition pruning),
+and a replayed batch overwrites exactly its own partitions instead of
 appending twice.
 
 T2 - daily sentiment by a tumbling one-day event-time window with a
@@ -17,18 +19,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+TITLE_BUCKETS = 16
+
+
+def title_bucket(title):
+    """Stable hash bucket of a title (partition column of the store)."""
+    return F.pmod(F.xxhash64(title), F.lit(TITLE_BUCKETS)).cast("int")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def land_in_batches(df: DataFrame, landing: str, order_col: str, n_files: int = 3) -> None:
+def land_in_batches(df: DataFrame, landing: str, order_col: str, n_files: int = 3, after_each=None) -> None:
     """Land a table as ``n_files`` Parquet drops in ``order_col`` order (the arrival order).
 
     Drop boundaries are approximate quantiles of ``order_col`` (n-1 numbers
-    reach the driver); each drop is a separate write so file times follow
-    the order.
+    reach the driver); each drop is a separate write.  ``after_each(k)`` runs
+    after drop ``k`` has landed, e.g. a scheduled ``availableNow`` run of a
+    stream that picks up only the new files.
     """
     staging = f"{landing}-staging"
     df.write.mode("overwrite").parquet(staging)  # one pass over the source
@@ -42,26 +53,39 @@ def land_in_batches(df: DataFrame, landing: str, order_col: str, n_files: int =
         if bounds[k + 1] is not None:
             cond = cond & (F.col(order_col) <= bounds[k + 1])
         df.filter(cond).write.mode("overwrite").parquet(f"{landing}/drop={k:05d}")
+        if after_each is not None:
+            after_each(k)
 
 
 def ingest_dedup_stream(spark: SparkSession, landing: str, schema, store: str, checkpoint: str,
-                        delay: str = "1 day", files_per_trigger: int = 1) -> None:
-    """Stream landed headline files into the store, each title at most once."""
-    src = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-        .option("recursiveFileLookup", "true").parquet(landing)
-    )
+                        delay: str = "1 day", files_per_trigger: int | None = None) -> None:
+    """One scheduled run: stream the newly landed headline files into the store, each title at most once."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    src = reader.parquet(landing)
     deduped = src.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["title"])
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = batch
+        # Used by two actions below; a micro-batch is bounded by the trigger size.
+        batch.persist()
+        try:
+            _write_batch(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _write_batch(batch: DataFrame, batch_id: int) -> None:
+        out = batch.withColumn("title_bucket", title_bucket(F.col("title")))
         if _exists(spark, store):
-            known = spark.read.parquet(store).select("title")
-            out = out.join(known, "title", "left_anti")
+            # The store is partitioned by title bucket: read only the buckets this
+            # batch touches (at most TITLE_BUCKETS numbers reach the driver).
+            buckets = [r[0] for r in out.select("title_bucket").distinct().collect()]
+            known = spark.read.parquet(store).filter(F.col("title_bucket").isin(buckets))
+            out = out.join(known.select("title_bucket", "title"), ["title_bucket", "title"], "left_anti")
         # A title may arrive twice in one batch beyond the watermark's reach.
         out = out.dropDuplicates(["title"])
         (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(store))
+         .option("partitionOverwriteMode", "dynamic").partitionBy("title_bucket", "batch_id").parquet(store))
 
     q = (deduped.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

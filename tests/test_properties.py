@@ -166,9 +166,10 @@ def test_stream_one_drop_equals_three(spark):
     titles = []
     for n in (1, 3):
         landing = scratch_path(spark, f"land{n}")
-        jobs.land_in_batches(rows, landing, "seq", n)
         store = scratch_path(spark, f"store{n}")
-        jobs.ingest_dedup_stream(spark, landing, rows.schema, store, scratch_path(spark, f"ck{n}"))
+        ck = scratch_path(spark, f"ck{n}")
+        jobs.land_in_batches(rows, landing, "seq", n,
+                             after_each=lambda k: jobs.ingest_dedup_stream(spark, landing, rows.schema, store, ck))
         got = [r.title for r in spark.read.parquet(store).select("title").collect()]
         assert len(got) == len(set(got))
         titles.append(sorted(got))
