@@ -285,6 +285,37 @@ def _sweep_batch(cands_pdf: pd.DataFrame, vectors: DataFrame, by: Sequence[str]
     return partial.groupBy(*by, "cand_key").agg(*(F.sum(c).alias(c) for c in count_cols))
 
 
+def sweep_rows(cands_pdf: pd.DataFrame, vectors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Sweep for candidates already on the driver (at most one checked batch, e.g. a population)."""
+    spark = vectors.sparkSession
+    if len(cands_pdf) > MAX_CANDIDATES_PER_BATCH:
+        raise ValueError("too many candidates for one batch; use sweep() with a DataFrame")
+    cands_pdf = cands_pdf[["cand_key", *GENE_COLS]].drop_duplicates("cand_key").reset_index(drop=True)
+    schema = "cand_key STRING, " + ", ".join(f"{c} INT" for c in GENE_COLS)
+    sel = spark.createDataFrame([tuple(r) for r in cands_pdf.itertuples(index=False, name=None)], schema)
+    return _finish_sweep(sel, _sweep_batch(cands_pdf, vectors, by), by, small=True)
+
+
+def _finish_sweep(sel: DataFrame, results: DataFrame, by: Sequence[str], small: bool) -> DataFrame:
+    count_cols = [f"c{i}{j}" for i in range(3) for j in range(3)]
+    by = list(by)
+    # Broadcast the candidate table only when it fits in one checked batch.
+    cands_side = F.broadcast(sel) if small else sel
+    if by:
+        joined = results.join(cands_side, "cand_key")
+    else:
+        # Keep every candidate, zero counts when no vector was seen.
+        joined = cands_side.join(results, "cand_key", "left").fillna(0, subset=count_cols)
+    scored = M.with_metrics(joined)
+    failed = F.col("f1").isNull()
+    return scored.select(
+        *by, "cand_key", *GENE_COLS, *count_cols, "n", "accuracy", "precision", "recall",
+        F.when(failed, F.lit(-1.0)).otherwise(F.col("f1")).alias("fitness"),
+        F.col("n").cast("double").alias("elapsed"),
+        F.when(failed, F.lit("empty evaluation set")).alias("error"),
+    )
+
+
 def sweep(cands: DataFrame, vectors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Every candidate scored over every vector; metrics per candidate (and per ``by`` group).
 
@@ -318,22 +349,7 @@ def sweep(cands: DataFrame, vectors: DataFrame, by: Sequence[str] = ()) -> DataF
     if results is None:
         results = spark.createDataFrame([], "cand_key STRING, " + ", ".join(f"{c} LONG" for c in count_cols))
         by = ()
-    # Broadcast the candidate table only when it fits in one checked batch.
-    small = len(batches) == 1
-    cands_side = F.broadcast(sel) if small else sel
-    if by:
-        joined = results.join(cands_side, "cand_key")
-    else:
-        # Keep every candidate, zero counts when no vector was seen.
-        joined = cands_side.join(results, "cand_key", "left").fillna(0, subset=count_cols)
-    scored = M.with_metrics(joined)
-    failed = F.col("f1").isNull()
-    return scored.select(
-        *by, "cand_key", *GENE_COLS, *count_cols, "n", "accuracy", "precision", "recall",
-        F.when(failed, F.lit(-1.0)).otherwise(F.col("f1")).alias("fitness"),
-        F.col("n").cast("double").alias("elapsed"),
-        F.when(failed, F.lit("empty evaluation set")).alias("error"),
-    )
+    return _finish_sweep(sel, results, by, small=len(batches) == 1)
 
 
 # ---------------------------------------------------------------------------

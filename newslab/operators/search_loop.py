@@ -19,6 +19,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,45 +48,54 @@ def run_search(spark: SparkSession, vectors: DataFrame, store: str, pop_size: in
                generations: int = S.GENERATIONS, seed: int = S.SEED, patience: int | None = None,
                surrogate: str | None = None, warmup: int = S.WARMUP_GENERATIONS, pool: int = S.SURROGATE_POOL,
                topk: int = S.SURROGATE_TOPK, parent_scope: str = "population") -> SearchResult:
+    """Run the search; trials and populations are appended under ``store``.
+
+    Per generation: the population (at most pop_size + topk rows) is pinned on
+    the driver and logged, its unseen candidates (the evaluated keys are a set
+    bounded by the search space) are swept over the vectors in one job and
+    appended to the trials store, and the next population is drawn from the
+    stored results.
+    """
     trials_path = f"{store}/trials"
     pops_path = f"{store}/populations"
+    pop_cols = ["gen", "slot", "cand_key", *G.GENE_COLS]
+    pop_schema = "gen INT, slot INT, cand_key STRING, " + ", ".join(f"{c} INT" for c in G.GENE_COLS)
+    seen: set[str] = set()
+    if _exists(spark, trials_path):
+        seen = {r[0] for r in files.load_trials(spark, trials_path).select("cand_key").distinct().collect()}
     population = G.create_population(spark, pop_size, seed, 1)
     best_so_far, streak, stopped = -1.0, 0, False
     walls = []
     gen = 0
     for gen in range(1, generations + 1):
         t0 = time.time()
-        screened = surrogate is not None and gen > warmup
-        have_store = _exists(spark, trials_path)
-        seen = files.load_trials(spark, trials_path) if have_store else None
-        if screened and seen is not None:
+        if surrogate is not None and gen > warmup and seen:
             from newslab.operators import ml
 
-            model = ml.fit_surrogate(seen, kind=surrogate)
+            model = ml.fit_surrogate(files.load_trials(spark, trials_path), kind=surrogate)
             if model is not None:
                 pool_df = G.create_population(spark, pool, seed, gen, tag="pool")
                 pred = ml.screen(model, G.distinct_candidates(pool_df))
                 best = G.topk(pred, "predicted", topk).select("cand_key", *G.GENE_COLS)
                 # Only the screened top-k are evaluated; population members are
                 # looked up in the store (uncached ones are not evaluated).
-                cached = population.select("cand_key", *G.GENE_COLS).join(
-                    seen.select("cand_key"), "cand_key", "left_semi")
+                cached = population.select("cand_key", *G.GENE_COLS).filter(F.col("cand_key").isin(list(seen)))
                 population = cached.unionByName(best)
                 # pop_size + topk rows: a global order is cheap and deterministic
                 population = population.withColumn(
                     "slot", (F.row_number().over(Window.orderBy("cand_key")) - 1).cast("int"))
-                population = population.withColumn("gen", F.lit(gen)).select("gen", "slot", "cand_key", *G.GENE_COLS)
-        # A population is at most pop_size (+ topk) rows: pin it through the
-        # driver so the next plan does not re-derive it from older files.
-        rows = population.select("gen", "slot", "cand_key", *G.GENE_COLS).collect()
-        pop_schema = "gen INT, slot INT, cand_key STRING, " + ", ".join(f"{c} INT" for c in G.GENE_COLS)
-        spark.createDataFrame(rows, pop_schema).write.mode("append").parquet(pops_path)
-        pop = spark.read.parquet(pops_path).filter(F.col("gen") == gen)
-        todo = G.distinct_candidates(pop).select("cand_key", *G.GENE_COLS)
-        if seen is not None:
-            todo = G.unseen(todo, seen)
-        fresh = G.sweep(todo, vectors).withColumn("gen", F.lit(gen))
-        files.append_trials(fresh, trials_path)
+                population = population.withColumn("gen", F.lit(gen)).select(*pop_cols)
+        # Pin the population on the driver (bounded) and log it.
+        rows = population.select(*pop_cols).collect()
+        pop_pdf = pd.DataFrame([tuple(r) for r in rows], columns=pop_cols)
+        pop = spark.createDataFrame([tuple(r) for r in rows], pop_schema)
+        pop.write.mode("append").parquet(pops_path)
+        todo = pop_pdf.drop_duplicates("cand_key")
+        todo = todo[~todo["cand_key"].isin(seen)]
+        if len(todo):
+            fresh = G.sweep_rows(todo, vectors).withColumn("gen", F.lit(gen))
+            files.append_trials(fresh, trials_path)
+            seen.update(todo["cand_key"])
         trials = files.load_trials(spark, trials_path)
         evaluated = pop.join(trials.select("cand_key", "fitness"), "cand_key")
         best_gen = None
