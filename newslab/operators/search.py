@@ -469,18 +469,27 @@ def early_stop(log: DataFrame, patience: int = S.EARLY_STOP_PATIENCE) -> DataFra
 
 
 def search_summary(trials: DataFrame, log: DataFrame, pop_size: int) -> DataFrame:
-    """Unique configurations, coverage and hit rate (percent), mean costs."""
-    t = trials.agg(
-        F.count_distinct("cand_key").alias("unique_configs"),
-        F.avg(F.when(F.col("elapsed") > 0, F.col("elapsed"))).alias("mean_cost_per_candidate"),
-        F.max(F.when(F.col("fitness") >= 0, F.col("fitness"))).alias("best_fitness"),
-    )
-    g = log.filter(F.col("gen").isNotNull()).agg(
-        F.count(F.lit(1)).alias("generations"), F.sum("cache_hits").alias("hits"),
-        F.avg("elapsed_s").alias("mean_cost_per_generation"),
+    """Unique configurations, coverage and hit rate (percent), mean costs.
+
+    Trials and per-generation rows are tagged and unioned, so the summary is
+    one aggregation (no join of the two one-row results).
+    """
+    t = trials.select(F.lit("t").alias("src"), "cand_key", "elapsed", "fitness",
+                      F.lit(None).cast("long").alias("cache_hits"), F.lit(None).cast("double").alias("elapsed_s"))
+    g = log.filter(F.col("gen").isNotNull()).select(
+        F.lit("g").alias("src"), F.lit(None).cast("string").alias("cand_key"), F.lit(None).cast("double").alias("elapsed"),
+        F.lit(None).cast("double").alias("fitness"), F.col("cache_hits").cast("long").alias("cache_hits"),
+        F.col("elapsed_s").cast("double").alias("elapsed_s"))
+    u = t.unionByName(g)
+    is_t, is_g = F.col("src") == "t", F.col("src") == "g"
+    one = u.agg(
+        F.count_distinct(F.when(is_t, F.col("cand_key"))).alias("unique_configs"),
+        F.avg(F.when(is_t & (F.col("elapsed") > 0), F.col("elapsed"))).alias("mean_cost_per_candidate"),
+        F.max(F.when(is_t & (F.col("fitness") >= 0), F.col("fitness"))).alias("best_fitness"),
+        F.count_if(is_g).alias("generations"),
+        F.sum(F.when(is_g, F.col("cache_hits"))).alias("hits"),
+        F.avg(F.when(is_g, F.col("elapsed_s"))).alias("mean_cost_per_generation"),
     )
-    # Two one-row aggregates joined on a constant key.
-    one = t.withColumn("_k", F.lit(1)).join(g.withColumn("_k", F.lit(1)), "_k")
     return one.select(
         "unique_configs",
         (F.col("unique_configs") * 100.0 / S.SPACE_SIZE).alias("coverage_pct"),

@@ -66,14 +66,20 @@ def trial_report_json(spark, d):
     """Nested report (config, per-generation log, leaderboard top) written as JSON and read back."""
     t = C.trials(spark, d)
     log = G.generation_log(C.populations(spark, d), t).filter(F.col("gen").isNotNull())
-    per_gen = log.agg(F.sort_array(F.collect_list(F.struct("gen", "new_evals", "cache_hits", "best_f1",
-                                                           "elapsed_s"))).alias("per_gen"))
-    top = G.top_distinct(t, 3).agg(F.sort_array(F.collect_list(F.struct("proxy_rank", "cand_key", "fitness")))
-                                   .alias("top"))
+    # Per-generation rows and the top list are tagged and unioned: one aggregation builds the report row.
+    gen_rows = log.select(F.lit("g").alias("src"), F.struct("gen", "new_evals", "cache_hits", "best_f1",
+                                                            "elapsed_s").alias("g"),
+                          F.lit(None).cast("struct<proxy_rank:int,cand_key:string,fitness:double>").alias("t"))
+    top_rows = G.top_distinct(t, 3).select(
+        F.lit("t").alias("src"),
+        F.lit(None).cast("struct<gen:int,new_evals:bigint,cache_hits:bigint,best_f1:double,elapsed_s:double>")
+        .alias("g"),
+        F.struct(F.col("proxy_rank").cast("int").alias("proxy_rank"), "cand_key", "fitness").alias("t"))
     config = F.struct(F.lit(S.POPULATION_SIZE).alias("population"), F.lit(S.GENERATIONS).alias("generations"),
                       F.lit(S.SEED).alias("seed"))
-    report = per_gen.withColumn("_k", F.lit(1)).join(top.withColumn("_k", F.lit(1)), "_k").select(
-        config.alias("config"), "per_gen", "top")
+    report = gen_rows.unionByName(top_rows).agg(
+        F.sort_array(F.collect_list("g")).alias("per_gen"), F.sort_array(F.collect_list("t")).alias("top")
+    ).select(config.alias("config"), "per_gen", "top")
     path = scratch_path(spark, "report")
     files.write_report(report, path)
     return spark.read.json(path)

@@ -174,3 +174,18 @@ def test_stream_one_drop_equals_three(spark):
         assert len(got) == len(set(got))
         titles.append(sorted(got))
     assert titles[0] == titles[1]
+
+
+def test_no_cross_joins_in_any_query(spark):
+    """No registered query plans a cartesian product or a nested-loop join."""
+    import __spark_entry__ as E
+
+    offenders = []
+    for key, fn in E.queries().items():
+        if key in ("search_run", "surrogate_fit", "surrogate_screen", "surrogate_calibration",
+                   "train_text_classifier", "score_news", "baseline_vs_tuned"):
+            continue  # Spark ML fits; their plans are covered by the sweep / scoring checks
+        plan = _plan(fn(spark, "/root/testdata/sf0.001"))
+        if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+            offenders.append(key)
+    assert offenders == []
