@@ -13,24 +13,34 @@ def get_spark(master: str | None = None, app: str = "newslab", shuffle_partition
     """A session with AQE, UTC and the UI off.
 
     On a cluster the master, memory and ``spark.checkpoint.dir`` come from the
-    submit configuration; the values set here only apply when unset.
+    submit configuration; the defaults below are applied only to keys the
+    submit configuration leaves unset.
     """
+    from pyspark import SparkConf, SparkContext
+
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.driver.memory", os.environ.get("NEWSLAB_DRIVER_MEMORY", "8g"))
-    )
+    defaults = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions or int(cpus)),
+        "spark.driver.memory": os.environ.get("NEWSLAB_DRIVER_MEMORY", "8g"),
+    }
+    SparkContext._ensure_initialized()
+    submitted = SparkConf()  # settings given to spark-submit / the launcher
+    builder = SparkSession.builder.appName(app)
+    for key, value in defaults.items():
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
     if master:
         builder = builder.master(master)
-    elif not os.environ.get("SPARK_MASTER") and "spark.master" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+    elif not submitted.contains("spark.master"):
         builder = builder.master(f"local[{cpus}]")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
