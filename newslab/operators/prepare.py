@@ -66,7 +66,7 @@ def prepare_news(raw: DataFrame, min_words: int = S.MIN_WORDS) -> DataFrame:
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepared news: news_id, text, label, label_id, clean_text, words, source, created_at."""
-    return prepare_news(news_raw(spark, sf_dir)).select(
+    return prepare_news(news_raw(spark, sf_dir, labelled_only=True)).select(
         F.col("doc_id").alias("news_id"), "text", "label", "label_id", "clean_text", "words", "source",
         "created_at",
     )

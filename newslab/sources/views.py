@@ -23,7 +23,13 @@ def base_label(toxic, quality):
     return F.when(toxic == 1, F.lit("negatif")).when(quality == 1, F.lit("positif")).otherwise(F.lit("netral"))
 
 
-def news_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def news_raw(spark: SparkSession, sf_dir: str, labelled_only: bool = False) -> DataFrame:
+    """The raw headline table; ``labelled_only`` keeps only documents with a label row.
+
+    The prepared table drops unlabelled rows anyway, so it reads this view
+    with an inner join: the same rows, and the optimizer may then shrink the
+    document side before the shuffle (join reordering, runtime filters).
+    """
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id", base_label(F.col("toxic"), F.col("quality")).alias("lbl")
@@ -37,7 +43,7 @@ def news_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("  "), F.col("lbl"), F.lit(" ")))
     )
     return (
-        docs.join(labels, "doc_id", "left")
+        docs.join(labels, "doc_id", "inner" if labelled_only else "left")
         .join(events, "doc_id", "left")
         .select(
             "doc_id",
