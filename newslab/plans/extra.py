@@ -131,8 +131,10 @@ def stream_ingest_dedup(spark, d):
     store = scratch_path(spark, "stream-store")
     ckpt = scratch_path(spark, "stream-ckpt")
     # Three scheduled runs, each after one more drop has landed.
+    cores = spark.sparkContext.defaultParallelism  # state of one day's titles: small
     jobs.land_in_batches(rows, landing, "seq", 3,
-                         after_each=lambda k: jobs.ingest_dedup_stream(spark, landing, rows.schema, store, ckpt))
+                         after_each=lambda k: jobs.ingest_dedup_stream(spark, landing, rows.schema, store, ckpt,
+                                                                      partitions=cores))
     return spark.read.parquet(store).select("title")  # one row per distinct title
 
 
@@ -145,5 +147,6 @@ def stream_daily_sentiment(spark, d):
     out = scratch_path(spark, "stream-daily")
     ckpt = scratch_path(spark, "stream-ckpt")
     jobs.land_in_batches(scored, landing, "news_id", 3)
-    jobs.daily_sentiment_stream(spark, landing, scored.schema, out, ckpt)
+    jobs.daily_sentiment_stream(spark, landing, scored.schema, out, ckpt,
+                                partitions=spark.sparkContext.defaultParallelism)  # days x sentiments
     return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("day"), "sentiment", "n")

@@ -15,10 +15,31 @@ watermark; the complete result table is rewritten each batch.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Shuffle / state-store partitions for a streaming run.
+
+    A stateful operator keeps the partition count it was first started with
+    (it is stored in the checkpoint) and adaptive execution cannot coalesce
+    it, so size it for the state, not for the session's batch default.
+    """
+    if not n:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 TITLE_BUCKETS = 16
 
 
@@ -58,7 +79,8 @@ def land_in_batches(df: DataFrame, landing: str, order_col: str, n_files: int =
 
 
 def ingest_dedup_stream(spark: SparkSession, landing: str, schema, store: str, checkpoint: str,
-                        delay: str = "1 day", files_per_trigger: int | None = None) -> None:
+                        delay: str = "1 day", files_per_trigger: int | None = None,
+                        partitions: int | None = None) -> None:
     """One scheduled run: stream the newly landed headline files into the store, each title at most once."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if files_per_trigger:
@@ -87,13 +109,14 @@ def ingest_dedup_stream(spark: SparkSession, landing: str, schema, store: str, c
         (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("title_bucket", "batch_id").parquet(store))
 
-    q = (deduped.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    with state_partitions(spark, partitions):
+        q = (deduped.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
 
 
 def daily_sentiment_stream(spark: SparkSession, landing: str, schema, out: str, checkpoint: str,
-                           delay: str = "1 day") -> None:
+                           delay: str = "1 day", partitions: int | None = None) -> None:
     """Counts per (1-day window, sentiment) with a watermark."""
     src = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(landing)
     agg = (
@@ -105,6 +128,7 @@ def daily_sentiment_stream(spark: SparkSession, landing: str, schema, out: str,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.select(F.col("w.start").alias("window_start"), "sentiment", "n").write.mode("overwrite").parquet(out)
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    with state_partitions(spark, partitions):
+        q = (agg.writeStream.outputMode("complete").foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        q.awaitTermination()
