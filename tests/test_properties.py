@@ -189,3 +189,11 @@ def test_no_cross_joins_in_any_query(spark):
         if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
             offenders.append(key)
     assert offenders == []
+
+
+def test_split_window_is_bucketed(spark):
+    """The exact split ranks inside (stratum, hash bucket), never over a whole stratum of rows."""
+    plan = _plan(REGISTRY["stratified_split"](spark, SF01))
+    row_number_windows = [ln for ln in plan.splitlines() if "row_number()" in ln and "Window [" in ln]
+    assert row_number_windows
+    assert all("_b#" in ln.split("windowspecdefinition(")[1].split(",")[1] for ln in row_number_windows)
