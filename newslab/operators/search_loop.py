@@ -44,17 +44,34 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def _early_stop_state(bests: list, patience: int | None) -> tuple[float, int, bool]:
+    """Running best, streak and stop flag after the given per-generation bests (None = all failed)."""
+    best_so_far, streak = -1.0, 0
+    for b in bests:
+        if patience is None or b is None:
+            continue
+        if b > best_so_far:
+            best_so_far, streak = b, 0
+        else:
+            streak += 1
+            if streak >= patience:
+                return best_so_far, streak, True
+    return best_so_far, streak, False
+
+
 def run_search(spark: SparkSession, vectors: DataFrame, store: str, pop_size: int = S.POPULATION_SIZE,
                generations: int = S.GENERATIONS, seed: int = S.SEED, patience: int | None = None,
                surrogate: str | None = None, warmup: int = S.WARMUP_GENERATIONS, pool: int = S.SURROGATE_POOL,
                topk: int = S.SURROGATE_TOPK, parent_scope: str = "population") -> SearchResult:
-    """Run the search; trials and populations are appended under ``store``.
+    """Run (or resume) the search; trials and populations are appended under ``store``.
 
     Per generation: the population (at most pop_size + topk rows) is pinned on
     the driver and logged, its unseen candidates (the evaluated keys are a set
     bounded by the search space) are swept over the vectors in one job and
     appended to the trials store, and the next population is drawn from the
-    stored results.
+    stored results.  A store that already holds generations is resumed: the
+    last logged generation's missing evaluations are completed and the run
+    continues from the next generation, so a restarted driver repeats no work.
     """
     trials_path = f"{store}/trials"
     pops_path = f"{store}/populations"
@@ -63,11 +80,48 @@ def run_search(spark: SparkSession, vectors: DataFrame, store: str, pop_size: in
     seen: set[str] = set()
     if _exists(spark, trials_path):
         seen = {r[0] for r in files.load_trials(spark, trials_path).select("cand_key").distinct().collect()}
-    population = G.create_population(spark, pop_size, seed, 1)
-    best_so_far, streak, stopped = -1.0, 0, False
+    bests: list = []
     walls = []
-    gen = 0
-    for gen in range(1, generations + 1):
+
+    def evaluate(pop: DataFrame, pop_pdf: pd.DataFrame, gen: int) -> DataFrame:
+        todo = pop_pdf.drop_duplicates("cand_key")
+        todo = todo[~todo["cand_key"].isin(seen)]
+        if len(todo):
+            fresh = G.sweep_rows(todo, vectors).withColumn("gen", F.lit(gen))
+            files.append_trials(fresh, trials_path)
+            seen.update(todo["cand_key"])
+        trials = files.load_trials(spark, trials_path)
+        evaluated = pop.join(trials.select("cand_key", "fitness"), "cand_key")
+        if patience is not None:  # one number per generation
+            bests.append(evaluated.agg(F.max(F.when(F.col("fitness") >= 0, F.col("fitness")))).first()[0])
+        return evaluated
+
+    def following(evaluated: DataFrame, gen: int) -> DataFrame:
+        parents_from = files.load_trials(spark, trials_path) if parent_scope == "history" else evaluated
+        return G.next_generation(parents_from, pop_size, seed, gen + 1)
+
+    start = 1
+    population = G.create_population(spark, pop_size, seed, 1)
+    if _exists(spark, pops_path):
+        logged = spark.read.parquet(pops_path)
+        last = logged.agg(F.max("gen")).first()[0]  # one number
+        if last:
+            if patience is not None:
+                for g in range(1, last):
+                    done = logged.filter(F.col("gen") == g).join(files.load_trials(spark, trials_path), "cand_key")
+                    bests.append(done.agg(F.max(F.when(F.col("fitness") >= 0, F.col("fitness")))).first()[0])
+            rows = logged.filter(F.col("gen") == last).select(*pop_cols).collect()
+            pop = spark.createDataFrame([tuple(r) for r in rows], pop_schema)
+            evaluated = evaluate(pop, pd.DataFrame([tuple(r) for r in rows], columns=pop_cols), last)
+            _, _, stopped = _early_stop_state(bests, patience)
+            if stopped or last >= generations:
+                return SearchResult(trials_path, pops_path, last, stopped, walls)
+            population = following(evaluated, last)
+            start = last + 1
+
+    gen = start - 1
+    stopped = False
+    for gen in range(start, generations + 1):
         t0 = time.time()
         if surrogate is not None and gen > warmup and seen:
             from newslab.operators import ml
@@ -87,30 +141,13 @@ def run_search(spark: SparkSession, vectors: DataFrame, store: str, pop_size: in
                 population = population.withColumn("gen", F.lit(gen)).select(*pop_cols)
         # Pin the population on the driver (bounded) and log it.
         rows = population.select(*pop_cols).collect()
-        pop_pdf = pd.DataFrame([tuple(r) for r in rows], columns=pop_cols)
         pop = spark.createDataFrame([tuple(r) for r in rows], pop_schema)
         pop.write.mode("append").parquet(pops_path)
-        todo = pop_pdf.drop_duplicates("cand_key")
-        todo = todo[~todo["cand_key"].isin(seen)]
-        if len(todo):
-            fresh = G.sweep_rows(todo, vectors).withColumn("gen", F.lit(gen))
-            files.append_trials(fresh, trials_path)
-            seen.update(todo["cand_key"])
-        trials = files.load_trials(spark, trials_path)
-        evaluated = pop.join(trials.select("cand_key", "fitness"), "cand_key")
-        best_gen = None
-        if patience is not None:  # one number per generation
-            best_gen = evaluated.agg(F.max(F.when(F.col("fitness") >= 0, F.col("fitness")))).first()[0]
+        evaluated = evaluate(pop, pd.DataFrame([tuple(r) for r in rows], columns=pop_cols), gen)
         walls.append(time.time() - t0)
-        if patience is not None and best_gen is not None:
-            if best_gen > best_so_far:
-                best_so_far, streak = best_gen, 0
-            else:
-                streak += 1
-                if streak >= patience:
-                    stopped = True
-                    break
+        _, _, stopped = _early_stop_state(bests, patience)
+        if stopped:
+            break
         if gen < generations:
-            parents_from = trials if parent_scope == "history" else evaluated
-            population = G.next_generation(parents_from, pop_size, seed, gen + 1)
+            population = following(evaluated, gen)
     return SearchResult(trials_path, pops_path, gen, stopped, walls)
