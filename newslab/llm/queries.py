@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslab.llm import chat_format, exact_dedup, language_id, mixing, packing, quality_crf, token_counts, url_filter
+from newslab.llm import chat_format, exact_dedup, language_id, mixing, packing, quality_crf, repeats, token_counts, url_filter
 from newslab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,6 +154,15 @@ hit AS (
 SELECT c.page_id, c.host, CAST(c.fetch_date AS VARCHAR) AS fetch_date, hit.page_id IS NOT NULL AS blocked, coalesce(hit.n, 0) AS n_lists, hit.first_list
 FROM c LEFT JOIN hit USING (page_id)"""
 
+# ------------------------------------------------------------------ 6
+
+
+@query
+def op6_repeats(spark, d):
+    """Bytes of repeated passages that go from every document."""
+    return repeats.remove_repeats(table(spark, d, "documents")).drop("spans")
+
+
 # ------------------------------------------------------------------ 7
 
 
