@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslab.llm import chat_format, exact_dedup, language_id, mixing, packing, quality_crf, repeats, token_counts, url_filter
+from newslab.llm import chat_format, exact_dedup, jaccard_join, language_id, mixing, packing, quality_crf, repeats, token_counts, url_filter
 from newslab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +93,15 @@ def op3_token_counts(spark, d):
     return token_counts.count_tokens(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+# ------------------------------------------------------------------ 4
+
+
+@query
+def op4_jaccard_join(spark, d):
+    """Shingle sets and link components of all documents."""
+    return jaccard_join.link_documents(table(spark, d, "documents"))
+
+
 # ------------------------------------------------------------------ 5
 
 FIRST_DAY, DAYS = "2024-01-01", 180
