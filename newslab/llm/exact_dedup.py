@@ -18,6 +18,8 @@ from newslab.llm.common import WORD_GAP, text_or_empty, written
 BUCKET_KEYS = 1_000_000
 #: Shared keys that are broadcast (8 MB of hashes); beyond, the same join is shuffled.
 BROADCAST_KEYS = 1_000_000
+#: Rows of (doc_id, digest) that are broadcast to drop copies (about 30 MB); beyond, the same join is shuffled.
+BROADCAST_ROWS = 250_000
 HASH_BITS = 64
 
 
@@ -107,11 +109,14 @@ def dedup_exact(docs: DataFrame, capacity: int = BUCKET_KEYS, broadcast_keys: in
 def keep_first(docs: DataFrame, capacity: int = BUCKET_KEYS) -> DataFrame:
     """The rows of ``docs`` that ``dedup_exact`` keeps, with all their columns."""
     found = written(dedup_exact(docs, capacity), "dedup-result")
-    ids = found.select(F.col("doc_id").alias("d_id"), F.col("text_sha256").alias("d_sha"), "kept")
-    # Rows that go, by doc_id and text; where one row of several equal ones stays, all but one of them go.
-    state = ids.groupBy("d_id", "d_sha").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("times"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("d_id")) & (F.col("_sha") == F.col("d_sha"))
+    # Texts of which a row goes, by doc_id; where one of several equal rows stays, all but one of them go.
+    state = written(found.groupBy(F.col("doc_id").alias("d_id"), F.col("text_sha256").alias("d_sha"))
+                    .agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("times")).filter("not stays or times > 1"), "dedup-go")
+    again = state.filter("stays")
+    go = F.broadcast(state) if state.count() <= BROADCAST_ROWS else state
     rows = docs.withColumn("_sha", F.sha2(normalised(), 256))
-    once = rows.join(state.filter("not stays or times > 1"), same, "left_anti")
-    repeated = rows.join(state.filter("stays and times > 1"), same, "left_semi").dropDuplicates(["doc_id", "_sha"])
-    return once.unionByName(repeated).drop("_sha")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("d_id")) & (F.col("_sha") == F.col("d_sha"))
+    once = rows.join(go, same, "left_anti")
+    if again.isEmpty():
+        return once.drop("_sha")
+    return once.unionByName(rows.join(again, same, "left_semi").dropDuplicates(["doc_id", "_sha"])).drop("_sha")

@@ -177,6 +177,27 @@ def select(lang: np.ndarray, gram: np.ndarray, n: np.ndarray, drawn: dict, sizes
     return LanguageFilters.build(languages, members, usual)
 
 
+#: A text is in no learned language if fewer than this share of its n-grams is known to the one named ...
+MIN_COVERAGE = 0.2
+#: ... and it has at least this many n-grams: of less, nothing can be said.
+MIN_NGRAMS = 20
+
+
+def keep_known(docs: DataFrame, filters: LanguageFilters, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose text has a letter and is in a learned language."""
+    sent = docs.sparkSession.sparkContext.broadcast(filters)
+
+    @F.arrow_udf("boolean")
+    def known(texts: pa.Array) -> pa.Array:
+        model, out = sent.value, []
+        for t in texts:
+            lang, _, coverage = model.decide(t.as_py())
+            out.append(lang != UNKNOWN and (coverage >= min_coverage or len(ngram_hashes(t.as_py())) < MIN_NGRAMS))
+        return pa.array(out, pa.bool_())
+
+    return docs.filter(known(text_or_empty()))
+
+
 def identify(docs: DataFrame, filters: LanguageFilters) -> DataFrame:
     """doc_id, held_out, lang_pred, score, coverage for every row of ``docs`` (doc_id, text; other columns ignored).
 

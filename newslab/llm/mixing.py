@@ -112,3 +112,20 @@ def schedule(plan: DataFrame) -> DataFrame:
     """The training order: a row (position, doc_id, source, epoch, words) per copy, range-sorted by position."""
     return (plan.select("doc_id", "source", F.explode("copies").alias("c"))
             .select("c.position", "doc_id", "source", "c.epoch", "c.words").orderBy("position", "doc_id", "epoch"))
+
+
+def mixed_rows(docs: DataFrame, seed: int = 17) -> DataFrame:
+    """The rows of ``docs``, with all columns, once per copy that the mix takes, range-sorted by training position.
+
+    A copy that the quota cuts is whole here if at least half of it is taken and else left out.  Rows that share a
+    doc_id are told apart by source and size; where these agree too, the copies of one stand for all of them.
+    """
+    plan = written(plan_mix(docs, seed).filter("taken > 0").select(
+        F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size"),
+        F.filter("copies", lambda c: 2 * c["words"] >= F.col("size")).alias("_copies"))
+        .dropDuplicates(["p_id", "p_source", "p_size"]), "mix-plan")
+    rows = docs.withColumn("_size", word_count(text_or_empty()))
+    taken = rows.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col("p_id"))
+                      & F.col("source").cast("string").eqNullSafe(F.col("p_source")) & (F.col("_size") == F.col("p_size")))
+    return (taken.select(*[F.col(c) for c in docs.columns], F.explode("_copies").alias("_copy"))
+            .orderBy("_copy.position", "doc_id", "_copy.epoch").drop("_copy"))
