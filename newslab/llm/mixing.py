@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from newslab.llm.common import WORD_GAP, text_or_empty, written
 
 MAX_REPEATS = 3
+#: Number of values of ``order_hash``.
+HASHES = 1 << 60
 #: Rows per (source, hash range) that one window sums; the number of ranges follows the input.
 RANGE_ROWS = 50_000
 #: Weight at the start and end of training for sources of weight 1, 2 and 3.
@@ -80,7 +82,7 @@ def plan_mix(docs: DataFrame, seed: int = 17, max_repeats: int = MAX_REPEATS, ra
                    .withColumn("h", order_hash(F.col("doc_id"), seed))
                    .withColumn("tie", F.monotonically_increasing_id()), "mix-sizes")
     n_ranges = max(1, rows.count() // range_rows)
-    rows = rows.withColumn("range", F.pmod("h", F.lit(n_ranges)))
+    rows = rows.withColumn("range", F.expr(f"h div {-(-HASHES // n_ranges)}L"))
     ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     ranges = written(ranges, "mix-ranges")
     targets = source_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), max_repeats, len(schedules))
