@@ -108,11 +108,6 @@ def lexicon_sentiment(clean: Column, positive: Sequence[str] = S.POSITIVE_WORDS,
     return sentiment, confidence
 
 
-def ticker_pattern(ticker: str) -> str:
-    t = re.escape(ticker)
-    return rf"(?<!{_WORD_CHAR}){t}(?!{_WORD_CHAR})"
-
-
 def detect_tickers(text: Column, tickers: Sequence[str] = tuple(t for t, _ in S.TICKERS)) -> Column:
     """Whole-word tickers found in the upper-cased text, in dictionary order, no repeats.
 
@@ -177,32 +172,6 @@ def strip_text(c: Column) -> Column:
     return F.regexp_replace(c, _EDGE_SPACE, "")
 
 
-def html_text(fragment: Column) -> Column:
-    """Text of an HTML fragment: tags removed, common entities decoded."""
-    no_tags = F.regexp_replace(fragment, "<[^>]*>", "")
-    decoded = no_tags
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        decoded = F.replace(decoded, F.lit(ent), F.lit(ch))
-    return strip_text(decoded)
-
-
-def first_heading(html: Column, tags: Sequence[str] = ("h1",)) -> Column:
-    alt = "|".join(re.escape(t) for t in tags)
-    return F.regexp_extract(html, rf"(?is)<(?:{alt})(?:\s[^>]*)?>(.*?)</(?:{alt})>", 1)
-
-
-CONTAINER_TAGS = ("article", "li", "div")
-
-
-def containers_before_heading(html: Column, tags: Sequence[str] = ("h1",),
-                              containers: Sequence[str] = CONTAINER_TAGS) -> Column:
-    """Number of container elements opened before the first heading (0 when there is no heading)."""
-    alt = "|".join(re.escape(t) for t in tags)
-    prefix = F.regexp_extract(html, rf"(?is)^(.*?)<(?:{alt})(?:\s[^>]*)?>", 1)
-    cont = "|".join(re.escape(t) for t in containers)
-    return F.size(F.regexp_extract_all(prefix, F.lit(rf"(?i)<(?:{cont})(?:\s[^>]*)?>"), 0))
-
-
 def first_href(html: Column) -> Column:
     return F.regexp_extract(html, r"(?is)<a\s[^>]*?href=\"([^\"]*)\"", 1)
 

@@ -52,8 +52,7 @@ def build_vocab(news_df: DataFrame, text_col: str = "clean_text") -> DataFrame:
 def encode(news_df: DataFrame, vocab: DataFrame, max_length: int = S.MAX_LENGTH, id_col: str = "news_id",
            text_col: str = "clean_text") -> DataFrame:
     """``input_ids`` and ``attention_mask``, both exactly ``max_length`` long."""
-    toks = news_df.select(id_col, F.posexplode(X.tokens(F.col(text_col))).alias("pos", "word"))
-    head = toks.filter(F.col("pos") < max_length)
+    head = news_df.select(id_col, F.posexplode(F.slice(X.tokens(F.col(text_col)), 1, max_length)).alias("pos", "word"))
     ided = head.join(vocab.select("word", "id"), "word")
     per_doc = ided.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("t"))
     ids = F.transform(F.col("t"), lambda x: x["id"])

@@ -151,7 +151,7 @@ def dashboard_read(df: DataFrame, n: int = S.RECENT_ROWS, ts: str = "created_at"
 
 
 def daily_sentiment(df: DataFrame, ts: str = "created_at") -> DataFrame:
-    """Counts per day and sentiment, pivoted in fixed order with zero fill."""
+    """Counts per day and sentiment, pivoted in fixed order with zero fill; undated rows count under a null day."""
     day = F.date_format(F.col(ts), "yyyy-MM-dd").alias("day")
-    piv = df.filter(F.col(ts).isNotNull()).groupBy(day).pivot("sentiment", list(S.REPORT_ORDER)).count()
+    piv = df.groupBy(day).pivot("sentiment", list(S.REPORT_ORDER)).count()
     return piv.select("day", *(F.coalesce(F.col(s), F.lit(0)).cast("long").alias(s) for s in S.REPORT_ORDER))

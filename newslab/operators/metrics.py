@@ -87,3 +87,13 @@ def compare_runs(a: DataFrame, b: DataFrame) -> DataFrame:
         F.when(F.col("b") != 0, F.col("a") / F.col("b")).alias("ratio"),
         (F.col("a") - F.col("b")).alias("delta"),
     )
+
+
+def compare_groups(metrics: DataFrame, by: str, a: str, b: str,
+                   names: Sequence[str] = ("accuracy", "precision", "recall", "f1")) -> DataFrame:
+    """J6 + F15 for two groups of one metric table: one aggregation turns its rows into columns ``a`` and ``b``."""
+    stack = ", ".join(f"'{m}', CAST({m} AS DOUBLE)" for m in names)
+    both = metrics.selectExpr(by, f"stack({len(names)}, {stack}) AS (metric, value)").groupBy("metric").agg(
+        F.max(F.when(F.col(by) == a, F.col("value"))).alias("a"), F.max(F.when(F.col(by) == b, F.col("value"))).alias("b"))
+    return both.select("metric", "a", "b", F.when(F.col("b") != 0, F.col("a") / F.col("b")).alias("ratio"),
+                       (F.col("a") - F.col("b")).alias("delta"))

@@ -1,21 +1,22 @@
 """News preparation, exact stratified splits and dataset profile.
 
 Split and subset are exact per stratum, reproducible for any partitioning,
-and never send a whole stratum to one task:
+and rank almost no rows:
 
 1. ``h`` = seeded 32-bit md5 draw of the row id; bucket ``b = h >> 16``.
-2. ``row_number`` over ``(stratum, b)`` ordered by ``(h, id)``: 65,536
-   buckets per stratum, so a stratum holding a third of all rows is spread
-   over tens of thousands of window partitions.
-3. Bucket sizes are aggregated into a table of at most 65,536 rows per
-   stratum; running sums give each bucket's offset.
-4. ``rank = offset + row_number`` is the row's exact rank in the stratum in
-   ``(h, id)`` order, identical to a window over the whole stratum.
+2. Rows are counted per ``(stratum, b)`` (map-side combine); running sums give
+   each bucket's offset, so for every cut ``k`` (a rank in ``(h, id)`` order) the
+   bucket that holds it is known: one per stratum and cut.
+3. Rows of earlier and later buckets are decided by comparing ``b`` with the cut
+   bucket, next to the scan and without a shuffle.
+4. Only the rows of the cut buckets (about 1 in 65,536) are ranked by a window
+   over ``(stratum, b)``, as ids and draws; the rest of the row stays at the scan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -64,57 +65,88 @@ def prepare_news(raw: DataFrame, min_words: int = S.MIN_WORDS) -> DataFrame:
     return df.filter(keep).withColumn("label_id", X.label_id(F.col("label")))
 
 
-def news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared news: news_id, text, label, label_id, clean_text, words, source, created_at."""
-    return prepare_news(news_raw(spark, sf_dir, labelled_only=True)).select(
+def news(spark: SparkSession, sf_dir: str, dated: bool = True) -> DataFrame:
+    """Prepared news: news_id, text, label, label_id, clean_text, words, source and, if ``dated``, created_at."""
+    return prepare_news(news_raw(spark, sf_dir, labelled_only=True, dated=dated)).select(
         F.col("doc_id").alias("news_id"), "text", "label", "label_id", "clean_text", "words", "source",
-        "created_at",
+        *(["created_at"] if dated else []),
     )
 
 
-def to_records(df: DataFrame) -> DataFrame:
-    """Model records, source text dropped."""
-    return df.select(F.col("clean_text").alias("text"), F.col("label_id").alias("labels"))
-
-
 # ---------------------------------------------------------------------------
 # D1 - D3
 # ---------------------------------------------------------------------------
 
 
-def stratified_rank(df: DataFrame, strata: Sequence[str], id_col: str, seed: int = S.SEED) -> DataFrame:
-    """Add ``_rank`` (1-based, exact, in seeded hash order) and ``_n`` per stratum."""
+#: Strata whose cuts are broadcast (a few numbers each); beyond, the same join is shuffled.
+BROADCAST_STRATA = 10_000
+#: Ranked rows of cut buckets (id and rank) that are broadcast; beyond, these few rows are shuffled whole.
+BROADCAST_RANKS = 1_000_000
+
+
+def stratified_part(df: DataFrame, strata: Sequence[str], id_col: str, cuts: Sequence[Callable[[Column], Column]],
+                    seed: int = S.SEED) -> DataFrame:
+    """Add ``_part``: how many of the cuts lie before the row's exact rank in its stratum (seeded hash order).
+
+    ``cuts`` map a stratum's size to the last rank before the cut, in rising order.
+    """
     strata = list(strata)
     keyed = df.withColumn("_h", draw(seed, F.col(id_col))).withColumn("_b", F.shiftright(F.col("_h"), 16))
-    in_bucket = Window.partitionBy(*strata, "_b").orderBy("_h", id_col)
-    ranked = keyed.withColumn("_rb", F.row_number().over(in_bucket))
-    buckets = ranked.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
+    per_bucket = keyed.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*strata).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.select(
-        *strata,
-        "_b",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
-        F.sum("_cnt").over(Window.partitionBy(*strata)).alias("_n"),
-    )
-    out = ranked.join(buckets, [*strata, "_b"])
-    return out.withColumn("_rank", F.col("_before") + F.col("_rb")).drop("_h", "_b", "_rb", "_before")
+    buckets = per_bucket.select(
+        *strata, "_b", "_cnt", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"),
+        F.sum("_cnt").over(Window.partitionBy(*strata)).alias("_n"))
+    aggs = []
+    for i, cut in enumerate(cuts):
+        open_ = F.col("_before") + F.col("_cnt") > cut(F.col("_n"))  # buckets not wholly before the cut
+        aggs += [F.min(F.when(open_, F.col("_b"))).alias(f"_b{i}"),
+                 F.max(F.when(open_, cut(F.col("_n")) - F.col("_before"))).alias(f"_in{i}"),
+                 F.min_by(F.when(open_, F.col("_cnt")), F.when(open_, F.col("_b"))).alias(f"_size{i}")]
+    table = buckets.groupBy(*strata).agg(*aggs).select(
+        *[F.col(c).alias(f"_s{k}") for k, c in enumerate(strata)],
+        *[f"_{p}{i}" for i in range(len(cuts)) for p in ("b", "in", "size")])
+    rows = table.limit(BROADCAST_STRATA + 1).collect()
+    known = len(rows) <= BROADCAST_STRATA
+    if known:
+        table = F.broadcast(df.sparkSession.createDataFrame(rows, table.schema))
+    cut_rows = sum(r[f"_size{i}"] or 0 for r in rows for i in range(len(cuts)))
+    placed = keyed.join(table, _same([(c, f"_s{k}") for k, c in enumerate(strata)]))
+
+    def divides(i: int) -> Column:  # the row is in the i-th cut's bucket, and the cut lies inside it
+        return F.coalesce((F.col("_b") == F.col(f"_b{i}")) & (F.col(f"_in{i}") > 0), F.lit(False))
+
+    divided = reduce(lambda a, b: a | b, [divides(i) for i in range(len(cuts))])
+    part = reduce(lambda a, b: a + b, [
+        F.when(divides(i), (F.col("_rank") > F.col(f"_in{i}")).cast("int"))
+        .otherwise(F.coalesce(F.col("_b") >= F.col(f"_b{i}"), F.lit(False)).cast("int")) for i in range(len(cuts))])
+    in_bucket = Window.partitionBy(*strata, "_b").orderBy("_h", id_col)
+    number = F.row_number().over(in_bucket).alias("_rank")
+    if known and cut_rows <= BROADCAST_RANKS:
+        ranks = placed.filter(divided).select(F.col(id_col).alias("_id"), number)
+        out = placed.join(F.broadcast(ranks), F.col(id_col) == F.col("_id"), "left").drop("_id")
+    else:
+        out = placed.filter(~divided).withColumn("_rank", F.lit(None).cast("int")).unionByName(
+            placed.filter(divided).select("*", number))
+    return out.select(*df.columns, part.alias("_part"))
 
 
-def split_column(rank: Column, n: Column, fracs: Sequence[int] = S.SPLIT_FRACTIONS) -> Column:
-    total = sum(fracs)
-    train_cut, val_cut = fracs[0], fracs[0] + fracs[1]
-    return (
-        F.when(rank * total <= n * train_cut, F.lit("train"))
-        .when(rank * total <= n * val_cut, F.lit("val"))
-        .otherwise(F.lit("test"))
-    )
+def _same(pairs: Sequence[tuple[str, str]]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in pairs])
 
 
 def stratified_split(df: DataFrame, strata: Sequence[str] = ("label",), id_col: str = "news_id",
                      fracs: Sequence[int] = S.SPLIT_FRACTIONS, seed: int = S.SEED) -> DataFrame:
-    """Exact per-stratum train / val / test by integer cuts (``r*10 <= n*8``)."""
-    ranked = stratified_rank(df, strata, id_col, seed)
-    return ranked.withColumn("split", split_column(F.col("_rank"), F.col("_n"), fracs)).drop("_rank", "_n")
+    """Exact per-stratum train / val / test by integer cuts (``rank * 10 <= n * 8``)."""
+    total = sum(fracs)
+    names = F.array(F.lit("train"), F.lit("val"), F.lit("test"))
+    out = stratified_part(df, strata, id_col, [lambda n, k=sum(fracs[:i + 1]): _div(n * k, total) for i in range(2)], seed)
+    return out.withColumn("split", F.get(names, F.col("_part"))).drop("_part")
+
+
+def _div(a: Column, b: int) -> Column:
+    """Whole-number division of non-negative longs."""
+    return ((a - a % b) / b).cast("long")
 
 
 def subset_size(n: Column, num: int, den: int, rounding: str = "floor") -> Column:
@@ -123,7 +155,7 @@ def subset_size(n: Column, num: int, den: int, rounding: str = "floor") -> Colum
     ``floor``: ``max(1, floor(n*num/den))``; ``nearest``: half-even rounding
     of ``n*num/den`` (what a fractional sample of a group does).
     """
-    q = F.floor((n * num) / den).cast("long")
+    q = _div(n * num, den)
     if rounding == "floor":
         return F.greatest(F.lit(1).cast("long"), q)
     rem = (n * num) - q * den
@@ -135,9 +167,8 @@ def stratified_subset(df: DataFrame, strata: Sequence[str] = ("label",), id_col:
                       frac: tuple[int, int] = S.SUBSET_FRACTION, seed: int = S.SEED,
                       rounding: str = "floor") -> DataFrame:
     """The first ``k`` rows of each stratum in seeded hash order."""
-    ranked = stratified_rank(df, strata, id_col, seed)
-    k = subset_size(F.col("_n"), frac[0], frac[1], rounding)
-    return ranked.filter(F.col("_rank") <= k).drop("_rank", "_n")
+    parts = stratified_part(df, strata, id_col, [lambda n: subset_size(n, frac[0], frac[1], rounding)], seed)
+    return parts.filter(F.col("_part") == 0).drop("_part")
 
 
 # ---------------------------------------------------------------------------

@@ -5,10 +5,11 @@ random choice is an md5 draw of ``(seed, gen, slot, tag)`` so populations are
 reproducible for any partitioning and checkable by a SQL oracle.
 
 Relational scorer (what a candidate means when it is evaluated over the
-news table).  Per prepared news row the bounded features are
+news table); the genes carry the names of the searched configuration, here
+they weigh lexicon hits.  Per prepared news row the integer features are
 
-* ``ph`` / ``nh`` = positive / negative lexicon tokens, clipped at 15,
-* ``wm`` = ``least(words, 7)``, ``lb`` = ``least(words div 100, 5)``;
+* ``ph`` / ``nh`` = positive / negative lexicon tokens,
+* ``wm`` = ``least(words, 7)`` (no gene looks further), ``lb`` = ``words div 100``;
 
 gene indices ``g1..g6`` give weights ``1+g1`` / ``1+g2``, margins ``g3`` /
 ``g4``, length normaliser ``g5`` and minimum words ``3 + 2*g6``:
@@ -20,13 +21,13 @@ gene indices ``g1..g6`` give weights ``1+g1`` / ``1+g2``, margins ``g3`` /
            netral   otherwise
 
 Scale plan of a sweep: the feature rows are aggregated (partial + final
-HashAggregate) into distinct vectors whose number is bounded by
-3 x 16 x 16 x 5 x 6 whatever the data size; each partition of that small
-table is scored against the whole candidate matrix in one vectorised
+HashAggregate) into distinct vectors, whose number grows with the length of
+texts and not with the number of rows; each partition of that table is scored
+against the candidates in slices of fixed memory by one vectorised
 ``mapInPandas`` call that emits nine confusion counts per candidate, and a
-final ``groupBy(cand_key)`` sums them.  No pair of data rows is ever formed
-and the candidate matrix (at most the 972-point grid per batch) is the only
-thing shipped to tasks.
+final ``groupBy(cand_key)`` sums them.  No pair of data rows is ever formed.
+Candidates beyond one batch are dealt into hash groups that are swept one
+after the other, so the driver holds one batch at a time.
 """
 
 from __future__ import annotations
@@ -42,10 +43,12 @@ from newslab import schema as S
 from newslab.functions import text as X
 from newslab.functions.draws import draw, rate_threshold
 from newslab.operators import metrics as M
+from newslab.session import scratch_path
 
 GENE_COLS = [f"i_{g}" for g in S.GENES]
-HIT_CLIP = 15
-MAX_CANDIDATES_PER_BATCH = 4096
+#: Candidates that are sent to tasks at once, and bytes of one work array in a task.
+BATCH_CANDIDATES = 4096
+SLICE_BYTES = 8 << 20
 FEATURE_COLS = ["label_id", "ph", "nh", "wm", "lb"]
 
 # ---------------------------------------------------------------------------
@@ -158,9 +161,10 @@ def crossover(parents: DataFrame, n_parents: int, n_children: int, seed: int, ge
             "r2": (draw(seed, gen, F.col("slot"), "p2") % n_parents + 1).cast("int"),
         }
     )
-    # Parents are at most one population: broadcasting them is bounded.
-    p1 = F.broadcast(parents.select(F.col("rk").alias("r1"), *(F.col(c).alias(f"a_{c}") for c in GENE_COLS)))
-    p2 = F.broadcast(parents.select(F.col("rk").alias("r2"), *(F.col(c).alias(f"b_{c}") for c in GENE_COLS)))
+    p1 = parents.select(F.col("rk").alias("r1"), *(F.col(c).alias(f"a_{c}") for c in GENE_COLS))
+    p2 = parents.select(F.col("rk").alias("r2"), *(F.col(c).alias(f"b_{c}") for c in GENE_COLS))
+    if n_parents <= BATCH_CANDIDATES:
+        p1, p2 = F.broadcast(p1), F.broadcast(p2)
     j = kids.join(p1, "r1").join(p2, "r2")
     genes = {
         f"i_{g}": F.when(draw(seed, gen, F.col("slot"), "x", g) % 2 == 0, F.col(f"a_i_{g}")).otherwise(
@@ -204,21 +208,21 @@ def next_generation(evaluated: DataFrame, n: int, seed: int, gen: int, rate: flo
 
 def scorer_features(news_df: DataFrame, positive: Sequence[str], negative: Sequence[str],
                     by: Sequence[str] = ()) -> DataFrame:
-    """Bounded integer features per news row (needs ``clean_text``, ``words``, ``label_id``)."""
+    """Integer features per news row (needs ``clean_text``, ``words``, ``label_id``)."""
     clean = F.col("clean_text")
     return news_df.select(
         *by,
         "label_id",
-        F.least(X.lexicon_count(clean, positive), F.lit(HIT_CLIP)).alias("ph"),
-        F.least(X.lexicon_count(clean, negative), F.lit(HIT_CLIP)).alias("nh"),
+        X.lexicon_count(clean, positive).alias("ph"),
+        X.lexicon_count(clean, negative).alias("nh"),
         F.least(F.col("words"), F.lit(7)).alias("wm"),
-        F.least((F.col("words") / 100).cast("int"), F.lit(5)).alias("lb"),
+        (F.col("words") / 100).cast("int").alias("lb"),
     )
 
 
 def feature_vectors(news_df: DataFrame, positive: Sequence[str], negative: Sequence[str],
                     by: Sequence[str] = ()) -> DataFrame:
-    """Distinct feature vectors with their row counts (bounded size per ``by`` group)."""
+    """Distinct feature vectors with their row counts."""
     return scorer_features(news_df, positive, negative, by).groupBy(*by, *FEATURE_COLS).agg(
         F.count(F.lit(1)).alias("cnt")
     )
@@ -235,22 +239,18 @@ def predict_column(genes: dict[str, Column], ph: Column, nh: Column, wm: Column,
 
 
 def _score_matrix(cands: np.ndarray, vec: pd.DataFrame) -> np.ndarray:
-    """C x 9 confusion counts of every candidate over a batch of vectors."""
-    g = cands[:, :, None].astype(np.int64)  # C x 6 x 1
-    ph = vec["ph"].to_numpy(np.int64)[None, :]
-    nh = vec["nh"].to_numpy(np.int64)[None, :]
-    wm = vec["wm"].to_numpy(np.int64)[None, :]
-    lb = vec["lb"].to_numpy(np.int64)[None, :]
-    y = vec["label_id"].to_numpy(np.int64)
-    cnt = vec["cnt"].to_numpy(np.int64)
-    s = ph * (g[:, 0] + 1) - nh * (g[:, 1] + 1)
-    m = g[:, 4] * lb
-    pred = np.where(wm < g[:, 5] * 2 + 3, 1, np.where(s > g[:, 2] + m, 2, np.where(-s > g[:, 3] + m, 0, 1)))
+    """C x 9 confusion counts of every candidate over a batch of vectors, in candidate slices of ``SLICE_BYTES``."""
+    ph, nh, wm, lb, y, cnt = (vec[c].to_numpy(np.int64) for c in ("ph", "nh", "wm", "lb", "label_id", "cnt"))
+    weights = np.stack([np.where(y == i, cnt, 0) for i in range(3)], axis=1)  # vectors x 3
     out = np.zeros((cands.shape[0], 9), dtype=np.int64)
-    for i in range(3):
-        wi = np.where(y == i, cnt, 0)[None, :]
+    step = max(1, SLICE_BYTES // (8 * max(len(vec), 1)))
+    for first in range(0, len(cands), step):
+        g = cands[first:first + step, :, None]  # slice x 6 x 1
+        s = ph * (g[:, 0] + 1) - nh * (g[:, 1] + 1)
+        m = g[:, 4] * lb
+        pred = np.where(wm < g[:, 5] * 2 + 3, 1, np.where(s > g[:, 2] + m, 2, np.where(-s > g[:, 3] + m, 0, 1)))
         for j in range(3):
-            out[:, i * 3 + j] = ((pred == j) * wi).sum(axis=1)
+            out[first:first + step, j::3] = (pred == j).astype(np.int64) @ weights
     return out
 
 
@@ -285,17 +285,6 @@ def _sweep_batch(cands_pdf: pd.DataFrame, vectors: DataFrame, by: Sequence[str]
     return partial.groupBy(*by, "cand_key").agg(*(F.sum(c).alias(c) for c in count_cols))
 
 
-def sweep_rows(cands_pdf: pd.DataFrame, vectors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Sweep for candidates already on the driver (at most one checked batch, e.g. a population)."""
-    spark = vectors.sparkSession
-    if len(cands_pdf) > MAX_CANDIDATES_PER_BATCH:
-        raise ValueError("too many candidates for one batch; use sweep() with a DataFrame")
-    cands_pdf = cands_pdf[["cand_key", *GENE_COLS]].drop_duplicates("cand_key").reset_index(drop=True)
-    schema = "cand_key STRING, " + ", ".join(f"{c} INT" for c in GENE_COLS)
-    sel = spark.createDataFrame([tuple(r) for r in cands_pdf.itertuples(index=False, name=None)], schema)
-    return _finish_sweep(sel, _sweep_batch(cands_pdf, vectors, by), by, small=True)
-
-
 def _finish_sweep(sel: DataFrame, results: DataFrame, by: Sequence[str], small: bool) -> DataFrame:
     count_cols = [f"c{i}{j}" for i in range(3) for j in range(3)]
     by = list(by)
@@ -311,45 +300,39 @@ def _finish_sweep(sel: DataFrame, results: DataFrame, by: Sequence[str], small:
     return scored.select(
         *by, "cand_key", *GENE_COLS, *count_cols, "n", "accuracy", "precision", "recall",
         F.when(failed, F.lit(-1.0)).otherwise(F.col("f1")).alias("fitness"),
-        F.col("n").cast("double").alias("elapsed"),
+        F.col("n").cast("double").alias("rows_scored"),
         F.when(failed, F.lit("empty evaluation set")).alias("error"),
     )
 
 
-def sweep(cands: DataFrame, vectors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def sweep(cands: DataFrame, vectors: DataFrame, by: Sequence[str] = (), batch: int = BATCH_CANDIDATES) -> DataFrame:
     """Every candidate scored over every vector; metrics per candidate (and per ``by`` group).
 
-    Candidates are brought to the driver in batches of at most
-    ``MAX_CANDIDATES_PER_BATCH`` rows (their size is checked), never the data.
+    Up to ``batch`` candidates are sent to the tasks in one job.  More are dealt into hash groups of about that size;
+    the groups are swept one after the other and their counts written to the shared folder, so any number works and
+    the driver never holds more than one group.
     Returns [by...], cand_key, genes, c00..c22, n, accuracy, precision, recall,
-    fitness, elapsed (rows scored) and error (G6: an evaluation failure
+    fitness, rows_scored and error (G6: an evaluation failure
     becomes a row with fitness -1).  A ``by`` group present only with zero
     counts yields failure rows.
     """
     spark = cands.sparkSession
     sel = cands.select("cand_key", *GENE_COLS).dropDuplicates(["cand_key"])
-    count_cols = [f"c{i}{j}" for i in range(3) for j in range(3)]
-    results = None
-    # Size check and first batch in one job: at most MAX + 1 candidate rows reach the driver.
-    first = sel.orderBy("cand_key").limit(MAX_CANDIDATES_PER_BATCH + 1).toPandas()
-    batches = [first.iloc[:MAX_CANDIDATES_PER_BATCH]]
-    if len(first) > MAX_CANDIDATES_PER_BATCH:
-        start = MAX_CANDIDATES_PER_BATCH
-        while True:
-            nxt = sel.orderBy("cand_key").offset(start).limit(MAX_CANDIDATES_PER_BATCH).toPandas()
-            if nxt.empty:
-                break
-            batches.append(nxt)
-            start += MAX_CANDIDATES_PER_BATCH
-    for batch in batches:
-        if batch.empty:
-            continue
-        part = _sweep_batch(batch, vectors, by)
-        results = part if results is None else results.unionByName(part)
-    if results is None:
-        results = spark.createDataFrame([], "cand_key STRING, " + ", ".join(f"{c} LONG" for c in count_cols))
-        by = ()
-    return _finish_sweep(sel, results, by, small=len(batches) == 1)
+    first = sel.limit(batch + 1).toPandas()  # size check and candidates in one job
+    if not len(first):
+        counts = "cand_key STRING, " + ", ".join(f"c{i}{j} LONG" for i in range(3) for j in range(3))
+        return _finish_sweep(sel, spark.createDataFrame([], counts), (), small=True)
+    if len(first) <= batch:
+        schema = "cand_key STRING, " + ", ".join(f"{c} INT" for c in GENE_COLS)
+        sel = spark.createDataFrame([tuple(r) for r in first.itertuples(index=False, name=None)], schema)
+        return _finish_sweep(sel, _sweep_batch(first, vectors, by), by, small=True)
+    groups = -(-2 * sel.count() // batch)
+    path = scratch_path(spark, "sweep")
+    for k in range(groups):
+        part = sel.filter(F.pmod(F.xxhash64("cand_key"), F.lit(groups)) == k).toPandas()
+        if len(part):
+            _sweep_batch(part, vectors, by).write.mode("append").parquet(path)
+    return _finish_sweep(sel, spark.read.parquet(path), by, small=False)
 
 
 # ---------------------------------------------------------------------------
@@ -367,12 +350,12 @@ def unseen(cands: DataFrame, trials: DataFrame) -> DataFrame:
 
 
 def attach_results(pop: DataFrame, trials: DataFrame, gen_col: str = "gen") -> DataFrame:
-    """Population slots with their stored result; elapsed 0 when it was a cache hit.
+    """Population slots with their stored result; 0 rows scored when it was a cache hit.
 
     A hit is a result first stored in an earlier generation than the slot's.
     """
     first = trials.groupBy("cand_key").agg(
-        F.min_by(F.struct("fitness", "elapsed", F.col("gen").alias("first_gen")), F.col("gen")).alias("t")
+        F.min_by(F.struct("fitness", "rows_scored", F.col("gen").alias("first_gen")), F.col("gen")).alias("t")
     )
     j = pop.join(first, "cand_key", "left")
     hit = F.col("t.first_gen") < F.col(gen_col)
@@ -380,7 +363,7 @@ def attach_results(pop: DataFrame, trials: DataFrame, gen_col: str = "gen") -> D
         *pop.columns,
         F.coalesce(hit, F.lit(False)).alias("hit"),
         F.col("t.fitness").alias("fitness"),
-        F.when(hit, F.lit(0.0)).otherwise(F.col("t.elapsed")).alias("elapsed"),
+        F.when(hit, F.lit(0.0)).otherwise(F.col("t.rows_scored")).alias("rows_scored"),
     )
 
 
@@ -416,7 +399,7 @@ def generation_log(populations: DataFrame, trials: DataFrame) -> DataFrame:
     """A10: per generation new evaluations, cache hits, best valid fitness, cost; plus a total row."""
     first = trials.groupBy("cand_key").agg(
         F.min("gen").alias("first_gen"), F.min_by("fitness", "gen").alias("fitness"),
-        F.min_by("elapsed", "gen").alias("cost"),
+        F.min_by("rows_scored", "gen").alias("cost"),
     )
     slots = populations.join(first, "cand_key", "left")
     per_slot = slots.select(
@@ -428,15 +411,15 @@ def generation_log(populations: DataFrame, trials: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("slots"),
         F.max(F.when(F.col("fitness") >= 0, F.col("fitness"))).alias("best"),
     )
-    cost = first.groupBy(F.col("first_gen").alias("gen")).agg(F.sum("cost").alias("elapsed_s"))
+    cost = first.groupBy(F.col("first_gen").alias("gen")).agg(F.sum("cost").alias("rows_scored"))
     g = per_gen.join(cost, "gen", "left").select(
         "gen", "new_evals", (F.col("slots") - F.col("new_evals")).alias("cache_hits"),
         F.coalesce(F.col("best"), F.lit(-1.0)).alias("best_f1"),
-        F.coalesce(F.col("elapsed_s"), F.lit(0.0)).alias("elapsed_s"),
+        F.coalesce(F.col("rows_scored"), F.lit(0.0)).alias("rows_scored"),
     )
     return g.rollup("gen").agg(
         F.sum("new_evals").alias("new_evals"), F.sum("cache_hits").alias("cache_hits"),
-        F.max("best_f1").alias("best_f1"), F.sum("elapsed_s").alias("elapsed_s"),
+        F.max("best_f1").alias("best_f1"), F.sum("rows_scored").alias("rows_scored"),
     )
 
 
@@ -474,21 +457,21 @@ def search_summary(trials: DataFrame, log: DataFrame, pop_size: int) -> DataFram
     Trials and per-generation rows are tagged and unioned, so the summary is
     one aggregation (no join of the two one-row results).
     """
-    t = trials.select(F.lit("t").alias("src"), "cand_key", "elapsed", "fitness",
-                      F.lit(None).cast("long").alias("cache_hits"), F.lit(None).cast("double").alias("elapsed_s"))
+    t = trials.select(F.lit("t").alias("src"), "cand_key", F.col("rows_scored").alias("cost"), "fitness",
+                      F.lit(None).cast("long").alias("cache_hits"))
     g = log.filter(F.col("gen").isNotNull()).select(
-        F.lit("g").alias("src"), F.lit(None).cast("string").alias("cand_key"), F.lit(None).cast("double").alias("elapsed"),
-        F.lit(None).cast("double").alias("fitness"), F.col("cache_hits").cast("long").alias("cache_hits"),
-        F.col("elapsed_s").cast("double").alias("elapsed_s"))
+        F.lit("g").alias("src"), F.lit(None).cast("string").alias("cand_key"),
+        F.col("rows_scored").cast("double").alias("cost"), F.lit(None).cast("double").alias("fitness"),
+        F.col("cache_hits").cast("long").alias("cache_hits"))
     u = t.unionByName(g)
     is_t, is_g = F.col("src") == "t", F.col("src") == "g"
     one = u.agg(
         F.count_distinct(F.when(is_t, F.col("cand_key"))).alias("unique_configs"),
-        F.avg(F.when(is_t & (F.col("elapsed") > 0), F.col("elapsed"))).alias("mean_cost_per_candidate"),
+        F.avg(F.when(is_t & (F.col("cost") > 0), F.col("cost"))).alias("mean_cost_per_candidate"),
         F.max(F.when(is_t & (F.col("fitness") >= 0), F.col("fitness"))).alias("best_fitness"),
         F.count_if(is_g).alias("generations"),
         F.sum(F.when(is_g, F.col("cache_hits"))).alias("hits"),
-        F.avg(F.when(is_g, F.col("elapsed_s"))).alias("mean_cost_per_generation"),
+        F.avg(F.when(is_g, F.col("cost"))).alias("mean_cost_per_generation"),
     )
     return one.select(
         "unique_configs",
@@ -508,9 +491,9 @@ def savings(log: DataFrame, warmup: int = S.WARMUP_GENERATIONS) -> DataFrame:
     w = per_gen.agg(
         F.count(F.lit(1)).alias("generations"),
         F.sum("new_evals").alias("actual_evals"),
-        F.sum("elapsed_s").alias("actual_cost"),
+        F.sum("rows_scored").alias("actual_cost"),
         F.avg(F.when(F.col("gen") <= warmup, F.col("new_evals"))).alias("warmup_evals_per_gen"),
-        F.avg(F.when(F.col("gen") <= warmup, F.col("elapsed_s"))).alias("warmup_cost_per_gen"),
+        F.avg(F.when(F.col("gen") <= warmup, F.col("rows_scored"))).alias("warmup_cost_per_gen"),
     )
     est_e = F.col("warmup_evals_per_gen") * F.col("generations")
     est_c = F.col("warmup_cost_per_gen") * F.col("generations")
@@ -527,6 +510,21 @@ def topk(df: DataFrame, score: str, k: int) -> DataFrame:
     return df.orderBy(F.col(score).desc(), F.col("cand_key")).limit(k)
 
 
+def predict_main_effects(trials: DataFrame, pool: DataFrame) -> DataFrame:
+    """Predicted fitness of pool candidates: the mean, over the genes, of the stored fitness of valid trials with the
+    candidate's value of that gene (of all valid trials for a value never tried), rounded to 12 places.
+    """
+    genes = ", ".join(f"'{c}', {c}" for c in GENE_COLS)
+    long = lambda df, *cols: df.selectExpr(*cols, f"stack({len(GENE_COLS)}, {genes}) AS (gene, value)")
+    valid = valid_trials(trials)
+    effect = long(valid, "fitness").groupBy(F.col("gene").alias("e_gene"), F.col("value").alias("e_value")).agg(
+        F.avg("fitness").alias("effect"))
+    overall = valid.agg(F.avg("fitness")).first()[0] or 0.0  # one number
+    scored = (long(pool, "cand_key").join(effect, (F.col("gene") == F.col("e_gene")) & (F.col("value") == F.col("e_value")), "left")
+              .groupBy("cand_key").agg(F.round(F.avg(F.coalesce("effect", F.lit(overall))), 12).alias("predicted")))
+    return pool.select("cand_key", *GENE_COLS).join(scored, "cand_key")
+
+
 def merge_evaluated(a: DataFrame, b: DataFrame) -> DataFrame:
     """``a`` plus the rows of ``b`` whose key is not in ``a``."""
     return a.unionByName(b.join(a.select("cand_key"), "cand_key", "left_anti"))

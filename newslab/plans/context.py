@@ -22,14 +22,23 @@ from newslab.session import scratch_path
 POSITIVE = ("the", "und")
 NEGATIVE = ("les", "que")
 TICKER_WORDS = ("THE", "AND", "UND", "LES", "QUE")
-HEADING_TAGS = ("h1",)
-LOW_FIDELITY = (1, 10)  # 10 % subset used to screen a pool cheaply
+# The supplied pages list links as items (<li><a>) and carry one article heading; a headline is an item's own link
+# text, or the page's heading with the first link of its body.
+HEADLINE_RULES = (("body", ("h1",)), ("li", ("a",)))
+MIN_TITLE = 4
 
 _CACHE: dict = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    """Application, input folder with the files and times of its tables, and name: changed input is built anew."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    state = []
+    for t in ("documents", "labels", "events"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        found = path.getFileSystem(conf).globStatus(path)
+        state.append((t, found[0].getModificationTime(), found[0].getLen()) if found else (t,))
+    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(state), name)
 
 
 def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -56,16 +65,34 @@ def proxy_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.stratified_subset(news(spark, sf_dir), ("label",), "news_id", S.SUBSET_FRACTION, S.SEED)
 
 
+def split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split news table, written once: every pass of a fit reads it instead of splitting again."""
+    def build():
+        return P.stratified_split(news(spark, sf_dir), ("label",), "news_id").select("news_id", "clean_text", "words", "label_id", "split")
+
+    return _materialise(spark, sf_dir, "split", build)
+
+
+def classifier(spark: SparkSession, sf_dir: str, name: str, genes: dict):
+    """A text classifier fitted on the train split, stored under the shared folder and loaded from there."""
+    from pyspark.ml import PipelineModel
+
+    from newslab.operators import ml
+
+    k = _key(spark, sf_dir, f"classifier-{name}")
+    if k not in _CACHE:
+        model = ml.train_classifier(split(spark, sf_dir).filter(F.col("split") == "train"), ml.classifier_params(genes))
+        path = scratch_path(spark, f"classifier-{name}")
+        model.write().overwrite().save(path)
+        _CACHE[k] = path
+    return PipelineModel.load(_CACHE[k])
+
+
 def vectors(spark: SparkSession, sf_dir: str, which: str = "proxy") -> DataFrame:
-    """Feature vectors of the proxy subset, the low-fidelity subset or all rows."""
+    """Feature vectors of the proxy subset or of all rows."""
 
     def build():
-        if which == "proxy":
-            src = proxy_news(spark, sf_dir)
-        elif which == "low":
-            src = P.stratified_subset(news(spark, sf_dir), ("label",), "news_id", LOW_FIDELITY, S.SEED)
-        else:
-            src = news(spark, sf_dir)
+        src = proxy_news(spark, sf_dir) if which == "proxy" else news(spark, sf_dir)
         return G.feature_vectors(src, POSITIVE, NEGATIVE)
 
     return _materialise(spark, sf_dir, f"vectors-{which}", build)

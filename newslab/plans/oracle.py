@@ -122,7 +122,6 @@ split AS (
   FROM ranked
 ),
 proxy AS (SELECT * FROM ranked WHERE r <= greatest(1, (n_label * {S.SUBSET_FRACTION[0]}) // {S.SUBSET_FRACTION[1]})),
-low AS (SELECT * FROM ranked WHERE r <= greatest(1, (n_label * {C.LOW_FIDELITY[0]}) // {C.LOW_FIDELITY[1]})),
 scored AS (
   SELECT *, {sentiment_sql('clean_text')[0]} AS sentiment, {sentiment_sql('clean_text')[1]} AS confidence
   FROM news
@@ -137,10 +136,10 @@ feat AS (
 def _vectors(src: str) -> str:
     return f"""
   SELECT label_id,
-         least({count_sql('clean_text', C.POSITIVE)}, 15) AS ph,
-         least({count_sql('clean_text', C.NEGATIVE)}, 15) AS nh,
+         {count_sql('clean_text', C.POSITIVE)} AS ph,
+         {count_sql('clean_text', C.NEGATIVE)} AS nh,
          least(words, 7) AS wm,
-         least(words // 100, 5) AS lb,
+         words // 100 AS lb,
          count(*) AS cnt
   FROM {src} GROUP BY ALL"""
 
@@ -196,7 +195,7 @@ def _sweep(cands: str, vectors: str) -> str:
     ) + f" FROM {cands} c LEFT JOIN ({counts}) k ON k.cand_key = c.cand_key)"
     met = _metrics_select(allc)
     return f"""SELECT cand_key, {', '.join(IG)}, n, accuracy, precision, recall,
-         CASE WHEN f1 IS NULL THEN -1.0 ELSE f1 END AS fitness, CAST(n AS DOUBLE) AS elapsed,
+         CASE WHEN f1 IS NULL THEN -1.0 ELSE f1 END AS fitness, CAST(n AS DOUBLE) AS rows_scored,
          CASE WHEN f1 IS NULL THEN 'empty evaluation set' END AS error
   FROM ({met})"""
 
@@ -245,27 +244,29 @@ pop_{nk} AS (SELECT {nk} AS gen, slot, {key_sql()} AS cand_key, {', '.join(IG)}
 def _search() -> str:
     chain = "".join(_next_gen(k) for k in range(1, GENS))
     pops = " UNION ALL ".join(f"SELECT * FROM pop_{k}" for k in range(1, GENS + 1))
+    valid = "(SELECT * FROM trials WHERE fitness >= 0)"
+    effects = " UNION ALL ".join(f"SELECT '{c}' AS gene, {c} AS value, avg(fitness) AS effect FROM {valid} GROUP BY {c}" for c in IG)
+    guess = " + ".join(f"coalesce((SELECT effect FROM effects WHERE gene = '{c}' AND value = p.{c}), "
+                       f"(SELECT avg(fitness) FROM {valid}), 0.0)" for c in IG)
     return f""",
 vec_proxy AS ({_vectors('proxy')}),
-vec_low AS ({_vectors('low')}),
 vec_full AS ({_vectors('news')}),
 grid AS ({_grid()}),
 gs AS ({_sweep('grid', 'vec_proxy')}),
-gs_low AS ({_sweep('grid', 'vec_low')}),
 gs_full AS ({_sweep('grid', 'vec_full')}),
 pop_1 AS ({_population(1, POP, 'init')}){chain},
 pops AS ({pops}),
 firsts AS (SELECT cand_key, min(gen) AS gen FROM pops GROUP BY cand_key),
 trials AS (SELECT f.cand_key, f.gen, {', '.join('g.' + x for x in IG)}, g.fitness, g.accuracy, g.precision,
-                  g.recall, g.n, g.elapsed, g.error
+                  g.recall, g.n, g.rows_scored, g.error
            FROM firsts f JOIN gs g ON g.cand_key = f.cand_key),
 glog_base AS (
   SELECT p.gen, count(DISTINCT CASE WHEN t.gen = p.gen THEN p.cand_key END) AS new_evals, count(*) AS slots,
          max(CASE WHEN t.fitness >= 0 THEN t.fitness END) AS best
   FROM pops p LEFT JOIN trials t ON t.cand_key = p.cand_key GROUP BY p.gen),
-gcost AS (SELECT gen, sum(elapsed) AS elapsed_s FROM trials GROUP BY gen),
+gcost AS (SELECT gen, sum(rows_scored) AS rows_scored FROM trials GROUP BY gen),
 glog AS (SELECT b.gen, b.new_evals, b.slots - b.new_evals AS cache_hits, coalesce(b.best, -1.0) AS best_f1,
-                coalesce(c.elapsed_s, 0.0) AS elapsed_s
+                coalesce(c.rows_scored, 0.0) AS rows_scored
          FROM glog_base b LEFT JOIN gcost c ON c.gen = b.gen),
 top3 AS (
   SELECT cand_key, {', '.join(IG)}, fitness, row_number() OVER (ORDER BY fitness DESC, cand_key) AS proxy_rank
@@ -273,8 +274,9 @@ top3 AS (
   ORDER BY fitness DESC, cand_key LIMIT 3),
 pool_3 AS ({_population(3, S.SURROGATE_POOL, 'pool')}),
 pool_d AS (SELECT * FROM pool_3 QUALIFY row_number() OVER (PARTITION BY cand_key ORDER BY slot) = 1),
-screened AS (SELECT p.cand_key, g.fitness AS score FROM pool_d p JOIN gs_low g ON g.cand_key = p.cand_key),
-topk5 AS (SELECT * FROM screened ORDER BY score DESC, cand_key LIMIT {S.SURROGATE_TOPK})"""
+effects AS ({effects}),
+screened AS (SELECT p.cand_key, round(({guess}) / {len(IG)}, 12) AS predicted FROM pool_d p),
+topk5 AS (SELECT * FROM screened ORDER BY predicted DESC, cand_key LIMIT {S.SURROGATE_TOPK})"""
 
 
 def _default_key() -> str:
@@ -282,26 +284,43 @@ def _default_key() -> str:
 
 
 def _headlines() -> str:
-    tags = "|".join(C.HEADING_TAGS)
-    heading = f"regexp_extract(html, '(?is)<(?:{tags})(?:\\s[^>]*)?>(.*?)</(?:{tags})>', 1)"
-    txt = f"regexp_replace({heading}, '<[^>]*>', '', 'g')"
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
-        txt = f"replace({txt}, '{ent}', '{ch}')"
-    title = f"regexp_replace({txt}, '^\\s+|\\s+$', '', 'g')"
-    href = "regexp_extract(html, '(?is)<a\\s[^>]*?href=\"([^\"]*)\"', 1)"
+    """Items (<li> with its first link) and the page heading (<h1> with the first link of the body).
+
+    States the rule for the markup of the supplied pages, where items are not nested.
+    """
+    def text(x):
+        x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+        for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&#x27;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+            x = f"replace({x}, '{ent}', '{ch}')"
+        return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+    def href(x):
+        return f"regexp_extract({x}, '(?is)<a\\s[^>]*?href=\"([^\"]*)\"', 1)"
+
     scheme = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)"
     auth = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)"
     host = f"regexp_extract({auth}, '^(?:[^@]*@)?([^:]*)', 1)"
-    link = f"CASE WHEN starts_with({href}, '/') THEN {scheme} || '://' || {auth} || {href} ELSE {href} END"
-    prefix = f"regexp_extract(html, '(?is)^(.*?)<(?:{tags})(?:\\s[^>]*)?>', 1)"
-    opened = f"len(regexp_extract_all({prefix}, '(?i)<(?:article|li|div)(?:\\s[^>]*)?>'))"
+
+    def link(h):
+        return f"CASE WHEN starts_with({h}, '/') THEN {scheme} || '://' || {auth} || {h} ELSE {h} END"
+
+    item = "(?is)<li(?:\\s[^>]*)?>(.*?)</li>"
+    h1 = "regexp_extract(html, '(?is)<h1(?:\\s[^>]*)?>(.*?)</h1>', 1)"
+    anchor = "regexp_extract(part, '(?is)<a(?:\\s[^>]*)?>(.*?)</a>', 1)"
     return f""",
-heads_all AS (SELECT page_id AS seq, {title} AS title, {link} AS url, {host} AS source, page_id,
-                     {href} AS href, {link} AS link, {opened} AS opened FROM pages),
-heads AS (SELECT seq, title, url, source FROM heads_all
-          WHERE title <> '' AND length(title) > {S.HTML_MIN_TITLE} AND opened BETWEEN 1 AND {S.MAX_CONTAINERS}),
-heads_dedup AS (SELECT * FROM heads QUALIFY row_number() OVER (PARTITION BY title ORDER BY seq) = 1),
-heads_cap AS (SELECT * FROM heads_dedup QUALIFY row_number() OVER (PARTITION BY source ORDER BY seq) <= {S.ITEMS_PER_SOURCE})"""
+linked AS (SELECT page_id, {href('html')} AS href, {link(href('html'))} AS link FROM pages),
+items AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{item}', 1)) AS part,
+                 unnest(range(1, len(regexp_extract_all(html, '{item}', 1)) + 1)) AS pos FROM pages),
+heads AS (
+  SELECT * FROM (
+    SELECT page_id, 0 AS pos, {text(h1)} AS title, {link(href('html'))} AS url, {host} AS source FROM pages
+    WHERE contains(html, '<h1') AND {href('html')} <> ''
+    UNION ALL
+    SELECT page_id, CAST(pos AS INTEGER), {text(anchor)}, {link(href('part'))}, {host} FROM items
+    WHERE contains(part, '<a ') AND {href('part')} <> '' AND pos < {S.MAX_CONTAINERS})
+  WHERE title <> '' AND length(title) > {C.MIN_TITLE}),
+heads_dedup AS (SELECT * FROM heads QUALIFY row_number() OVER (PARTITION BY title ORDER BY page_id, pos) = 1),
+heads_cap AS (SELECT * FROM heads_dedup QUALIFY row_number() OVER (PARTITION BY source ORDER BY page_id, pos) <= {S.ITEMS_PER_SOURCE})"""
 
 
 def with_ctes(body: str, search: bool = False, headlines: bool = False) -> str:
@@ -357,6 +376,9 @@ FROM ({_metric_long(ma)}) a FULL OUTER JOIN ({_metric_long(mb)}) b ON a.metric =
     q["lexicon_semi"] = with_ctes(
         f"SELECT news_id, {count_sql('clean_text', C.POSITIVE)} AS pos_hits, {count_sql('clean_text', C.NEGATIVE)} "
         f"AS neg_hits FROM news WHERE {hit_sql('clean_text', C.POSITIVE + C.NEGATIVE)}")
+    q["lexicon_large_join"] = with_ctes(f"""
+SELECT DISTINCT news_id, label FROM (SELECT news_id, label, unnest({tokens_sql('clean_text')}) AS word FROM news)
+WHERE word IN (SELECT unnest({tokens_sql(clean_sql('text'))}) FROM benchmark)""")
     q["lexicon_sentiment"] = with_ctes("SELECT news_id, sentiment, confidence FROM scored")
     q["detect_tickers"] = with_ctes(f"SELECT doc_id, {tickers_sql('text')} AS tickers FROM documents")
     q["sentiment_signal"] = with_ctes(
@@ -410,7 +432,7 @@ SELECT strftime(created_at, '%Y-%m-%d') AS day,
        count(*) FILTER (WHERE sentiment = 'positif') AS positif,
        count(*) FILTER (WHERE sentiment = 'netral') AS netral,
        count(*) FILTER (WHERE sentiment = 'negatif') AS negatif
-FROM scored WHERE created_at IS NOT NULL GROUP BY 1""")
+FROM scored GROUP BY 1""")
     recent = f"(SELECT news_id, created_at, sentiment FROM scored ORDER BY created_at DESC NULLS LAST, news_id DESC LIMIT {S.RECENT_ROWS})"
     q["recent_news"] = with_ctes(f"SELECT * FROM {recent}")
     q["dashboard_read"] = with_ctes(f"""
@@ -422,15 +444,14 @@ FROM {recent}""")
     q["encode_tokens"] = _encode_sql()
 
     # listings
-    q["headlines_from_pages"] = with_ctes("SELECT seq, title, url, source FROM heads", headlines=True)
-    q["resolve_links"] = with_ctes("SELECT page_id, href, link FROM heads_all", headlines=True)
-    q["dedup_titles"] = with_ctes("SELECT seq, title, url, source FROM heads_dedup", headlines=True)
-    q["cap_per_source"] = with_ctes("SELECT seq, title, url, source FROM heads_cap", headlines=True)
+    q["headlines_from_pages"] = with_ctes("SELECT * FROM heads", headlines=True)
+    q["resolve_links"] = with_ctes("SELECT page_id, href, link FROM linked", headlines=True)
+    q["dedup_titles"] = with_ctes("SELECT * FROM heads_dedup", headlines=True)
+    q["cap_per_source"] = with_ctes("SELECT * FROM heads_cap", headlines=True)
     q["json_posts"] = with_ctes(f"""
 SELECT conv_id, pos, title, url FROM (
   SELECT * FROM (
-    SELECT conv_id, CAST((turn // 10) * 10 + row_number() OVER (PARTITION BY conv_id, turn // 10 ORDER BY turn) - 1
-                         AS INTEGER) AS pos,
+    SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos,
            coalesce(text, '') AS title,
            '{S.JSON_LINK_PREFIX}' || '/c/' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS url
     FROM conversations)
@@ -439,16 +460,15 @@ SELECT conv_id, pos, title, url FROM (
 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY pos) <= {S.ITEMS_PER_SOURCE}""")
     s_t, c_t = sentiment_sql(clean_sql("title"))
     q["ingest_score_store"] = with_ctes(f"""
-SELECT h.seq, h.title, h.url, h.source, {s_t} AS sentiment, {c_t} AS confidence,
+SELECT h.page_id, h.pos, h.title, h.url, h.source, {s_t} AS sentiment, {c_t} AS confidence,
        '[' || upper({s_t}) || '] ' || h.title AS badge, e.ts AS created_at, strftime(e.ts, '%Y-%m-%d') AS date
-FROM heads_cap h LEFT JOIN events e ON e.event_id = h.seq""", headlines=True)
+FROM heads_cap h LEFT JOIN events e ON e.event_id = h.page_id""", headlines=True)
     q["sink_news_roundtrip"] = with_ctes(
         "SELECT news_id AS seq, sentiment, confidence, created_at, strftime(created_at, '%Y-%m-%d') AS date FROM scored")
 
     q["stream_ingest_dedup"] = with_ctes("SELECT DISTINCT title FROM heads", headlines=True)
     q["stream_daily_sentiment"] = with_ctes(
-        "SELECT date_trunc('day', created_at) AS day, sentiment, count(*) AS n FROM scored "
-        "WHERE created_at IS NOT NULL GROUP BY ALL")
+        "SELECT strftime(created_at, '%Y-%m-%d') AS day, sentiment, count(*) AS n FROM scored GROUP BY ALL")
 
     # search
     def qs(body):
@@ -516,21 +536,21 @@ SELECT * FROM (
 ORDER BY is_default LIMIT 1""")
     q["generation_log"] = qs(
         "SELECT gen, sum(new_evals) AS new_evals, sum(cache_hits) AS cache_hits, max(best_f1) AS best_f1, "
-        "sum(elapsed_s) AS elapsed_s FROM glog GROUP BY ROLLUP (gen)")
+        "sum(rows_scored) AS rows_scored FROM glog GROUP BY ROLLUP (gen)")
     q["search_summary"] = qs(f"""
 SELECT t.unique_configs, t.unique_configs * 100.0 / {S.SPACE_SIZE} AS coverage_pct,
        g.hits * 100.0 / greatest(g.generations * {POP}, 1) AS hit_rate_pct,
        g.mean_cost_per_generation, t.mean_cost_per_candidate, t.best_fitness, g.generations
-FROM (SELECT count(DISTINCT cand_key) AS unique_configs, avg(CASE WHEN elapsed > 0 THEN elapsed END) AS mean_cost_per_candidate,
+FROM (SELECT count(DISTINCT cand_key) AS unique_configs, avg(CASE WHEN rows_scored > 0 THEN rows_scored END) AS mean_cost_per_candidate,
              max(CASE WHEN fitness >= 0 THEN fitness END) AS best_fitness FROM trials) t,
-     (SELECT count(*) AS generations, sum(cache_hits) AS hits, avg(elapsed_s) AS mean_cost_per_generation FROM glog) g""")
+     (SELECT count(*) AS generations, sum(cache_hits) AS hits, avg(rows_scored) AS mean_cost_per_generation FROM glog) g""")
     w = S.WARMUP_GENERATIONS
     q["search_savings"] = qs(f"""
 SELECT generations, actual_evals, actual_cost, we * generations AS estimated_evals, wc * generations AS estimated_cost,
        CASE WHEN actual_evals > 0 THEN we * generations / actual_evals END AS eval_ratio,
        CASE WHEN actual_cost > 0 THEN wc * generations / actual_cost END AS cost_ratio
-FROM (SELECT count(*) AS generations, sum(new_evals) AS actual_evals, sum(elapsed_s) AS actual_cost,
-             avg(CASE WHEN gen <= {w} THEN new_evals END) AS we, avg(CASE WHEN gen <= {w} THEN elapsed_s END) AS wc
+FROM (SELECT count(*) AS generations, sum(new_evals) AS actual_evals, sum(rows_scored) AS actual_cost,
+             avg(CASE WHEN gen <= {w} THEN new_evals END) AS we, avg(CASE WHEN gen <= {w} THEN rows_scored END) AS wc
       FROM glog)""")
     p = S.EARLY_STOP_PATIENCE
     q["early_stop"] = qs(f"""
@@ -553,16 +573,39 @@ SELECT cand_key, {ig} FROM (SELECT * FROM pop_2 QUALIFY row_number() OVER (PARTI
 WHERE cand_key NOT IN (SELECT cand_key FROM trials WHERE gen < 2)""")
     q["cache_hit_join"] = qs("""
 SELECT p.slot, p.cand_key, coalesce(t.gen < p.gen, false) AS hit, t.fitness,
-       CASE WHEN t.gen < p.gen THEN 0.0 ELSE t.elapsed END AS elapsed
+       CASE WHEN t.gen < p.gen THEN 0.0 ELSE t.rows_scored END AS rows_scored
 FROM pop_2 p LEFT JOIN trials t ON t.cand_key = p.cand_key""")
     q["distinct_candidates"] = qs(
         f"SELECT cand_key, slot, {ig} FROM pop_2 QUALIFY row_number() OVER (PARTITION BY cand_key ORDER BY slot) = 1")
-    q["topk_screened"] = qs("SELECT cand_key, score FROM topk5")
+    q["topk_screened"] = qs("SELECT cand_key, predicted FROM topk5")
     q["merge_evaluated"] = qs("""
 SELECT * FROM (SELECT DISTINCT p.cand_key, t.fitness FROM pop_2 p JOIN trials t ON t.cand_key = p.cand_key)
 UNION ALL
 SELECT k.cand_key, g.fitness FROM topk5 k JOIN gs g ON g.cand_key = k.cand_key
 WHERE k.cand_key NOT IN (SELECT p.cand_key FROM pop_2 p)""")
+    # fitted models: keys, counts and conditions
+    q["surrogate_fit"] = qs("SELECT cand_key, fitness, true AS finite FROM trials")
+    q["surrogate_screen"] = qs("SELECT cand_key, cand_key IN (SELECT cand_key FROM trials) AS stored, true AS ok FROM pool_d")
+    q["surrogate_calibration"] = qs(
+        "SELECT p.cand_key, g.fitness, true AS ok FROM pool_d p JOIN gs g ON g.cand_key = p.cand_key WHERE g.fitness >= 0")
+    q["search_run"] = qs(f"""
+SELECT gen, new_evals, cache_hits, best_f1, rows_scored, true AS ok FROM glog WHERE gen <= {S.WARMUP_GENERATIONS}
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, true""")
+    vec_split = _vectors("(SELECT * FROM split WHERE split IN ('val', 'test'))").replace("SELECT label_id,", "SELECT split, label_id,")
+    chosen = f"(SELECT cand_key, {ig} FROM top3 UNION SELECT cand_key, {ig} FROM grid WHERE cand_key = '{_default_key()}')"
+    pairs = f"(SELECT v.split, c.cand_key, v.label_id, v.cnt, {pred} AS pred FROM {chosen} c CROSS JOIN ({vec_split}) v)"
+    met = _metrics_select("(" + _counts(pairs, "label_id", "pred", "split, cand_key", "cnt") + ")")
+    q["final_by_split"] = qs(f"SELECT split, cand_key, n, accuracy, f1 AS fitness FROM ({met})")
+    q["trial_report_json"] = qs(f"""
+SELECT 'generation' AS section, gen AS ord, NULL AS cand_key, new_evals, cache_hits, best_f1 AS fitness FROM glog
+UNION ALL SELECT 'top', proxy_rank, cand_key, NULL, NULL, fitness FROM top3
+UNION ALL SELECT 'config', {SEED}, NULL, {POP}, {GENS}, NULL""")
+    best = "(SELECT cand_key FROM trials WHERE fitness >= 0 ORDER BY fitness DESC, cand_key LIMIT 1)"
+    q["train_text_classifier"] = qs(f"""
+SELECT c.cand_key, (SELECT count(*) FROM split WHERE split = 'val') AS n, NULL AS error, true AS ok
+FROM (SELECT '{_default_key()}' AS cand_key UNION ALL SELECT cand_key FROM {best}) c""")
+    q["score_news"] = with_ctes("SELECT news_id, true AS ok FROM news")
+    q["baseline_vs_tuned"] = "SELECT unnest(['accuracy', 'precision', 'recall', 'f1']) AS metric, true AS ok"
     return q
 
 

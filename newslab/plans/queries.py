@@ -55,7 +55,7 @@ def _split(spark, d) -> DataFrame:
 @query
 def news_etl_summary(spark, d):
     """N5 (flagship): documents and total words per label after cleaning, plus the total row."""
-    n = P.news(spark, d)
+    n = P.news(spark, d, dated=False)
     return n.rollup("label").agg(F.count(F.lit(1)).alias("documents"), F.sum("words").alias("total_words"))
 
 
@@ -70,18 +70,18 @@ def scan_csv_roundtrip(spark, d):
 
 @query
 def sql_label_counts(spark, d):
-    P.news(spark, d).createOrReplaceTempView("stock_news")
+    P.news(spark, d, dated=False).createOrReplaceTempView("stock_news")
     return spark.sql("SELECT label, COUNT(*) AS count FROM stock_news GROUP BY label ORDER BY count DESC")
 
 
 @query
 def label_distribution(spark, d):
-    return P.news(spark, d).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return P.news(spark, d, dated=False).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def total_words(spark, d):
-    return P.news(spark, d).agg(
+    return P.news(spark, d, dated=False).agg(
         F.coalesce(F.sum("words"), F.lit(0)).cast("long").alias("total_words"), F.count(F.lit(1)).alias("documents")
     )
 
@@ -94,7 +94,7 @@ def news_prepare(spark, d):
 
 @query
 def label_encode_decode(spark, d):
-    df = P.normalise_labels(P.rename_news(news_raw(spark, d)))
+    df = P.normalise_labels(P.rename_news(news_raw(spark, d, dated=False)))
     return df.groupBy("label", "label_id", X.label_name(F.col("label_id")).alias("label_back")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -114,7 +114,7 @@ def word_count(spark, d):
 
 @query
 def min_words(spark, d):
-    return P.news(spark, d).select("news_id", "words")
+    return P.news(spark, d, dated=False).select("news_id", "words")
 
 
 @query
@@ -160,9 +160,7 @@ def weighted_metrics(spark, d):
 @query
 def compare_runs(spark, d):
     s = P.stratified_split(_scored(spark, d), ("label",), "news_id")
-    a = M.metrics_long(M.classification_metrics(s.filter(F.col("split") == "train"), "label_id", "pred_id"))
-    b = M.metrics_long(M.classification_metrics(s.filter(F.col("split") == "test"), "label_id", "pred_id"))
-    return M.compare_runs(a, b)
+    return M.compare_groups(M.classification_metrics(s, "label_id", "pred_id", by=("split",)), "split", "train", "test")
 
 # --------------------------------------------------------------------------- intelligence
 
@@ -178,6 +176,13 @@ def lexicon_semi(spark, d):
     )
 
 
+@query
+def lexicon_large_join(spark, d):
+    """J3 with a lexicon table of any size: the words of the benchmark items, joined word by word."""
+    words = read_table(spark, d, "benchmark").select(F.explode(X.tokens(X.clean_text(F.col("text")))).alias("word"))
+    return X.lexicon_semi_join(C.news(spark, d).select("news_id", "clean_text", "label"), words).select("news_id", "label")
+
+
 @query
 def lexicon_sentiment(spark, d):
     return _scored(spark, d).select("news_id", "sentiment", "confidence")
@@ -281,9 +286,16 @@ def _pages(spark, d):
     return read_table(spark, d, "pages").select("page_id", "url", "html")
 
 
+def _headlines(spark, d):
+    return I.headlines_from_pages(_pages(spark, d), C.HEADLINE_RULES, C.MIN_TITLE)
+
+
+_HEAD = ["page_id", "pos", "title", "url", "source"]
+
+
 @query
 def headlines_from_pages(spark, d):
-    return I.headlines_from_pages(_pages(spark, d), C.HEADING_TAGS)
+    return _headlines(spark, d)
 
 
 @query
@@ -295,34 +307,34 @@ def resolve_links(spark, d):
 
 @query
 def dedup_titles(spark, d):
-    return I.dedup_titles(I.headlines_from_pages(_pages(spark, d), C.HEADING_TAGS))
+    return I.dedup_titles(_headlines(spark, d))
 
 
 @query
 def cap_per_source(spark, d):
-    return I.collect_headlines(I.headlines_from_pages(_pages(spark, d), C.HEADING_TAGS))
+    return I.collect_headlines(_headlines(spark, d))
 
 
 @query
 def json_posts(spark, d):
     conv = read_table(spark, d, "conversations").select("conv_id", "turn", "text")
     posts = I.json_posts(I.feed_json(conv))
-    kept = I.collect_headlines(posts)
-    return kept.select(F.col("seq.source").alias("conv_id"), F.col("seq.pos").alias("pos"), "title", "url")
+    kept = I.collect_headlines(posts, order=("conv_id", "pos"))
+    return kept.select("conv_id", "pos", "title", "url")
 
 
 def _events_time(spark, d):
-    return read_table(spark, d, "events").select(F.col("event_id").alias("seq"), F.col("ts").alias("created_at"))
+    return read_table(spark, d, "events").select(F.col("event_id").alias("page_id"), F.col("ts").alias("created_at"))
 
 
 @query
 def ingest_score_store(spark, d):
-    heads = I.collect_headlines(I.headlines_from_pages(_pages(spark, d), C.HEADING_TAGS))
-    scored = I.score_items(heads, C.POSITIVE, C.NEGATIVE).join(_events_time(spark, d), "seq", "left")
+    heads = I.collect_headlines(_headlines(spark, d))
+    scored = I.score_items(heads, C.POSITIVE, C.NEGATIVE).join(_events_time(spark, d), "page_id", "left")
     store = scratch_path(spark, "news-store")
-    files.append_news(scored, store, quarantine_path=store + "-quarantine")
+    files.append_news(scored, store, "run-1")
     out = files.load_news_store(spark, store)
-    return out.select("seq", "title", "url", "source", "sentiment", "confidence", "badge", "created_at",
+    return out.select(*_HEAD, "sentiment", "confidence", "badge", "created_at",
                       F.date_format(F.col("date"), "yyyy-MM-dd").alias("date"))
 
 
@@ -331,7 +343,7 @@ def sink_news_roundtrip(spark, d):
     s = _scored(spark, d).select(F.col("news_id").alias("seq"), F.col("text").alias("title"), "source", "sentiment",
                                  "confidence", "created_at")
     store = scratch_path(spark, "news-sink")
-    files.append_news(s, store, quarantine_path=store + "-quarantine")
+    files.append_news(s, store, "run-1")
     out = files.load_news_store(spark, store)
     return out.select("seq", "sentiment", "confidence", "created_at", F.date_format(F.col("date"), "yyyy-MM-dd").alias("date"))
 
@@ -508,7 +520,7 @@ def cache_miss_anti(spark, d):
 @query
 def cache_hit_join(spark, d):
     pop = _gen2(spark, d).select("gen", "slot", "cand_key")
-    return G.attach_results(pop, C.trials(spark, d)).select("slot", "cand_key", "hit", "fitness", "elapsed")
+    return G.attach_results(pop, C.trials(spark, d)).select("slot", "cand_key", "hit", "fitness", "rows_scored")
 
 
 @query
@@ -516,20 +528,20 @@ def distinct_candidates(spark, d):
     return G.distinct_candidates(_gen2(spark, d))
 
 
-def _screened_low(spark, d):
+def _screened(spark, d):
+    """A pool of random candidates with the fitness predicted from the stored trials."""
     pool = G.distinct_candidates(G.create_population(spark, S.SURROGATE_POOL, S.SEED, 3, tag="pool"))
-    low = G.sweep(pool, C.vectors(spark, d, "low")).select("cand_key", *G.GENE_COLS, F.col("fitness").alias("score"))
-    return low
+    return G.predict_main_effects(C.trials(spark, d), pool)
 
 
 @query
 def topk_screened(spark, d):
-    return G.topk(_screened_low(spark, d), "score", S.SURROGATE_TOPK).select("cand_key", "score")
+    return G.topk(_screened(spark, d), "predicted", S.SURROGATE_TOPK).select("cand_key", "predicted")
 
 
 @query
 def merge_evaluated(spark, d):
     a = C.population_results(spark, d, 2).select("cand_key", "fitness").dropDuplicates(["cand_key"])
-    top = G.topk(_screened_low(spark, d), "score", S.SURROGATE_TOPK)
+    top = G.topk(_screened(spark, d), "predicted", S.SURROGATE_TOPK)
     b = G.sweep(top, C.vectors(spark, d, "proxy")).select("cand_key", "fitness")
     return G.merge_evaluated(a, b)

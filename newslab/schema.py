@@ -56,7 +56,6 @@ SPACE = (
     ("lora_dropout", (0.05, 0.1, 0.2)),
     ("weight_decay", (0.0, 0.01, 0.05)),
 )
-EPOCHS = (1, 2, 3)
 FINAL_EPOCHS = 3
 DEFAULT_CANDIDATE = {
     "learning_rate": 2e-5,
@@ -103,7 +102,6 @@ GENE_SIZES = tuple(len(vals) for _, vals in SPACE)
 SPACE_SIZE = 1
 for _n in GENE_SIZES:
     SPACE_SIZE *= _n
-LABEL_ID = {name: i for i, name in enumerate(LABELS)}
 
 
 def default_indices() -> tuple[int, ...]:
@@ -163,7 +161,8 @@ TRIALS = T.StructType(
         T.StructField("accuracy", T.DoubleType()),
         T.StructField("precision", T.DoubleType()),
         T.StructField("recall", T.DoubleType()),
-        T.StructField("elapsed", T.DoubleType()),
+        T.StructField("rows_scored", T.DoubleType()),
+        T.StructField("seconds", T.DoubleType()),
         T.StructField("error", T.StringType()),
     ]
 )

@@ -51,13 +51,16 @@ def get_spark(master: str | None = None, app: str = "newslab", shuffle_partition
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster setting always wins; a local folder is created only when the
-    session has none (tests and local runs).
+    The cluster setting always wins.  A session without one gets a local folder
+    only if its master is local (tests and local runs); elsewhere executors could
+    not see it, so the setting is asked for.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="newslab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

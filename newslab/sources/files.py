@@ -38,20 +38,33 @@ def read_news(spark: SparkSession, path: str, schema: T.StructType = S.RAW_NEWS)
     return spark.read.schema(schema).options(**opts).option("mode", "FAILFAST").csv(path)
 
 
-def append_news(df: DataFrame, path: str, quarantine_path: str | None = None,
-                required: tuple[str, ...] = ("title", "sentiment")) -> None:
-    """Append scored rows partitioned by day; rows missing a required field go to quarantine."""
+STORE_SALTS = 8
+
+
+def append_news(df: DataFrame, path: str, run: str, required: tuple[str, ...] = ("title", "sentiment"),
+                salts: int = STORE_SALTS) -> None:
+    """Add one run's scored rows, partitioned by run, validity and day, in a single pass.
+
+    Rows missing a required field land under ``valid=0`` (quarantine).  A repeated run replaces its own partitions
+    instead of adding its rows again.  Rows are dealt by day and a salt, so a day is written by at most ``salts`` tasks
+    and a hot day by more than one.
+    """
     ok = F.lit(True)
     for c in required:
         ok = ok & F.col(c).isNotNull()
-    with_day = df.withColumn("date", F.to_date("created_at"))
-    with_day.filter(ok).write.mode("append").partitionBy("date").parquet(path)
-    if quarantine_path:
-        with_day.filter(~ok).write.mode("append").parquet(quarantine_path)
+    rows = df.withColumns({"run": F.lit(run), "valid": ok.cast("int"), "date": F.to_date("created_at")})
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c, t in df.dtypes if t in ("string", "bigint", "int")]), F.lit(salts))
+    (rows.repartition("date", salt).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run", "valid", "date").parquet(path))
 
 
 def load_news_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The valid rows of all runs."""
+    return spark.read.parquet(path).filter("valid = 1").drop("valid", "run")
+
+
+def load_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).filter("valid = 0").drop("valid", "run")
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -10,26 +10,12 @@ TABLES = (
 ).split()
 
 
-# Text-heavy tables and their ids: per-row regex work on them is the hot path.
-TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan; callers select columns so only those are read.
 
-    A text table whose scan yields fewer splits than the cluster has cores
-    (a few large row groups) is hash-spread by its id so the text work runs
-    in parallel; on a large input the scan already has enough splits and
-    nothing is added.
+    Scan splits follow ``spark.sql.files.maxPartitionBytes`` and the files' row
+    groups; nothing is shuffled to spread them.
     """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = TEXT_TABLES.get(name)
-    if key:
-        cores = spark.sparkContext.defaultParallelism
-        if df._jdf.rdd().getNumPartitions() < cores:  # file splits, planned on the JVM side
-            # A fixed count (one per core): the work after it is CPU-bound text
-            # processing, which size-based coalescing would put back in one task.
-            df = df.repartition(cores, key)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

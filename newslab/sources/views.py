@@ -2,8 +2,8 @@
 
 * ``news_raw``: ``documents`` left join ``labels`` (label text null when
   unlabelled; case and surrounding spaces varied by ``doc_id`` parity so the
-  label normaliser has work to do), ``created_at`` from ``events`` on
-  ``event_id = doc_id``.  Columns use the raw headline-table names
+  label normaliser has work to do); with ``dated``, ``created_at`` from
+  ``events`` on ``event_id = doc_id`` (``events`` is not read otherwise).  Columns use the raw headline-table names
   ``judul``, ``tanggal``, ``sentimen``.
 * ``labelled``: ``toxic=1`` -> negatif, else ``quality=1`` -> positif, else netral.
 
@@ -23,7 +23,7 @@ def base_label(toxic, quality):
     return F.when(toxic == 1, F.lit("negatif")).when(quality == 1, F.lit("positif")).otherwise(F.lit("netral"))
 
 
-def news_raw(spark: SparkSession, sf_dir: str, labelled_only: bool = False) -> DataFrame:
+def news_raw(spark: SparkSession, sf_dir: str, labelled_only: bool = False, dated: bool = True) -> DataFrame:
     """The raw headline table; ``labelled_only`` keeps only documents with a label row.
 
     The prepared table drops unlabelled rows anyway, so it reads this view
@@ -34,23 +34,16 @@ def news_raw(spark: SparkSession, sf_dir: str, labelled_only: bool = False) -> D
     labels = read_table(spark, sf_dir, "labels").select(
         "doc_id", base_label(F.col("toxic"), F.col("quality")).alias("lbl")
     )
-    events = read_table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("doc_id"), F.col("ts").alias("created_at")
-    )
     raw_label = (
         F.when(F.col("lbl").isNull(), F.lit(None).cast("string"))
         .when(F.col("doc_id") % 2 == 0, F.upper("lbl"))
         .otherwise(F.concat(F.lit("  "), F.col("lbl"), F.lit(" ")))
     )
-    return (
-        docs.join(labels, "doc_id", "inner" if labelled_only else "left")
-        .join(events, "doc_id", "left")
-        .select(
-            "doc_id",
-            F.col("text").alias("judul"),
-            F.date_format("created_at", "yyyy-MM-dd").alias("tanggal"),
-            raw_label.alias("sentimen"),
-            "source",
-            "created_at",
-        )
+    out = docs.join(labels, "doc_id", "inner" if labelled_only else "left").select(
+        "doc_id", F.col("text").alias("judul"), raw_label.alias("sentimen"), "source")
+    if not dated:
+        return out
+    events = read_table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("doc_id"), F.col("ts").alias("created_at")
     )
+    return out.join(events, "doc_id", "left").withColumn("tanggal", F.date_format("created_at", "yyyy-MM-dd"))

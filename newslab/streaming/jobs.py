@@ -1,16 +1,14 @@
 """Structured Streaming jobs (T1, T2), run with ``trigger(availableNow=True)``.
 
-T1 - scheduled ingest as an incremental stream: new landed files only,
-title de-duplication inside the watermark (``dropDuplicatesWithinWatermark``)
-and, to be exact across runs, an anti join against the store in
-``foreachBatch``.  The store is partitioned by (title hash bucket,
-``batch_id``): the anti join reads only the buckets present in the batch
-(partition pruning),
-and a replayed batch overwrites exactly its own partitions instead of
-appending twice.
-
-T2 - daily sentiment by a tumbling one-day event-time window with a
-watermark; the complete result table is rewritten each batch.
+T1 - scheduled ingest as an incremental stream: new landed files only.  Titles
+are de-duplicated per micro-batch and by an anti join against the store in
+``foreachBatch``, so a title is stored once however late it comes; no watermark
+drops it.  The store is partitioned by (title hash bucket, ``batch_id``): the
+anti join reads only the buckets in the batch, and a replayed batch overwrites
+exactly its own partitions.
+
+T2 - daily sentiment by a tumbling one-day event-time window with a watermark,
+in update mode: a batch overwrites the (day, sentiment) partitions it changed.
 """
 
 from __future__ import annotations
@@ -40,12 +38,14 @@ def state_partitions(spark: SparkSession, n: int | None):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-TITLE_BUCKETS = 16
+#: Default number of title buckets of a store; a store keeps the number it was started with, so size it for the
+#: titles it will hold (a batch reads the buckets its titles fall in).
+TITLE_BUCKETS = 256
 
 
-def title_bucket(title):
+def title_bucket(title, buckets: int = TITLE_BUCKETS):
     """Stable hash bucket of a title (partition column of the store)."""
-    return F.pmod(F.xxhash64(title), F.lit(TITLE_BUCKETS)).cast("int")
+    return F.pmod(F.xxhash64(title), F.lit(buckets)).cast("int")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -58,7 +58,7 @@ def land_in_batches(df: DataFrame, landing: str, order_col: str, n_files: int =
     """Land a table as ``n_files`` Parquet drops in ``order_col`` order (the arrival order).
 
     Drop boundaries are approximate quantiles of ``order_col`` (n-1 numbers
-    reach the driver); each drop is a separate write.  ``after_each(k)`` runs
+    reach the driver); rows without a value arrive first.  Each drop is a separate write.  ``after_each(k)`` runs
     after drop ``k`` has landed, e.g. a scheduled ``availableNow`` run of a
     stream that picks up only the new files.
     """
@@ -73,20 +73,21 @@ def land_in_batches(df: DataFrame, landing: str, order_col: str, n_files: int =
             cond = cond & (F.col(order_col) > bounds[k])
         if bounds[k + 1] is not None:
             cond = cond & (F.col(order_col) <= bounds[k + 1])
+        if bounds[k] is None:
+            cond = F.coalesce(cond, F.lit(True)) | F.col(order_col).isNull()
         df.filter(cond).write.mode("overwrite").parquet(f"{landing}/drop={k:05d}")
         if after_each is not None:
             after_each(k)
 
 
 def ingest_dedup_stream(spark: SparkSession, landing: str, schema, store: str, checkpoint: str,
-                        delay: str = "1 day", files_per_trigger: int | None = None,
-                        partitions: int | None = None) -> None:
+                        files_per_trigger: int | None = None, partitions: int | None = None,
+                        buckets: int = TITLE_BUCKETS) -> None:
     """One scheduled run: stream the newly landed headline files into the store, each title at most once."""
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     src = reader.parquet(landing)
-    deduped = src.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["title"])
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # Used by two actions below; a micro-batch is bounded by the trigger size.
@@ -97,20 +98,18 @@ def ingest_dedup_stream(spark: SparkSession, landing: str, schema, store: str, c
             batch.unpersist()
 
     def _write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = batch.withColumn("title_bucket", title_bucket(F.col("title")))
+        out = batch.withColumn("title_bucket", title_bucket(F.col("title"), buckets)).dropDuplicates(["title"])
         if _exists(spark, store):
             # The store is partitioned by title bucket: read only the buckets this
-            # batch touches (at most TITLE_BUCKETS numbers reach the driver).
-            buckets = [r[0] for r in out.select("title_bucket").distinct().collect()]
-            known = spark.read.parquet(store).filter(F.col("title_bucket").isin(buckets))
+            # batch touches (at most ``buckets`` numbers reach the driver).
+            touched = [r[0] for r in out.select("title_bucket").distinct().collect()]
+            known = spark.read.parquet(store).filter(F.col("title_bucket").isin(touched))
             out = out.join(known.select("title_bucket", "title"), ["title_bucket", "title"], "left_anti")
-        # A title may arrive twice in one batch beyond the watermark's reach.
-        out = out.dropDuplicates(["title"])
         (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("title_bucket", "batch_id").parquet(store))
 
     with state_partitions(spark, partitions):
-        q = (deduped.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+        q = (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
         q.awaitTermination()
 
@@ -126,9 +125,10 @@ def daily_sentiment_stream(spark: SparkSession, landing: str, schema, out: str,
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.select(F.col("w.start").alias("window_start"), "sentiment", "n").write.mode("overwrite").parquet(out)
+        days = batch.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), F.col("sentiment").alias("kind"), "sentiment", "n")
+        (days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "kind").parquet(out))
 
     with state_partitions(spark, partitions):
-        q = (agg.writeStream.outputMode("complete").foreachBatch(write_batch)
+        q = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         q.awaitTermination()

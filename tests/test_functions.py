@@ -41,11 +41,11 @@ def test_clean_text_idempotent_and_alphabet(spark):
 
 
 HEADLINES = [
-    ("Saham BBCA menguat setelah laba bersih tumbuh positif sepanjang kuartal ini.", "positif", 0.82, ["BBCA"],
+    ("Laba BBCA tumbuh dan harganya menguat pada sesi pagi.", "positif", 0.82, ["BBCA"],
      "WATCH"),
-    ("BBRI dan BMRI bergerak netral menunggu keputusan suku bunga BI.", "netral", 0.65, ["BBRI", "BMRI"], "MONITOR"),
-    ("GOTO melemah karena tekanan jual investor asing meningkat.", "negatif", 0.78, ["GOTO"], "RISK ALERT"),
-    ("IHSG melemah karena tekanan jual investor asing.", "negatif", 0.78, [], "RISK ALERT"),
+    ("Pelaku pasar menunggu kabar dari BBRI serta BMRI pekan depan.", "netral", 0.65, ["BBRI", "BMRI"], "MONITOR"),
+    ("Harga GOTO melemah sampai akhir sesi kedua.", "negatif", 0.78, ["GOTO"], "RISK ALERT"),
+    ("Indeks gabungan melemah menjelang libur panjang.", "negatif", 0.78, [], "RISK ALERT"),
 ]
 
 
@@ -81,7 +81,7 @@ def test_briefing_golden(spark):
 
 
 def test_briefing_without_tickers(spark):
-    f = _features(spark, ["IHSG melemah karena tekanan jual investor asing."])
+    f = _features(spark, ["Indeks gabungan melemah menjelang libur panjang."])
     rows = [(r.section, r.key, r.value) for r in N.market_briefing(f).collect()]
     assert ("ticker", "none", "No ticker detected") in rows
 
@@ -94,12 +94,12 @@ def test_dashboard_golden(spark):
 
 
 def test_alert_text(spark):
-    f = _features(spark, ["Saham BBCA menguat setelah laporan laba bersih tumbuh positif."])
+    f = _features(spark, ["Laba BBCA tumbuh, harganya menguat."])
     a = f.select(X.alert_text(F.col("text"), F.col("tickers"), F.col("sentiment"), F.col("confidence"),
                               F.col("signal")).alias("a")).first().a
     assert a.split("\n")[1:] == ["Tickers: BBCA", "Sentiment: positif", "Confidence: 82.00%",
                                  "Experimental Signal: WATCH",
-                                 "News: Saham BBCA menguat setelah laporan laba bersih tumbuh positif."]
+                                 "News: Laba BBCA tumbuh, harganya menguat."]
 
 
 def test_ticker_boundaries(spark):
