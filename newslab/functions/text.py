@@ -168,10 +168,6 @@ def argmax(values: Column) -> Column:
     return F.array_position(values, F.array_max(values)) - 1
 
 
-def strip_text(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_SPACE, "")
-
-
 def first_href(html: Column) -> Column:
     return F.regexp_extract(html, r"(?is)<a\s[^>]*?href=\"([^\"]*)\"", 1)
 

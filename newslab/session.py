@@ -68,7 +68,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", path)
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/newslab/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/newslab/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under this application's part of the shared checkpoint folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything this application has written under ``scratch_path``; call it before the session stops."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

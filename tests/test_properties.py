@@ -377,3 +377,39 @@ def test_search_resumes_without_repeating_work(spark):
 
     assert rows(fresh, "trials") == rows(resumed, "trials")
     assert rows(fresh, "populations") == rows(resumed, "populations")
+
+
+def test_scratch_is_cleared():
+    """The application's own folder goes, nothing else."""
+    from newslab import session
+
+    class Path(str):
+        def getFileSystem(self, conf):
+            class Files:
+                def delete(fs, path, recursive):
+                    deleted.append((str(path), recursive))
+            return Files()
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: "hdfs:///shared/")
+
+        class sparkContext:
+            applicationId, master = "app-1", "spark://x:1"
+            setCheckpointDir = staticmethod(lambda path: None)
+
+            class _jvm:
+                class org:
+                    class apache:
+                        class hadoop:
+                            class fs:
+                                pass
+
+            class _jsc:
+                hadoopConfiguration = staticmethod(lambda: None)
+
+    deleted: list = []
+    Session.sparkContext._jvm.org.apache.hadoop.fs.Path = Path
+    assert session.scratch_path(Session, "x").startswith("hdfs:///shared/newslab/app-1/x-")
+    session.clear_scratch(Session)
+    assert deleted == [("hdfs:///shared/newslab/app-1", True)]
