@@ -32,6 +32,7 @@ RESULT = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lin
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()),
                      ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()),
                      ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("content_share", pa.float64())])
+_ENDS = tuple(".!?:;\"”»…")
 _GAP, _LOWER, _UPPER, _DIGIT, _SYMBOL, _EXCLAIM, _OTHER = range(7)
 
 
@@ -98,7 +99,7 @@ def measure(text: str) -> Measured:
     for s in lines:
         duplicate.append(s in seen)
         seen.add(s)
-        ended.append(s.rstrip(WORD_GAP_CHARS)[-1:] in tuple(".!?:;\"”»…") if s else False)
+        ended.append(s.rstrip(WORD_GAP_CHARS).endswith(_ENDS))
     by = {k: np.add.reduceat(kinds == k, starts, dtype=np.int64) for k in range(7)}
     inside = kinds != _GAP
     first = inside & ~np.concatenate(([False], inside[:-1]))
