@@ -44,7 +44,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     with _setting(spark, _CLEANUP, "true"):
         df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables made by ``written`` that no later step reads."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(t.scratch)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(name: str = "text") -> Column:

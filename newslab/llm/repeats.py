@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslab.llm.common import text_or_empty, written
+from newslab.llm.common import discard, text_or_empty, written
 
 #: Bytes of a string that counts as repeated, and of the first rank.
 LENGTH, FIRST = 50, 20
@@ -38,6 +38,8 @@ _SIDE = _SPAN // 2
 HALF = FIRST + _SIDE
 #: Bytes handled at once: a document is cut into segments of this size, overlapping by LENGTH - 1 bytes.
 BLOCK = 1 << 19
+#: The first two rounds handle the ranks in so many parts, one after the other, each with a part of their shuffle.
+PASSES = 2
 _PLACE = np.uint64((1 << 20) - 1)
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -124,13 +126,13 @@ def blocks(texts: Iterator[bytes]) -> Iterator[tuple[list[int], list[int], Block
         yield index, offset, Block(parts)
 
 
-def runs_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+def runs_of(texts: list[bytes], zones: bool = True) -> tuple[np.ndarray, ...]:
     """(text index, rank, zone, start in the text, number of strings, place) of every run in ``texts``."""
     out = []
     for index, offset, block in blocks(iter(texts)):
         rank, first, count, place = block.chosen()
         seg = block.segment_of(first)
-        out.append((np.array(index)[seg], rank, block.zones(first, count),
+        out.append((np.array(index)[seg], rank, block.zones(first, count) if zones else rank,
                     first - block.begins[seg] + np.array(offset)[seg], count, place))
     kinds = (np.int64, np.uint64, np.uint64, np.int64, np.int64, np.int64)
     return tuple(np.concatenate(c) for c in zip(*out)) if out else tuple(np.empty(0, k) for k in kinds)
@@ -140,48 +142,69 @@ def _bytes_of(batch: pa.RecordBatch, column: int) -> list[bytes]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def _first_ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_ranks(part: int, parts: int):
     """Ranks of length FIRST with the smallest doc_id and whether there are others, combined per batch."""
-    for batch in batches:
-        ids = batch.column(0).to_numpy()
-        index, rank, *_ = runs_of(_bytes_of(batch, 2))
-        doc, order = ids[index], np.argsort(rank, kind="stable")
-        rank, doc = rank[order], doc[order]
-        head = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1]))) if len(rank) else np.empty(0, np.int64)
-        low, high = (np.minimum.reduceat(doc, head), np.maximum.reduceat(doc, head)) if len(head) else (doc, doc)
-        yield pa.RecordBatch.from_arrays([pa.array(rank[head].view(np.int64)), pa.array(low), pa.array(low != high)],
-                                         names=["rank", "low", "several"])
-
-
-def _all_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, sums = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        index, rank, zone, start, count, place = runs_of(_bytes_of(batch, 2))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rank.view(np.int64)), pa.array(zone.view(np.int64)), pa.array(ids[index]), pa.array(sums[index]),
-             pa.array(start), pa.array(count.astype(np.int16)), pa.array(place.astype(np.int16))],
-            names=["rank", "zone", "doc_id", "text_hash", "start", "n", "place"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            index, rank, *_ = runs_of(_bytes_of(batch, 2), zones=False)
+            mine = rank % np.uint64(parts) == part
+            rank, doc = rank[mine], ids[index[mine]]
+            order = np.argsort(rank, kind="stable")
+            rank, doc = rank[order], doc[order]
+            head = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1]))) if len(rank) else np.empty(0, np.int64)
+            low, high = (np.minimum.reduceat(doc, head), np.maximum.reduceat(doc, head)) if len(head) else (doc, doc)
+            yield pa.RecordBatch.from_arrays([pa.array(rank[head].view(np.int64)), pa.array(low), pa.array(low != high)],
+                                             names=["rank", "low", "several"])
+    return run
+
+
+def _all_runs(part: int, parts: int):
+    """Every run: rank, zone, document, and its place packed as start * 4096 + strings * 64 + place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, sums = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            index, rank, zone, start, count, place = runs_of(_bytes_of(batch, 2))
+            mine = rank % np.uint64(parts) == part
+            index = index[mine]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rank[mine].view(np.int64)), pa.array(zone[mine].view(np.int64)), pa.array(ids[index]), pa.array(sums[index]),
+                 pa.array((start << 12 | count << 6 | place)[mine])], names=["rank", "zone", "doc_id", "text_hash", "at"])
+    return run
 
 
 def _sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For the runs asked for, per side: rank of length HALF, first start, and the ranks of the side's strings."""
+    names = ["rank", "half", "doc_id", "text_hash", "start", "strings"]
     for batch in batches:
-        out: list[list] = [[], [], [], [], [], []]
-        for doc, total, data, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _bytes_of(batch, 2),
-                                          batch.column(3)):
-            rank, start, n, place = (runs.values.field(i).to_numpy() for i in range(4))
-            whole = Block([data])
-            for r, first, count, p in zip(rank, start, n.astype(np.int64), place.astype(np.int64)):
-                at = first + p
-                left = max(0, min(count, p - _SIDE + 1))  # strings with _SIDE bytes or more before the chosen ones
-                for begin, end, half_at in ((first, first + left, at - _SIDE), (first + left, first + count, at)):
-                    if begin < end:
-                        for o, v in zip(out, (r, whole.half(np.array([half_at]))[0].view(np.int64), doc, total, begin,
-                                              whole.whole(np.arange(begin, end)).view(np.int64))):
-                            o.append(v)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)],
-                                         names=["rank", "half", "doc_id", "text_hash", "start", "strings"])
+        ids, sums, texts, lists = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _bytes_of(batch, 2), batch.column(3)
+        bounds = lists.offsets.to_numpy()
+        rank, at = (lists.values.field(i).to_numpy() for i in range(2))
+        first_doc = 0
+        while first_doc < len(texts):
+            end_doc, size = first_doc, 0
+            while end_doc < len(texts) and size < BLOCK:
+                size += len(texts[end_doc])
+                end_doc += 1
+            block = Block(texts[first_doc:end_doc])
+            lo, hi = bounds[first_doc], bounds[end_doc]
+            doc = np.repeat(np.arange(first_doc, end_doc), np.diff(bounds[first_doc:end_doc + 1]))
+            base = block.begins[doc - first_doc]
+            start, count, place = at[lo:hi] >> 12, at[lo:hi] >> 6 & 63, at[lo:hi] & 63
+            left = np.clip(place - _SIDE + 1, 0, count)  # strings with _SIDE bytes or more before the chosen ones
+            chosen = base + start + place
+            cols = [np.concatenate(c) for c in ((rank[lo:hi], rank[lo:hi]), (doc, doc), (base, base), (start, start + left),
+                                                (left, count - left), (chosen - _SIDE, chosen))]
+            full = cols[4] > 0
+            ranks, doc, base, begin, n, half_at = (c[full] for c in cols)
+            offsets = np.concatenate(([0], np.cumsum(n)))
+            inside = np.arange(offsets[-1]) - np.repeat(offsets[:-1], n)
+            strings = block.whole(np.repeat(base + begin, n) + inside) if len(n) else np.empty(0, np.uint64)
+            half = block.half(half_at) if len(n) else np.empty(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ranks), pa.array(half.view(np.int64)), pa.array(ids[doc]), pa.array(sums[doc]), pa.array(begin),
+                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(strings.view(np.int64)))], names=names)
+            first_doc = end_doc
 
 
 def repeated_starts(docs: DataFrame) -> DataFrame:
@@ -189,12 +212,16 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
 
     ``docs`` has doc_id (not null), text_hash and text.
     """
-    ranks = (docs.mapInArrow(_first_ranks, "rank long, low long, several boolean").groupBy("rank")
-             .agg(F.min("low").alias("low"), F.max("low").alias("high"), F.max("several").alias("several"))
-             .filter("several or low < high").select("rank"))
-    shared = written(ranks, "repeats-ranks")
-    runs = written(docs.mapInArrow(_all_runs, "rank long, zone long, doc_id long, text_hash long, start long, n short, place short")
-                   .join(shared, "rank", "left_semi"), "repeats-runs")
+    runs, parts = None, []
+    for part in range(PASSES):
+        ranks = (docs.mapInArrow(_first_ranks(part, PASSES), "rank long, low long, several boolean").groupBy("rank")
+                 .agg(F.min("low").alias("low"), F.max("low").alias("high"), F.max("several").alias("several"))
+                 .filter("several or low < high").select("rank"))
+        shared = written(ranks, "repeats-ranks")
+        parts.append(written(docs.mapInArrow(_all_runs(part, PASSES), "rank long, zone long, doc_id long, text_hash int, at long")
+                             .join(shared, "rank", "left_semi"), "repeats-runs"))
+        discard(shared)
+        runs = parts[0] if runs is None else runs.union(parts[-1])
 
     several = (runs.groupBy("rank").agg((F.min("zone") < F.max("zone")).alias("several")).filter("several")
                .select(F.col("rank").alias("s_rank"), "several"))
@@ -203,27 +230,32 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
              .select("z_rank", "z_zone", "first", F.coalesce("several", F.lit(False)).alias("several")))
     judged = written(runs.join(zones, (F.col("rank") == F.col("z_rank")) & (F.col("zone") == F.col("z_zone")))
                      .filter((F.col("doc_id") > F.col("first")) | F.col("several"))
-                     .select("rank", "doc_id", "text_hash", "start", "n", "place", (F.col("doc_id") > F.col("first")).alias("repeated")),
+                     .select("rank", "doc_id", "text_hash", "at", (F.col("doc_id") > F.col("first")).alias("repeated")),
                      "repeats-judged")
+    discard(*parts)
 
     # Zones' first documents: their strings may still start in a smaller document, in another zone.
     asked = (judged.filter("not repeated").groupBy("doc_id", "text_hash")
-             .agg(F.collect_list(F.struct("rank", "start", "n", "place")).alias("runs"))
+             .agg(F.collect_list(F.struct("rank", "at")).alias("runs"))
              .withColumnsRenamed({"doc_id": "a_id", "text_hash": "a_hash"}))
     sides = written(docs.join(asked, (F.col("doc_id") == F.col("a_id")) & (F.col("text_hash") == F.col("a_hash")))
                     .select("doc_id", "text_hash", "text", "runs")
-                    .mapInArrow(_sides, "rank long, half long, doc_id long, text_hash long, start long, strings array<long>"),
+                    .mapInArrow(_sides, "rank long, half long, doc_id long, text_hash int, start long, strings array<long>"),
                     "repeats-sides")
     halves = (sides.groupBy(F.col("rank").alias("h_rank"), F.col("half").alias("h_half"))
-              .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high"))
-    strings = written(sides.join(halves, (F.col("rank") == F.col("h_rank")) & (F.col("half") == F.col("h_half")))
-                      .select("half", "doc_id", "text_hash", "start", F.posexplode("strings").alias("i", "string"))
-                      .select("half", "string", "doc_id", "text_hash", (F.col("start") + F.col("i")).alias("start")), "repeats-strings")
+              .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h_rank", "h_half"))
+    open_ = written(sides.join(halves, (F.col("rank") == F.col("h_rank")) & (F.col("half") == F.col("h_half")), "left_semi")
+                    .select("half", "doc_id", "text_hash", "start", "strings"), "repeats-open")
+    discard(sides)
+    strings = (open_.select("half", "doc_id", "text_hash", "start", F.posexplode("strings").alias("i", "string"))
+               .select("half", "string", "doc_id", "text_hash", (F.col("start") + F.col("i")).alias("start")))
     lowest = (strings.groupBy(F.col("half").alias("l_half"), F.col("string").alias("l_string"))
-              .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high"))
-    single = (strings.join(lowest, (F.col("half") == F.col("l_half")) & (F.col("string") == F.col("l_string")) & (F.col("doc_id") > F.col("low")))
-              .select("doc_id", "text_hash", "start", F.lit(1).cast("short").alias("n")))
-    return judged.filter("repeated").select("doc_id", "text_hash", "start", "n").unionByName(single)
+              .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").drop("high"))
+    single = written(strings.join(lowest, (F.col("half") == F.col("l_half")) & (F.col("string") == F.col("l_string")) & (F.col("doc_id") > F.col("low")))
+                     .select("doc_id", "text_hash", "start", F.lit(1).cast("long").alias("n")), "repeats-single")
+    discard(open_)
+    return (judged.filter("repeated").select("doc_id", "text_hash", F.shiftright("at", 12).alias("start"),
+                                             F.shiftright("at", 6).bitwiseAND(63).alias("n")).unionByName(single))
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
@@ -238,7 +270,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     none to go; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    rows = rows.select("doc_id", F.hash("text").alias("text_hash"), "text")
     starts = written(repeated_starts(rows.filter("doc_id is not null"))
                      .groupBy(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"))
                      .agg(F.collect_set(F.struct("start", "n")).alias("starts")), "repeats-starts")
