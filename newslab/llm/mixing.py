@@ -90,7 +90,7 @@ def plan_mix(docs: DataFrame, seed: int = 17, max_repeats: int = MAX_REPEATS, ra
     offsets = (ranges.withColumn("range_start", F.coalesce(F.sum("range_size").over(earlier), F.lit(0)))
                .join(targets.withColumnRenamed("source", "t_source"), F.col("source").eqNullSafe(F.col("t_source")))
                .select(F.col("t_source"), F.col("range").alias("t_range"), "range_start", "source_size", "weight", "target"))
-    within = (Window.partitionBy("source", "range").orderBy("h", "doc_id", "tie")
+    within = (Window.partitionBy("source", "range").orderBy("h", "doc_id", "size", "tie")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (rows.withColumn("in_range", F.coalesce(F.sum("size").over(within), F.lit(0)))
               .join(offsets, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("range") == F.col("t_range")))
