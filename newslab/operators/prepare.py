@@ -80,7 +80,8 @@ def news(spark: SparkSession, sf_dir: str, dated: bool = True) -> DataFrame:
 
 #: Strata whose cuts are broadcast (a few numbers each); beyond, the same join is shuffled.
 BROADCAST_STRATA = 10_000
-#: Ranked rows of cut buckets (id and rank) that are broadcast; beyond, these few rows are shuffled whole.
+#: Ranked rows of cut buckets (stratum, id and rank) that are broadcast if their ids are unique; else these few rows are
+#: shuffled whole.
 BROADCAST_RANKS = 1_000_000
 
 
@@ -122,9 +123,11 @@ def stratified_part(df: DataFrame, strata: Sequence[str], id_col: str, cuts: Seq
         .otherwise(F.coalesce(F.col("_b") >= F.col(f"_b{i}"), F.lit(False)).cast("int")) for i in range(len(cuts))])
     in_bucket = Window.partitionBy(*strata, "_b").orderBy("_h", id_col)
     number = F.row_number().over(in_bucket).alias("_rank")
-    if known and cut_rows <= BROADCAST_RANKS:
-        ranks = placed.filter(divided).select(F.col(id_col).alias("_id"), number)
-        out = placed.join(F.broadcast(ranks), F.col(id_col) == F.col("_id"), "left").drop("_id")
+    ranks = placed.filter(divided).select(*[F.col(c).alias(f"_r{k}") for k, c in enumerate(strata)], F.col(id_col).alias("_id"), number)
+    named = [*[f"_r{k}" for k in range(len(strata))], "_id"]
+    # Ranks find their rows by stratum and id only where these name one row each; repeated ids are ranked row by row.
+    if known and cut_rows <= BROADCAST_RANKS and ranks.groupBy(*named).count().filter("count > 1").isEmpty():
+        out = placed.join(F.broadcast(ranks), _same(list(zip([*strata, id_col], named))), "left").drop(*named)
     else:
         out = placed.filter(~divided).withColumn("_rank", F.lit(None).cast("int")).unionByName(
             placed.filter(divided).select("*", number))

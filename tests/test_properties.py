@@ -331,6 +331,17 @@ def test_split_of_crowded_buckets(spark, monkeypatch):
     assert {r.id: r.split for r in P.stratified_split(rows, ("s",), "id").collect()} == exp
 
 
+def test_split_keeps_repeated_and_null_ids(spark):
+    """A hot id, null ids and ids in two strata: every row gets one part, the counts are exact."""
+    rows = spark.createDataFrame([("a", 7)] * 30 + [("a", None)] * 30 + [("b", i) for i in range(40)] + [("c", i) for i in range(40)]
+                                 + [("d", None)] * 20 + [("e", 7)] * 10, "s STRING, id LONG")
+    got = sorted((r.s, r.split, r["count"]) for r in P.stratified_split(rows, ("s",), "id").groupBy("s", "split").count().collect())
+    assert got == sorted((s, part, n * k // 10) for s, n in (("a", 60), ("b", 40), ("c", 40), ("d", 20), ("e", 10))
+                         for part, k in (("train", 8), ("val", 1), ("test", 1)))
+    subset = {r.s: r["count"] for r in P.stratified_subset(rows, ("s",), "id").groupBy("s").count().collect()}
+    assert subset == {"a": 18, "b": 12, "c": 12, "d": 6, "e": 3}
+
+
 def test_no_cross_joins_in_any_query(spark):
     """No registered query plans a cartesian product or a nested-loop join."""
     offenders = []
