@@ -173,15 +173,15 @@ def stream_ingest_dedup(spark, d):
 
 @query
 def stream_daily_sentiment(spark, d):
-    """Scored news streamed through a one-day tumbling window with a watermark; undated rows counted beside it."""
+    """Scored news streamed in three drops through a one-day tumbling window; undated rows counted beside it."""
     scored = _scored(spark, d).select("news_id", F.col("created_at").cast("timestamp").alias("event_time"), "sentiment")
     landing = scratch_path(spark, "landing-news")
     out = scratch_path(spark, "stream-daily")
     ckpt = scratch_path(spark, "stream-ckpt")
     dated = scored.filter(F.col("event_time").isNotNull())
-    jobs.land_in_batches(dated, landing, "news_id", 3)
-    jobs.daily_sentiment_stream(spark, landing, scored.schema, out, ckpt,
-                                partitions=spark.sparkContext.defaultParallelism)  # days x sentiments
-    days = spark.read.schema("day string, sentiment string, n long, kind string").parquet(out).select("day", "sentiment", "n")
+    # Three scheduled runs, each after one more drop has landed.
+    jobs.land_in_batches(dated, landing, "news_id", 3,
+                         after_each=lambda k: jobs.daily_sentiment_stream(spark, landing, scored.schema, out, ckpt))
+    days = jobs.daily_counts(spark, out)
     undated = scored.filter(F.col("event_time").isNull()).groupBy("sentiment").agg(F.count(F.lit(1)).alias("n"))
     return days.unionByName(undated.select(F.lit(None).cast("string").alias("day"), "sentiment", "n"))

@@ -192,6 +192,21 @@ def test_stream_keeps_late_titles(spark):
     assert sorted(r.title for r in spark.read.parquet(store).collect()) == ["a", "b", "late"]
 
 
+def test_stream_counts_late_days(spark):
+    from newslab.session import scratch_path
+    from newslab.streaming import jobs
+
+    landing, out, ck = (scratch_path(spark, n) for n in ("days-land", "days-out", "days-ck"))
+    drops = ["2024-01-01", "2024-03-01", "2024-01-01", "2024-02-01"]
+    for k, day in enumerate(drops):
+        rows = spark.createDataFrame([(day, "netral"), (day, "positif")], "d STRING, sentiment STRING").select(
+            F.to_timestamp("d").alias("event_time"), "sentiment")
+        rows.write.parquet(f"{landing}/drop={k}")
+        jobs.daily_sentiment_stream(spark, landing, rows.schema, out, ck)
+    got = sorted(map(tuple, spark.read.parquet(out).groupBy("day", "sentiment").agg(F.sum("n")).collect()))
+    assert got == [(day, s, n) for day, n in (("2024-01-01", 2), ("2024-02-01", 1), ("2024-03-01", 1)) for s in ("netral", "positif")]
+
+
 def test_listing_pages_give_every_headline(spark):
     from newslab.operators import ingest as I
 
