@@ -67,20 +67,21 @@ def invert_demand(share: Column, start: Column, end: Column) -> Column:
 
 
 def plan_mix(docs: DataFrame, seed: int = 17, max_repeats: int = MAX_REPEATS, range_rows: int = RANGE_ROWS,
-             schedules=SCHEDULES) -> DataFrame:
+             schedules=SCHEDULES, row: str | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, source, text; other columns ignored).
 
     doc_id, source, size, source_size, target, taken, and ``copies``: an array of (epoch, words, position), one entry
-    per copy taken, position in [0, 1].  Within a source, documents follow a seeded hash of doc_id, then doc_id; the
-    mix runs through them up to ``max_repeats`` times until the rounded target is met, so the last copy may be cut.
+    per copy taken, position in [0, 1].  Within a source, documents follow a seeded hash of doc_id, then doc_id, size and
+    a hash of the text; the mix runs through them up to ``max_repeats`` times until the rounded target is met, so the last
+    copy may be cut.  ``row`` names a column of ``docs`` with a number per row, which is then returned as well.
 
     Null text has size 0 and is never taken; a null source is a source of its own; a null doc_id counts as an empty
     string in the hash; equal rows each take their own place; an empty table, or one without words, takes nothing.
     """
     rows = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                               word_count(text_or_empty()).alias("size"))
-                   .withColumn("h", order_hash(F.col("doc_id"), seed))
-                   .withColumn("tie", F.monotonically_increasing_id()), "mix-sizes")
+                               word_count(text_or_empty()).alias("size"), F.xxhash64(text_or_empty()).alias("text_hash"),
+                               (F.col(row) if row else F.monotonically_increasing_id()).alias("tie"))
+                   .withColumn("h", order_hash(F.col("doc_id"), seed)), "mix-sizes")
     n_ranges = max(1, rows.count() // range_rows)
     rows = rows.withColumn("range", F.expr(f"h div {-(-HASHES // n_ranges)}L"))
     ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
@@ -90,7 +91,7 @@ def plan_mix(docs: DataFrame, seed: int = 17, max_repeats: int = MAX_REPEATS, ra
     offsets = (ranges.withColumn("range_start", F.coalesce(F.sum("range_size").over(earlier), F.lit(0)))
                .join(targets.withColumnRenamed("source", "t_source"), F.col("source").eqNullSafe(F.col("t_source")))
                .select(F.col("t_source"), F.col("range").alias("t_range"), "range_start", "source_size", "weight", "target"))
-    within = (Window.partitionBy("source", "range").orderBy("h", "doc_id", "size", "tie")
+    within = (Window.partitionBy("source", "range").orderBy("h", "doc_id", "size", "text_hash", "tie")
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = (rows.withColumn("in_range", F.coalesce(F.sum("size").over(within), F.lit(0)))
               .join(offsets, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("range") == F.col("t_range")))
@@ -107,7 +108,8 @@ def plan_mix(docs: DataFrame, seed: int = 17, max_repeats: int = MAX_REPEATS, ra
     copies = F.filter(F.array(*[copy(e) for e in range(max_repeats)]), lambda c: c["words"] > 0)
     return (placed.withColumn("copies", copies)
             .withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda acc, c: acc + c["words"]))
-            .select("doc_id", "source", "size", "source_size", "target", "taken", "copies"))
+            .select("doc_id", "source", "size", "source_size", "target", "taken", "copies",
+                    *([F.col("tie").alias(row)] if row else [])))
 
 
 def schedule(plan: DataFrame) -> DataFrame:
@@ -119,15 +121,12 @@ def schedule(plan: DataFrame) -> DataFrame:
 def mixed_rows(docs: DataFrame, seed: int = 17) -> DataFrame:
     """The rows of ``docs``, with all columns, once per copy that the mix takes, range-sorted by training position.
 
-    A copy that the quota cuts is whole here if at least half of it is taken and else left out.  Rows that share a
-    doc_id are told apart by source and size; where these agree too, the copies of one stand for all of them.
+    A copy that the quota cuts is whole here if at least half of it is taken and else left out.  The rows are written
+    once with a number each, by which the plan finds them, so rows that share a doc_id keep their own copies.
     """
-    plan = written(plan_mix(docs, seed).filter("taken > 0").select(
-        F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size"),
-        F.filter("copies", lambda c: 2 * c["words"] >= F.col("size")).alias("_copies"))
-        .dropDuplicates(["p_id", "p_source", "p_size"]), "mix-plan")
-    rows = docs.withColumn("_size", word_count(text_or_empty()))
-    taken = rows.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col("p_id"))
-                      & F.col("source").cast("string").eqNullSafe(F.col("p_source")) & (F.col("_size") == F.col("p_size")))
-    return (taken.select(*[F.col(c) for c in docs.columns], F.explode("_copies").alias("_copy"))
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-input")
+    plan = written(plan_mix(rows, seed, row="_row").filter("taken > 0").select(
+        F.col("_row").alias("p_row"), F.filter("copies", lambda c: 2 * c["words"] >= F.col("size")).alias("_copies")), "mix-plan")
+    return (rows.join(plan, F.col("_row") == F.col("p_row"))
+            .select(*[F.col(c) for c in docs.columns], F.explode("_copies").alias("_copy"))
             .orderBy("_copy.position", "doc_id", "_copy.epoch").drop("_copy"))

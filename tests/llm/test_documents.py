@@ -280,6 +280,19 @@ def test_mix_targets_and_limits(docs, clashing, empty):
     assert mixing.plan_mix(empty).count() == 0
 
 
+def test_mixed_rows_tell_rows_of_one_id_apart(spark):
+    """Different texts with a null or repeated doc_id, one source and one size: each has its own copies."""
+    texts = [f"t{i} two three four" for i in range(40)]
+    rows = ([(None, t, "en", "a", 1) for t in texts] + [(5, t + " five", "en", "a", 1) for t in texts]
+            + [(100 + i, "x " * 30, "en", s, 1) for i, s in enumerate("bbbbc")])
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    got = [Counter(map(tuple, mixing.mixed_rows(d).collect())) for d in (docs, docs.repartition(5))]
+    assert got[0] == got[1]
+    exp = Counter(n for r in mixing.plan_mix(docs).collect() if r.source == "a"
+                  if (n := sum(2 * c.words >= r["size"] for c in r.copies)))
+    assert Counter(n for r, n in got[0].items() if r[3] == "a") == exp and 0 < sum(exp.values()) < 80
+
+
 def test_demand_is_inverted(spark):
     rows = spark.range(11).select((F.col("id") / 10).alias("q"))
     for a, b in mixing.SCHEDULES:
