@@ -26,6 +26,8 @@ SLOTS = 1 << 21
 SAMPLE_DOCS = 3_000
 #: An n-gram belongs to a language if this share of its sampled documents has it ...
 MIN_RATE = 0.004
+#: (of a language with fewer sampled documents than FEW_DOCS, one that has it is enough, and rates count as of so many)
+FEW_DOCS = 10
 #: ... and at least this part of the share in the language where it is most common ...
 MIN_RELATIVE = 0.2
 #: ... and it is among the language's most common ones.
@@ -154,7 +156,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, min_rate: float = MIN_R
 
     counted = sample.mapInArrow(frequencies, "lang string, gram long, n long, docs long").persist()
     drawn = {r["lang"]: r["docs"] for r in counted.groupBy("lang").agg(F.sum("docs").alias("docs")).collect()}
-    least = F.coalesce(*[F.when(F.col("lang") == k, F.lit(max(2.0, min_rate * n))) for k, n in drawn.items()]) if drawn else F.lit(2.0)
+    least = F.coalesce(*[F.when(F.col("lang") == k, F.lit(max(2.0 if n >= FEW_DOCS else 1.0, min_rate * n))) for k, n in drawn.items()]) if drawn else F.lit(2.0)
     kept = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).toPandas()
     counted.unpersist()
     return select(kept["lang"].to_numpy(), kept["gram"].to_numpy(np.int64).view(np.uint64), kept["n"].to_numpy(np.float64), drawn, sizes)
@@ -163,7 +165,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, min_rate: float = MIN_R
 def select(lang: np.ndarray, gram: np.ndarray, n: np.ndarray, drawn: dict, sizes: dict) -> LanguageFilters:
     """Filters from document counts ``n`` per (language, n-gram) and documents ``drawn`` per language."""
     languages = sorted(drawn)
-    rates = n / np.array([drawn[k] for k in lang]) if len(lang) else n
+    rates = n / np.array([max(drawn[k], FEW_DOCS) for k in lang]) if len(lang) else n
     values, inverse = np.unique(gram, return_inverse=True)
     top = np.zeros(len(values))
     np.maximum.at(top, inverse, rates)
@@ -184,13 +186,20 @@ MIN_NGRAMS = 20
 
 
 def keep_known(docs: DataFrame, filters: LanguageFilters, min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """The rows of ``docs``, with all columns, whose text has a letter and is in a learned language."""
+    """The rows of ``docs``, with all columns, whose text has a letter and is in a learned language.
+
+    If no n-gram of any language was learned, nothing can be said of languages: every text with a letter stays.
+    """
+    learned = bool(filters.planes.any())
     sent = docs.sparkSession.sparkContext.broadcast(filters)
 
     @F.arrow_udf("boolean")
     def known(texts: pa.Array) -> pa.Array:
         model, out = sent.value, []
         for t in texts:
+            if not learned:
+                out.append(len(ngram_hashes(t.as_py())) > 0)
+                continue
             lang, _, coverage = model.decide(t.as_py())
             out.append(lang != UNKNOWN and (coverage >= min_coverage or len(ngram_hashes(t.as_py())) < MIN_NGRAMS))
         return pa.array(out, pa.bool_())

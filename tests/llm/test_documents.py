@@ -331,6 +331,23 @@ def test_language_edges(spark, docs, clashing, empty):
     assert language_id.keep_known(docs, filters).columns == docs.columns
 
 
+def test_few_or_no_labels_keep_documents(spark):
+    """Production thresholds: without a usable label texts with a letter stay, and one labelled document is enough."""
+    en = "the quick brown fox jumps over the lazy dog while many other animals look on from the hill number"
+    fi = "yksi kaksi kolme nelja viisi kuusi seitseman kahdeksan yhdeksan kymmenen on hyvin pitka lause talosta"
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 4 != 2][:40]
+    rows = [(i, f"{en} {i}", None, "a", 1) for i in ids] + [(900, "12 34", None, "a", 1), (901, None, None, "a", 1)]
+    for lang, kept in ((None, ids), ("en", ids)):
+        docs = spark.createDataFrame([(i, t, lang if i in ids else None, s, n) for i, t, _, s, n in rows], DOCS)
+        assert sorted(r.doc_id for r in language_id.keep_known(docs, language_id.fit(docs)).collect()) == kept
+    bare = spark.createDataFrame([(i, f"{en} {i}", None, "a", 1) for i in ids] + [(ids[0], "12 34", "en", "a", 1)], DOCS)
+    assert language_id.keep_known(bare, language_id.fit(bare)).count() == len(ids)
+    one = spark.createDataFrame([(i, f"{en} {i}", "en", "a", 1) for i in ids[1:]] + [(ids[0], fi, "fi", "a", 1), (900, fi[20:], None, "a", 1)], DOCS)
+    filters = language_id.fit(one)
+    assert language_id.keep_known(one, filters).count() == len(ids) + 1
+    assert {r.doc_id for r in language_id.identify(one, filters).collect() if r.lang_pred == "fi"} == {ids[0], 900}
+
+
 def test_filters_return_all_languages_of_an_ngram():
     rng = np.random.default_rng(1)
     members = [rng.integers(0, 2 ** 63, 2000).astype(np.uint64) for _ in range(11)]
