@@ -35,29 +35,45 @@ def word_count(text: Column) -> Column:
     return (F.length(gone) - F.length(F.replace(gone, F.lit("w"), F.lit("")))).cast("long")
 
 
-def source_targets(sizes: DataFrame, max_repeats: int = MAX_REPEATS, weights: int = 3) -> DataFrame:
+def sums_before(table: DataFrame, order: list[Column], columns: list[str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``table`` with ``<column>_before``: the sum of the column over the rows before in ``order``, which has no ties.
+
+    Two levels: totals per range of the order (one row per ``range_rows`` rows reaches the driver), then sums within a range.
+    """
+    n_ranges = max(1, table.count() // range_rows)
+    parts = written(table.repartitionByRange(n_ranges, *order).withColumn("part", F.spark_partition_id()), "mix-sources")
+    starts, at = [], [0.0] * len(columns)
+    for r in sorted(parts.groupBy("part").agg(*[F.sum(c).cast("double") for c in columns]).collect()):
+        starts.append((r[0], *at))
+        at = [a + b for a, b in zip(at, r[1:])]
+    starts = table.sparkSession.createDataFrame(starts, ", ".join(["p_part int", *[f"{c}_start double" for c in columns]]))
+    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return (parts.join(F.broadcast(starts), F.col("part") == F.col("p_part"))
+            .select(*table.columns, *[(F.col(f"{c}_start") + F.coalesce(F.sum(c).over(within), F.lit(0))).alias(f"{c}_before")
+                                      for c in columns]))
+
+
+def source_targets(sizes: DataFrame, max_repeats: int = MAX_REPEATS, weights: int = 3, range_rows: int = RANGE_ROWS) -> DataFrame:
     """source, source_size, weight, target from (source, source_size), one row per source.
 
     Sources by code point, null last, weigh 1..``weights``, repeating.  Sharing by weight, with the excess of full
     sources shared again until none is above ``max_repeats`` times its size, has the limit min(cap, weight * level):
-    the level follows from prefix sums over the sources in the order in which they fill up.  The table has one row
-    per source, so its windows are small.
+    the level follows from prefix sums over the sources in the order in which they fill up.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    fill = Window.orderBy(F.col("fill").asc(), F.col("source").asc_nulls_last())
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    after = fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = (sizes.withColumn("weight", ((F.row_number().over(by_name) - 1) % weights + 1).cast("double"))
-              .withColumn("cap", (F.col("source_size") * max_repeats).cast("double"))
-              .withColumn("fill", F.col("cap") / F.col("weight"))
-              .withColumn("total", F.sum("source_size").over(everything).cast("double")))
+    by_name = F.col("source").asc_nulls_last()
+    sizes = written(sizes.withColumn("one", F.lit(1)), "mix-source-sizes")
+    weighed = (sums_before(sizes, [by_name], ["one"], range_rows)
+               .withColumn("weight", F.col("one_before") % weights + 1)
+               .withColumn("cap", (F.col("source_size") * max_repeats).cast("double"))
+               .withColumn("fill", F.col("cap") / F.col("weight")).select("source", "source_size", "weight", "cap", "fill"))
+    weighed = written(weighed, "mix-weights")
+    total, weight = weighed.agg(F.sum("source_size").cast("double"), F.sum("weight")).first()
     # Of the sources that the level would not fill, the first in filling order has the true level, the others a lower one.
-    level = ((F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(after))
-    found = ranked.withColumn("level", level).withColumn(
-        "level", F.max(F.when(F.col("fill") >= F.col("level"), F.col("level"))).over(everything))
-    return found.select("source", "source_size", "weight",
-                        F.least(F.col("cap"), F.col("weight") * F.col("level")).alias("target"))
+    filled = sums_before(weighed, [F.col("fill").asc(), by_name], ["cap", "weight"], range_rows).withColumn(
+        "level", (F.lit(total) - F.col("cap_before")) / (F.lit(weight) - F.col("weight_before")))
+    level = filled.agg(F.max(F.when(F.col("fill") >= F.col("level"), F.col("level")))).first()[0]
+    return weighed.select("source", "source_size", "weight",
+                          F.least(F.col("cap"), F.col("weight") * F.lit(level).cast("double")).alias("target"))
 
 
 def invert_demand(share: Column, start: Column, end: Column) -> Column:
@@ -86,7 +102,7 @@ def plan_mix(docs: DataFrame, seed: int = 17, max_repeats: int = MAX_REPEATS, ra
     rows = rows.withColumn("range", F.expr(f"h div {-(-HASHES // n_ranges)}L"))
     ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     ranges = written(ranges, "mix-ranges")
-    targets = source_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), max_repeats, len(schedules))
+    targets = source_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")), max_repeats, len(schedules), range_rows)
     earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranges.withColumn("range_start", F.coalesce(F.sum("range_size").over(earlier), F.lit(0)))
                .join(targets.withColumnRenamed("source", "t_source"), F.col("source").eqNullSafe(F.col("t_source")))

@@ -293,6 +293,18 @@ def test_mixed_rows_tell_rows_of_one_id_apart(spark):
     assert Counter(n for r, n in got[0].items() if r[3] == "a") == exp and 0 < sum(exp.values()) < 80
 
 
+def test_many_sources_are_in_no_single_task(spark):
+    sizes = {(f"s{i:03}" if i else None): i * 7919 % 101 + i // 350 * 5000 for i in range(400)}
+    table = spark.createDataFrame(list(sizes.items()), "source STRING, source_size LONG").repartition(5)
+    got = mixing.source_targets(table, range_rows=50)
+    target = waterfill(sizes)
+    rows = {r.source: r for r in got.collect()}
+    assert len(rows) == 400 and all(abs(rows[s].target - target[s]) < 1e-6 for s in sizes)
+    assert {s: r.weight for s, r in rows.items()} == {s: i % 3 + 1.0 for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+    plans = [got, mixing.sums_before(table, [F.col("source")], ["source_size"], 50)]
+    assert all("SinglePartition" not in p._jdf.queryExecution().executedPlan().toString() for p in plans)
+
+
 def test_demand_is_inverted(spark):
     rows = spark.range(11).select((F.col("id") / 10).alias("q"))
     for a, b in mixing.SCHEDULES:
