@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslab.llm import chat_format, exact_dedup, jaccard_join, language_id, mixing, packing, quality_crf, repeats, token_counts, url_filter
+from newslab.llm import (chat_format, exact_dedup, jaccard_join, language_id, merkle, mixing, packing, quality_crf, repeats,
+                         token_counts, url_filter)
 from newslab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -250,3 +251,66 @@ def op10_quality_rules(spark, d):
     """Line labels, base rules and verdict for every document."""
     docs = table(spark, d, "documents")
     return quality_crf.apply_rules(docs, quality_crf.fit(docs, table(spark, d, "labels")))
+
+
+# ------------------------------------------------------------------ 12
+
+
+@query
+def op12_merkle_manifest(spark, d):
+    """Manifest of all documents, folded back from rows of which every seventh or so is tampered with."""
+    return merkle.manifest(table(spark, d, "documents"), merkle.every_seventh())
+
+
+#: Tree levels that the SQL spells out: enough for a million leaves a language and as many languages.
+SQL_LEVELS = 20
+_CRC = """list_reduce(list_concat([4294967295::BIGINT], flatten([[(ascii(x) >> b) & 1 for b in range(8)] for x in string_split(CAST(doc_id AS VARCHAR), '')])),
+       lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)))"""
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _tree_sql(name: str, level: int) -> str:
+    """Nodes one level up: pairs hashed together, a last one alone, a finished tree unchanged."""
+    return f"""{name}{level + 1} AS (
+  SELECT tree, pos // 2 AS pos, (max(n) + 1) // 2 AS n, max(n) > 1 AS live,
+         CASE WHEN max(n) > 1 THEN sha256(string_agg(node, '' ORDER BY pos)) ELSE max(node) END AS node
+  FROM {name}{level} GROUP BY tree, pos // 2)"""
+
+
+def _levels_sql(half: int, name: str) -> str:
+    return " UNION ALL ".join(f"SELECT {half} AS half, {k} AS k, tree, pos, node FROM {name}{k}" for k in range(SQL_LEVELS))
+
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH rows AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf_sql('n_chars')} AS node,
+         CASE WHEN xor({_CRC}, 4294967295) % 7 = 0 THEN {_leaf_sql('n_chars + 1')} END AS read FROM documents),
+u0 AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, node) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM rows),
+{', '.join(_tree_sql('u', k).replace(' AS (', ' AS MATERIALIZED (', 1) for k in range(SQL_LEVELS))},
+t0 AS MATERIALIZED (
+  SELECT '' AS tree, tree AS lang, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, node FROM u{SQL_LEVELS}),
+{', '.join(_tree_sql('t', k).replace(' AS (', ' AS MATERIALIZED (', 1) for k in range(SQL_LEVELS))},
+lv AS ({_levels_sql(0, 'u')} UNION ALL {_levels_sql(1, 't')}),
+need AS (
+  SELECT r.tree AS in_tree, r.pos AS in_pos, 0 AS half, k, r.tree, r.pos >> k AS place FROM u0 r, range({SQL_LEVELS}) s(k) WHERE (r.n - 1) >> k > 0
+  UNION ALL
+  SELECT r.tree, r.pos, 1, k, '', t.pos >> k FROM u0 r JOIN t0 t ON t.lang = r.tree, range({SQL_LEVELS}) s(k) WHERE (t.n - 1) >> k > 0),
+sides AS (
+  SELECT in_tree, in_pos, list(CASE WHEN lv.node IS NULL THEN '' WHEN lv.pos < place THEN 'L' || lv.node ELSE 'R' || lv.node END ORDER BY need.half, need.k) AS path
+  FROM need LEFT JOIN lv ON lv.half = need.half AND lv.k = need.k AND lv.tree = need.tree AND lv.pos = xor(place, 1) GROUP BY in_tree, in_pos),
+paths AS (
+  SELECT r.doc_id, r.node, r.read, t.node AS subroot, (SELECT node FROM t{SQL_LEVELS}) AS root, coalesce(path, []) AS path
+  FROM u0 r JOIN t0 t ON t.lang = r.tree LEFT JOIN sides ON in_tree = r.tree AND in_pos = r.pos),
+folded AS (
+  SELECT *, list_reduce(list_concat([coalesce(read, node)], path), lambda h, s:
+         CASE WHEN s[1] = 'L' THEN sha256(s[2:] || h) ELSE sha256(h || s[2:]) END) AS folded_root FROM paths)
+SELECT doc_id, node AS leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified FROM folded"""
