@@ -16,10 +16,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslab.llm.common import discard, written
+from newslab.llm.common import written
 
 #: Levels that one superblock covers: at most 2 ** LEVELS leaves meet in one group.
 LEVELS = 10
+#: Rows of nodes or paths that share a file between rounds.
+FILE_ROWS = 200_000
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _POS_BITS = 33  # monotonically_increasing_id: partition << 33 | row in it
 _LEFT, _RIGHT, _ALONE = "L", "R", ""
@@ -94,10 +96,8 @@ def placed(rows: DataFrame, tree: str, order: list[str]) -> DataFrame:
               .withColumn("m_start", F.coalesce(F.sum("m_rows").over(
                   w.orderBy("m_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .select("m_part", tree, "n", (F.col("m_start") - F.col("m_first")).alias("m_shift")))
-    out = written(ordered.join(starts, ["m_part", tree]).withColumn("pos", F.col("m_id") + F.col("m_shift"))
-                  .drop("m_part", "m_id", "m_shift"), "merkle-placed")
-    discard(ordered)
-    return out
+    return (ordered.join(starts, ["m_part", tree]).withColumn("pos", F.col("m_id") + F.col("m_shift"))
+            .drop("m_part", "m_id", "m_shift"))
 
 
 def _block(levels: int) -> Column:
@@ -113,13 +113,23 @@ def _reducer(levels: int) -> Callable:
     return run
 
 
-def climb(nodes: DataFrame, levels: int) -> list[DataFrame]:
-    """Tables (tree, n, pos, node) round by round, the last with one node per tree; the first is ``nodes``."""
+def _packed(df: DataFrame, rows: int) -> DataFrame:
+    """A small table in few files."""
+    return df.repartition(1 + rows // FILE_ROWS)
+
+
+def climb(nodes: DataFrame, levels: int) -> list[tuple[DataFrame, int]]:
+    """Tables (tree, n, pos, node) and their rows, round by round, the last with one node per tree; the first is ``nodes``."""
     rounds = [nodes]
-    while (rounds[-1].agg(F.max("n")).first()[0] or 0) > 1:
+    sizes = []
+    while True:
+        most, rows = rounds[-1].agg(F.max("n"), F.count(F.lit(1))).first()
+        sizes.append(rows)
+        if (most or 0) <= 1:
+            return list(zip(rounds, sizes))
         step = rounds[-1].select("tree", "n", "pos", "node", _block(levels)).groupBy("tree", "block")
-        rounds.append(written(step.applyInPandas(_reducer(levels), "tree string, n long, pos long, node string"), "merkle-round"))
-    return rounds
+        step = step.applyInPandas(_reducer(levels), "tree string, n long, pos long, node string")
+        rounds.append(written(_packed(step, rows >> levels), "merkle-round"))
 
 
 def _descender(levels: int) -> Callable:
@@ -133,12 +143,13 @@ def _descender(levels: int) -> Callable:
     return run
 
 
-def descend(rounds: list[DataFrame], outer: DataFrame, levels: int) -> DataFrame:
+def descend(rounds: list[tuple[DataFrame, int]], outer: DataFrame, levels: int) -> DataFrame:
     """Outer paths of the nodes of ``rounds[0]`` from those of ``rounds[-1]`` (tree, pos, subroot, root, path)."""
-    for nodes in reversed(rounds[:-1]):
-        outer = written(nodes.select("tree", "n", "pos", "node", _block(levels)).groupBy("tree", "block")
-                        .cogroup(outer.select("tree", F.col("pos").alias("block"), "subroot", "root", "path").groupBy("tree", "block"))
-                        .applyInPandas(_descender(levels), outer.schema), "merkle-paths")
+    for nodes, size in reversed(rounds[:-1]):
+        paths = (nodes.select("tree", "n", "pos", "node", _block(levels)).groupBy("tree", "block")
+                 .cogroup(outer.select("tree", F.col("pos").alias("block"), "subroot", "root", "path").groupBy("tree", "block"))
+                 .applyInPandas(_descender(levels), outer.schema))
+        outer = written(_packed(paths, size), "merkle-paths")
     return outer
 
 
@@ -179,10 +190,10 @@ def manifest(docs: DataFrame, tampered: Column | None = None, levels: int = LEVE
     rows = docs.select(*FIELDS).select(tree, F.col("doc_id").cast("long").alias("doc_id"), leaf_hash().alias("node"), read)
     leaves = placed(rows, "tree", ["doc_id", "node"])
     rounds = climb(leaves, levels)
-    tops = rounds[-1].select(F.lit("").alias("tree"), F.col("tree").alias("lang"), "node")
+    tops = rounds[-1][0].select(F.lit("").alias("tree"), F.col("tree").alias("lang"), "node")
     tops = placed(tops, "tree", ["lang"])
     top_rounds = climb(tops, levels)
-    root = top_rounds[-1].select("tree", "pos", F.lit("").alias("subroot"), F.col("node").alias("root"),
+    root = top_rounds[-1][0].select("tree", "pos", F.lit("").alias("subroot"), F.col("node").alias("root"),
                                  F.array().cast("array<string>").alias("path"))
     tops_out = descend(top_rounds, root, levels).select("pos", "root", "path").withColumnRenamed("pos", "t_pos")
     outer = (tops.join(tops_out, F.col("pos") == F.col("t_pos"))
