@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslab.llm import (chat_format, exact_dedup, jaccard_join, language_id, merkle, mixing, packing, quality_crf, repeats,
-                         token_counts, url_filter)
+from newslab.llm import (ball_search, chat_format, exact_dedup, jaccard_join, language_id, merkle, mixing, packing, quality_crf,
+                         repeats, token_counts, url_filter)
 from newslab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -253,6 +253,32 @@ def op10_quality_rules(spark, d):
     return quality_crf.apply_rules(docs, quality_crf.fit(docs, table(spark, d, "labels")))
 
 
+# ------------------------------------------------------------------ 11
+
+
+@query
+def op11_ranked_search(spark, d):
+    """The ten best documents for every benchmark item."""
+    return ball_search.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def _terms_sql(rows: str, key: str) -> str:
+    return f"""SELECT r, {key}, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM (SELECT *, row_number() OVER () AS r FROM {rows})"""
+
+
+ORACLE["op11_ranked_search"] = f"""
+WITH tf AS MATERIALIZED (SELECT r, doc_id, term, count(*) AS tf FROM ({_terms_sql('documents', 'doc_id')}) GROUP BY ALL),
+lengths AS (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY r),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * (SELECT docs FROM total) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf GROUP BY term),
+q AS (SELECT r AS item, item_id, term, count(*) AS repeats FROM ({_terms_sql('benchmark', 'item_id')}) GROUP BY ALL),
+scores AS (
+  SELECT item, item_id, tf.r, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN lengths ON lengths.r = tf.r, total GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
 # ------------------------------------------------------------------ 12
 
 
