@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newslab.llm import (ball_search, chat_format, exact_dedup, jaccard_join, language_id, merkle, mixing, packing, quality_crf,
-                         repeats, token_counts, url_filter)
+                         repeats, token_counts, toxicity, url_filter)
 from newslab.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -340,3 +340,12 @@ folded AS (
          CASE WHEN s[1] = 'L' THEN sha256(s[2:] || h) ELSE sha256(h || s[2:]) END) AS folded_root FROM paths)
 SELECT doc_id, node AS leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda s: s[2:]), '')) AS proof_sha256,
        folded_root, folded_root = root AS verified FROM folded"""
+
+# ------------------------------------------------------------------ 13
+
+
+@query
+def op13_toxicity(spark, d):
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = table(spark, d, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, d, "labels")))
