@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 from newslab.llm import bigru
 from newslab.llm.common import text_or_empty
 
-#: Labelled texts that the network is trained on: at most so many of each label, and only texts of up to so many words
-#: (a longer one is left out whole, never cut).
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_WORDS = 400, 1200, 1200
+#: Labelled texts that the network is trained on: at most so many of each label, and only texts of up to so many bytes (a
+#: longer one is left out whole, never cut).
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_BYTES = 400, 1200, 8000
 FOLDS = 5
 
 
@@ -23,7 +23,7 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN, words: int = SAMPLE_WORDS):
+def sample(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN, size: int = SAMPLE_BYTES):
     """Texts (as words) and labels of a bounded sample outside the held-out fold, the same on every run.
 
     A doc_id labelled both ways isn't used; of rows that share a doc_id the smallest text is.
@@ -31,9 +31,8 @@ def sample(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean:
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).filter(~held_out())
              .groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).filter("toxic = most"))
-    spaces = F.length("text") - F.length(F.regexp_replace("text", r"\s+", ""))  # at least as many as words less one
     texts = (docs.select(F.col("doc_id").cast("long").alias("t_id"), text_or_empty().alias("text"))
-             .filter((spaces < words) & (F.octet_length("text") < 32 * words)))
+             .filter(F.octet_length("text") <= size))
     order = F.xxhash64("doc_id")
     # Twice the wanted number, as some labels' texts are missing or long; then a bounded join.
     drawn = None
