@@ -54,15 +54,13 @@ def filter_min_words(df: DataFrame, n: int = S.MIN_WORDS) -> DataFrame:
 def prepare_news(raw: DataFrame, min_words: int = S.MIN_WORDS) -> DataFrame:
     """P1-P6 on a raw headline table (``judul``, ``tanggal``, ``sentimen``).
 
-    Label domain and minimum words are one predicate: the word test reads the
-    text and the label test reads the label, so Catalyst keeps the predicate
-    above the label join and the text cleaning runs only for rows whose
-    label is known, instead of for every document before the join.
+    The cleaned text is generated, not projected: filters on it stay above the
+    generator, so the cleaning chain runs once per row, after the label test,
+    and not again in a pushed-down copy of the word filter.
     """
-    df = rename_news(raw).withColumn("label", X.normalise_label(F.col("label")))
-    df = with_clean_text(df)
-    keep = F.when(F.col("label").isin(*S.LABELS), F.col("words") >= min_words).otherwise(F.lit(False))
-    return df.filter(keep).withColumn("label_id", X.label_id(F.col("label")))
+    df = normalise_labels(rename_news(raw))
+    df = df.select("*", F.explode(F.array(X.clean_text(F.col("text")))).alias("clean_text"))
+    return filter_min_words(df.withColumn("words", X.word_count(F.col("clean_text"))), min_words)
 
 
 def news(spark: SparkSession, sf_dir: str, dated: bool = True) -> DataFrame:

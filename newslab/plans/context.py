@@ -15,6 +15,7 @@ from newslab.operators import prepare as P
 from newslab.operators import search as G
 from newslab.operators.search_loop import SearchResult, run_search
 from newslab.session import scratch_path
+from newslab.sources import stored
 
 # Data-derived lexicons and ticker words used by the registered queries: the
 # supplied documents are invented prose in four languages, so frequent words
@@ -27,29 +28,6 @@ TICKER_WORDS = ("THE", "AND", "UND", "LES", "QUE")
 HEADLINE_RULES = (("body", ("h1",)), ("li", ("a",)))
 MIN_TITLE = 4
 
-_CACHE: dict = {}
-
-
-def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple:
-    """Application, input folder with the files and times of its tables, and name: changed input is built anew."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    state = []
-    for t in ("documents", "labels", "events"):
-        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
-        found = path.getFileSystem(conf).globStatus(path)
-        state.append((t, found[0].getModificationTime(), found[0].getLen()) if found else (t,))
-    return (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(state), name)
-
-
-def _materialise(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    k = _key(spark, sf_dir, name)
-    if k not in _CACHE:
-        path = scratch_path(spark, name)
-        build().write.mode("overwrite").parquet(path)
-        _CACHE[k] = path
-    return spark.read.parquet(_CACHE[k])
-
-
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prepared news table (ETL output), written once to the shared folder.
 
@@ -58,7 +36,7 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     regex chain, and a plan that uses it twice (the exact split's bucket
     counts and ranks) scans narrow columns twice instead of re-cleaning.
     """
-    return _materialise(spark, sf_dir, "news", lambda: P.news(spark, sf_dir))
+    return stored.materialise(spark, sf_dir, "news", lambda: P.news(spark, sf_dir))
 
 
 def proxy_news(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,22 +48,35 @@ def split(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         return P.stratified_split(news(spark, sf_dir), ("label",), "news_id").select("news_id", "clean_text", "words", "label_id", "split")
 
-    return _materialise(spark, sf_dir, "split", build)
+    return stored.materialise(spark, sf_dir, "split", build)
 
 
-def classifier(spark: SparkSession, sf_dir: str, name: str, genes: dict):
-    """A text classifier fitted on the train split, stored under the shared folder and loaded from there."""
-    from pyspark.ml import PipelineModel
+#: Candidates whose text classifiers are trained: the default and the best distinct ones of the search.
+CLASSIFIERS = 20
+
 
+def classifier_genes(spark: SparkSession, sf_dir: str) -> list[dict]:
+    default = dict(zip(G.GENE_COLS, S.default_indices())) | {"cand_key": "-".join(str(i) for i in S.default_indices())}
+    rows = G.top_distinct(trials(spark, sf_dir), CLASSIFIERS).select("cand_key", *G.GENE_COLS, "proxy_rank").collect()
+    best = [r.asDict() for r in sorted(rows, key=lambda r: r["proxy_rank"])]
+    return [default, *[g for g in best if g["cand_key"] != default["cand_key"]]][:CLASSIFIERS]
+
+
+def hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split news rows as hashed words at every width that the classifiers use."""
     from newslab.operators import ml
 
-    k = _key(spark, sf_dir, f"classifier-{name}")
-    if k not in _CACHE:
-        model = ml.train_classifier(split(spark, sf_dir).filter(F.col("split") == "train"), ml.classifier_params(genes))
-        path = scratch_path(spark, f"classifier-{name}")
-        model.write().overwrite().save(path)
-        _CACHE[k] = path
-    return PipelineModel.load(_CACHE[k])
+    return stored.materialise(spark, sf_dir, "hashed-news",
+                              lambda: ml.hashed_news(split(spark, sf_dir), classifier_genes(spark, sf_dir)))
+
+
+def classifiers(spark: SparkSession, sf_dir: str):
+    """The trained classifiers (the default first, then by proxy rank) and what their rows look like; weights are a few
+    megabytes, set by the hash widths."""
+    from newslab.operators import ml
+
+    return stored.once(spark, sf_dir, "classifiers",
+                       lambda: ml.train_candidates(hashed(spark, sf_dir), classifier_genes(spark, sf_dir)))
 
 
 def vectors(spark: SparkSession, sf_dir: str, which: str = "proxy") -> DataFrame:
@@ -95,16 +86,13 @@ def vectors(spark: SparkSession, sf_dir: str, which: str = "proxy") -> DataFrame
         src = proxy_news(spark, sf_dir) if which == "proxy" else news(spark, sf_dir)
         return G.feature_vectors(src, POSITIVE, NEGATIVE)
 
-    return _materialise(spark, sf_dir, f"vectors-{which}", build)
+    return stored.materialise(spark, sf_dir, f"vectors-{which}", build)
 
 
 def history(spark: SparkSession, sf_dir: str) -> SearchResult:
     """The default search (seed 42, 20 per generation, 5 generations, no surrogate)."""
-    k = _key(spark, sf_dir, "history")
-    if k not in _CACHE:
-        store = scratch_path(spark, "search")
-        _CACHE[k] = run_search(spark, vectors(spark, sf_dir, "proxy"), store)
-    return _CACHE[k]
+    return stored.once(spark, sf_dir, "history",
+                       lambda: run_search(spark, vectors(spark, sf_dir, "proxy"), scratch_path(spark, "search")))
 
 
 def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,10 +119,10 @@ def surrogate(spark: SparkSession, sf_dir: str, kind: str = "gbt"):
 
     from newslab.operators import ml
 
-    k = _key(spark, sf_dir, f"surrogate-{kind}")
-    if k not in _CACHE:
+    def build() -> str:
         model = ml.fit_surrogate(trials(spark, sf_dir), kind=kind)
         path = scratch_path(spark, f"surrogate-{kind}")
         model.write().overwrite().save(path)
-        _CACHE[k] = path
-    return PipelineModel.load(_CACHE[k])
+        return path
+
+    return PipelineModel.load(stored.once(spark, sf_dir, f"surrogate-{kind}", build))

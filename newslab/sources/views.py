@@ -7,8 +7,8 @@
   ``judul``, ``tanggal``, ``sentimen``.
 * ``labelled``: ``toxic=1`` -> negatif, else ``quality=1`` -> positif, else netral.
 
-All joins are equi-joins on the id; Catalyst chooses broadcast or
-sort-merge from the runtime sizes (AQE), nothing is forced.
+Labels and event times are joined to the documents by id without an exchange
+of texts (``by_id``).
 """
 
 from __future__ import annotations
@@ -16,34 +16,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newslab.sources.tables import read_table
-
-
-def base_label(toxic, quality):
-    return F.when(toxic == 1, F.lit("negatif")).when(quality == 1, F.lit("positif")).otherwise(F.lit("netral"))
+from newslab.sources.by_id import documents_with_attributes
 
 
 def news_raw(spark: SparkSession, sf_dir: str, labelled_only: bool = False, dated: bool = True) -> DataFrame:
     """The raw headline table; ``labelled_only`` keeps only documents with a label row.
 
-    The prepared table drops unlabelled rows anyway, so it reads this view
-    with an inner join: the same rows, and the optimizer may then shrink the
-    document side before the shuffle (join reordering, runtime filters).
+    The prepared table drops unlabelled rows anyway, so it reads this view with an inner join: the same rows.
     """
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    labels = read_table(spark, sf_dir, "labels").select(
-        "doc_id", base_label(F.col("toxic"), F.col("quality")).alias("lbl")
-    )
+    docs = documents_with_attributes(spark, sf_dir, ["doc_id", "text", "source"], labelled_only, dated)
     raw_label = (
         F.when(F.col("lbl").isNull(), F.lit(None).cast("string"))
         .when(F.col("doc_id") % 2 == 0, F.upper("lbl"))
         .otherwise(F.concat(F.lit("  "), F.col("lbl"), F.lit(" ")))
     )
-    out = docs.join(labels, "doc_id", "inner" if labelled_only else "left").select(
-        "doc_id", F.col("text").alias("judul"), raw_label.alias("sentimen"), "source")
-    if not dated:
-        return out
-    events = read_table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("doc_id"), F.col("ts").alias("created_at")
-    )
-    return out.join(events, "doc_id", "left").withColumn("tanggal", F.date_format("created_at", "yyyy-MM-dd"))
+    out = docs.select("doc_id", F.col("text").alias("judul"), raw_label.alias("sentimen"), "source", *(["created_at"] if dated else []))
+    return out.withColumn("tanggal", F.date_format("created_at", "yyyy-MM-dd")) if dated else out
