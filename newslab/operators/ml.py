@@ -1,14 +1,12 @@
-"""Spark ML: surrogate regression (G7, G8) and the text classifier (M1-M3).
+"""Surrogate regression by Spark ML (G7, G8) and the text classifiers (M1-M3).
 
-Scores of these models are not bit-comparable with any SQL oracle, so their
-queries return keys, counts and checked conditions that SQL can state.
+Classifiers of many candidates are trained together (``stacked``); one by itself can also be a Spark ML pipeline.
+Scores of fitted models are beyond SQL; tests hold them against NumPy.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -22,6 +20,12 @@ from newslab import schema as S
 from newslab.functions import text as X
 from newslab.operators import metrics as M
 from newslab.operators import search as G
+from newslab.operators import stacked as K
+from newslab.session import scratch_path
+
+
+#: Trials in a partition while the surrogate is fitted.
+ROWS_PER_PARTITION = 20_000
 
 
 def fit_surrogate(trials: DataFrame, kind: str = "gbt", min_samples: int = S.MIN_SURROGATE_SAMPLES,
@@ -32,16 +36,22 @@ def fit_surrogate(trials: DataFrame, kind: str = "gbt", min_samples: int = S.MIN
     L2 linear model for small histories.  None when there are too few samples.
     """
     samples = G.candidate_features(G.valid_trials(trials).select("cand_key", *G.GENE_COLS, "fitness"))
-    if samples.count() < min_samples:
+    n = samples.count()
+    if n < min_samples:
         return None
+    # Boosting runs several small jobs per tree: few rows (one per candidate tried) belong in few partitions.
+    samples = samples.coalesce(1 + n // ROWS_PER_PARTITION).persist()
     assembler = VectorAssembler(inputCols=G.FEATURE_NAMES, outputCol="raw_features")
     scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
     if kind == "ridge":
         reg = LinearRegression(featuresCol="features", labelCol="fitness", regParam=0.1, elasticNetParam=0.0)
     else:
         reg = GBTRegressor(featuresCol="features", labelCol="fitness", maxIter=max_iter, maxDepth=3, stepSize=0.1,
-                           seed=S.SEED)
-    return Pipeline(stages=[assembler, scaler, reg]).fit(samples)
+                           seed=S.SEED, checkpointInterval=-1)
+    try:
+        return Pipeline(stages=[assembler, scaler, reg]).fit(samples)
+    finally:
+        samples.unpersist()
 
 
 def screen(model: PipelineModel, pool: DataFrame) -> DataFrame:
@@ -95,26 +105,39 @@ def score_news(model: PipelineModel, df: DataFrame) -> DataFrame:
     )
 
 
-def evaluate_candidates(split_df: DataFrame, candidates: Sequence[dict], eval_split: str = "val",
-                        parallelism: int = 2) -> DataFrame:
-    """Fit one model per candidate (several fits at once from driver threads), score ``eval_split``.
+def hashed_news(split_df: DataFrame, genes: Sequence[dict]) -> DataFrame:
+    """The hashed words of the split news rows at every width that the candidates use, with id, label and split."""
+    widths = [classifier_params(g)["numFeatures"] for g in genes]
+    found = K.hashed_features(split_df, [w for w in widths if 0 < w <= K.MAX_WIDTH and w & (w - 1) == 0], ["news_id", "label_id", "split"])
+    cores = split_df.sparkSession.sparkContext.defaultParallelism
+    return found.repartition(cores) if found.rdd.getNumPartitions() < cores else found  # read again in every pass
+
+
+def train_candidates(features: DataFrame, genes: Sequence[dict]) -> tuple[list[K.Candidate], K.Stack]:
+    """M1 with G5: one classifier per candidate, all trained together on the train split of ``hashed_news``."""
+    candidates = [K.Candidate.of(g["cand_key"], classifier_params(g)) for g in genes]
+    return candidates, K.train(features.filter(F.col("split") == "train"), candidates)
+
+
+def candidate_metrics(features: DataFrame, candidates: Sequence[K.Candidate], stack: K.Stack, eval_split: str = "val") -> DataFrame:
+    """Metrics of every candidate on one split, in one pass; one that failed is a row with f1 -1 and the error's text.
 
-    A fit that fails gives a row with f1 -1 and the error's text; the others go on.  ``seconds`` is the measured time.
+    ``seconds`` is the candidate's share of the measured training time.
     """
-    train = split_df.filter(F.col("split") == "train").select("clean_text", "label_id")
-    held = split_df.filter(F.col("split") == eval_split)
-
-    def one(c):
-        t0 = time.time()
-        try:
-            model = train_classifier(train, classifier_params(c))
-            m = M.classification_metrics(score_news(model, held), "label_id", "pred_id").first()
-            row = (m.n, m.accuracy, m.precision, m.recall, m.f1, None)
-        except Exception as e:  # a failed candidate is a result, not the end of the run
-            row = (0, None, None, None, -1.0, f"{type(e).__name__}: {e}"[:500])
-        return (c["cand_key"], *row, time.time() - t0)
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(one, candidates))
-    return split_df.sparkSession.createDataFrame(
-        rows, "cand_key string, n long, accuracy double, precision double, recall double, f1 double, error string, seconds double")
+    counts = K.evaluate(features.filter(F.col("split") == eval_split), candidates, stack)
+    metrics = M.classification_metrics(counts, "y", "yhat", by=("cand_key",), weight="n")
+    rows = [(c.key, c.error, c.seconds) for c in candidates]
+    table = features.sparkSession.createDataFrame(rows, "cand_key string, error string, seconds double")
+    ok = F.col("error").isNull()
+    return table.join(metrics, "cand_key", "left").select(
+        "cand_key", F.coalesce("n", F.lit(0)).alias("n"), "accuracy", "precision", "recall",
+        F.when(ok, F.col("f1")).otherwise(F.lit(-1.0)).alias("f1"), "error", "seconds")
+
+
+def evaluate_candidates(split_df: DataFrame, candidates: Sequence[dict], eval_split: str = "val") -> DataFrame:
+    """Train one classifier per candidate, all in the same passes, and measure them on ``eval_split``."""
+    features = hashed_news(split_df, candidates)
+    path = scratch_path(split_df.sparkSession, "hashed-news")
+    features.write.parquet(path)
+    features = split_df.sparkSession.read.parquet(path)
+    return candidate_metrics(features, *train_candidates(features, candidates), eval_split)

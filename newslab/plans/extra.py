@@ -10,9 +10,11 @@ from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from newslab import schema as S
+from newslab.functions import text as X
 from newslab.operators import metrics as M
 from newslab.operators import ml
 from newslab.operators import search as G
+from newslab.operators import stacked as K
 from newslab.operators.search_loop import run_search
 from newslab.plans import context as C
 from newslab.plans.queries import _headlines, _scored, query
@@ -118,57 +120,43 @@ def trial_report_json(spark, d):
     return gens.unionByName(tops).unionByName(head)
 
 
-def _default_genes() -> dict:
-    return dict(zip(G.GENE_COLS, S.default_indices()))
-
-
-def _best_genes(spark, d) -> dict:
-    return G.best_trial(C.trials(spark, d)).select(*G.GENE_COLS, "cand_key").first().asDict()
-
-
 @query
 def train_text_classifier(spark, d):
-    """M1: logistic-regression text classifier per candidate (default and the proxy best), val metrics in bounds."""
-    dflt = _default_genes() | {"cand_key": "-".join(str(i) for i in S.default_indices())}
-    m = ml.evaluate_candidates(C.split(spark, d), [dflt, _best_genes(spark, d)], "val")
-    bounded = (F.abs(F.col("recall") - F.col("accuracy")) < 1e-12) & (F.col("seconds") > 0)
-    for c in ("accuracy", "precision", "recall", "f1"):
-        bounded = bounded & F.col(c).between(0.0, 1.0)
-    return m.select("cand_key", "n", "error", F.coalesce(bounded, F.lit(False)).alias("ok"))
+    """M1 with G5: text classifiers of the default and the best candidates, trained together; metrics on the val split."""
+    m = ml.candidate_metrics(C.hashed(spark, d), *C.classifiers(spark, d), "val")
+    return m.select("cand_key", "n", "accuracy", "precision", "recall", "f1", "error")
 
 
 @query
 def score_news(spark, d):
-    """M2: whole-table scoring with a stored model; per row, that label and probability are in their domains."""
-    model = C.classifier(spark, d, "default", _default_genes())
-    out = ml.score_news(model, C.split(spark, d).select("news_id", "clean_text", "label_id"))
-    return out.select("news_id", (F.col("sentiment").isin(*S.LABELS)
-                                  & F.col("confidence").between(1 / 3 - 1e-9, 1 + 1e-9)).alias("ok"))
+    """M2 + F10: the default candidate's classifier over all news rows."""
+    candidates, stack = C.classifiers(spark, d)
+    out = K.score(C.hashed(spark, d), candidates[0], stack, ["news_id"])
+    return out.select("news_id", X.label_name(F.col("pred_id")).alias("sentiment"), F.array_max("probability").alias("confidence"))
 
 
 @query
 def baseline_vs_tuned(spark, d):
-    """M3: default versus tuned classifier on the test split, metric by metric."""
-    out = []
-    for name, genes in (("default", _default_genes()), ("best", _best_genes(spark, d))):
-        scored = ml.score_news(C.classifier(spark, d, name, genes), C.split(spark, d).filter(F.col("split") == "test"))
-        out.append(M.metrics_long(M.classification_metrics(scored, "label_id", "pred_id")))
-    cmp = M.compare_runs(out[1], out[0])
-    return cmp.select("metric", (F.col("a").between(0.0, 1.0) & F.col("b").between(0.0, 1.0)
-                                 & (F.col("delta") == F.col("a") - F.col("b"))).alias("ok"))
+    """M3: the search's best classifier against the default one on the test split, metric by metric."""
+    candidates, stack = C.classifiers(spark, d)
+    best = G.best_trial(C.trials(spark, d)).first()["cand_key"]
+    counts = K.evaluate(C.hashed(spark, d).filter(F.col("split") == "test"), candidates, stack)
+    metrics = M.classification_metrics(counts.filter(F.col("cand_key").isin(best, candidates[0].key)), "y", "yhat", by=("cand_key",), weight="n")
+    return M.compare_groups(metrics, "cand_key", best, candidates[0].key)
 
 
 @query
 def stream_ingest_dedup(spark, d):
-    """Headline files landed in three drops, streamed with title de-duplication; titles stored."""
+    """Headline files landed in three drops, streamed with title de-duplication; the first arrival of every title."""
     rows = _headlines(spark, d)
     landing = scratch_path(spark, "landing-headlines")
     store = scratch_path(spark, "stream-store")
     ckpt = scratch_path(spark, "stream-ckpt")
     # Three scheduled runs, each after one more drop has landed.
     jobs.land_in_batches(rows, landing, "page_id", 3,
-                         after_each=lambda k: jobs.ingest_dedup_stream(spark, landing, rows.schema, store, ckpt, buckets=16))
-    return spark.read.parquet(store).select("title")  # one row per distinct title
+                         after_each=lambda k: jobs.ingest_dedup_stream(spark, landing, rows.schema, store, ckpt, buckets=16,
+                                                                       order=("page_id", "pos")))
+    return spark.read.parquet(store).select(*rows.columns)
 
 
 @query

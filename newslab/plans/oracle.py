@@ -466,7 +466,7 @@ FROM heads_cap h LEFT JOIN events e ON e.event_id = h.page_id""", headlines=True
     q["sink_news_roundtrip"] = with_ctes(
         "SELECT news_id AS seq, sentiment, confidence, created_at, strftime(created_at, '%Y-%m-%d') AS date FROM scored")
 
-    q["stream_ingest_dedup"] = with_ctes("SELECT DISTINCT title FROM heads", headlines=True)
+    q["stream_ingest_dedup"] = with_ctes("SELECT * FROM heads_dedup", headlines=True)
     q["stream_daily_sentiment"] = with_ctes(
         "SELECT strftime(created_at, '%Y-%m-%d') AS day, sentiment, count(*) AS n FROM scored GROUP BY ALL")
 
@@ -600,12 +600,6 @@ UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, true""")
 SELECT 'generation' AS section, gen AS ord, NULL AS cand_key, new_evals, cache_hits, best_f1 AS fitness FROM glog
 UNION ALL SELECT 'top', proxy_rank, cand_key, NULL, NULL, fitness FROM top3
 UNION ALL SELECT 'config', {SEED}, NULL, {POP}, {GENS}, NULL""")
-    best = "(SELECT cand_key FROM trials WHERE fitness >= 0 ORDER BY fitness DESC, cand_key LIMIT 1)"
-    q["train_text_classifier"] = qs(f"""
-SELECT c.cand_key, (SELECT count(*) FROM split WHERE split = 'val') AS n, NULL AS error, true AS ok
-FROM (SELECT '{_default_key()}' AS cand_key UNION ALL SELECT cand_key FROM {best}) c""")
-    q["score_news"] = with_ctes("SELECT news_id, true AS ok FROM news")
-    q["baseline_vs_tuned"] = "SELECT unnest(['accuracy', 'precision', 'recall', 'f1']) AS metric, true AS ok"
     return q
 
 

@@ -155,58 +155,6 @@ def test_csv_roundtrip_edges(spark):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(expected, key=repr)
 
 
-def test_stream_one_drop_equals_three(spark):
-    from newslab.operators import ingest as I
-    from newslab.session import scratch_path
-    from newslab.sources.tables import read_table
-    from newslab.streaming import jobs
-
-    pages = read_table(spark, SF01, "pages").select("page_id", "url", "html")
-    rows = I.headlines_from_pages(pages, C.HEADLINE_RULES, C.MIN_TITLE)
-    # A null order value must land too.
-    rows = rows.withColumn("page_id", F.when(F.col("page_id") != 17, F.col("page_id")))
-    titles = []
-    for n in (1, 3):
-        landing = scratch_path(spark, f"land{n}")
-        store = scratch_path(spark, f"store{n}")
-        ck = scratch_path(spark, f"ck{n}")
-        jobs.land_in_batches(rows, landing, "page_id", n,
-                             after_each=lambda k: jobs.ingest_dedup_stream(spark, landing, rows.schema, store, ck, buckets=4))
-        got = [r.title for r in spark.read.parquet(store).select("title").collect()]
-        assert len(got) == len(set(got))
-        titles.append(sorted(got))
-    assert titles[0] == titles[1] == sorted({r.title for r in rows.select("title").collect()})
-
-
-def test_stream_keeps_late_titles(spark):
-    from newslab.session import scratch_path
-    from newslab.streaming import jobs
-
-    landing, store, ck = (scratch_path(spark, n) for n in ("late-land", "late-store", "late-ck"))
-    schema = "title STRING, event_time TIMESTAMP"
-    drops = [("a", "2024-01-01"), ("b", "2024-02-01"), ("late", "2024-01-20"), ("a", "2024-03-01")]
-    for k, (title, day) in enumerate(drops):
-        spark.createDataFrame([(title, day)], "title STRING, d STRING").select("title", F.to_timestamp("d").alias("event_time")).write.parquet(
-            f"{landing}/drop={k}")
-        jobs.ingest_dedup_stream(spark, landing, spark.createDataFrame([], schema).schema, store, ck, buckets=4)
-    assert sorted(r.title for r in spark.read.parquet(store).collect()) == ["a", "b", "late"]
-
-
-def test_stream_counts_late_days(spark):
-    from newslab.session import scratch_path
-    from newslab.streaming import jobs
-
-    landing, out, ck = (scratch_path(spark, n) for n in ("days-land", "days-out", "days-ck"))
-    drops = ["2024-01-01", "2024-03-01", "2024-01-01", "2024-02-01"]
-    for k, day in enumerate(drops):
-        rows = spark.createDataFrame([(day, "netral"), (day, "positif")], "d STRING, sentiment STRING").select(
-            F.to_timestamp("d").alias("event_time"), "sentiment")
-        rows.write.parquet(f"{landing}/drop={k}")
-        jobs.daily_sentiment_stream(spark, landing, rows.schema, out, ck)
-    got = sorted(map(tuple, spark.read.parquet(out).groupBy("day", "sentiment").agg(F.sum("n")).collect()))
-    assert got == [(day, s, n) for day, n in (("2024-01-01", 2), ("2024-02-01", 1), ("2024-03-01", 1)) for s in ("netral", "positif")]
-
-
 def test_listing_pages_give_every_headline(spark):
     from newslab.operators import ingest as I
 
