@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newslab import schema as S
@@ -83,17 +83,56 @@ def lexicon_count(clean: Column, words: Sequence[str]) -> Column:
     return F.size(F.filter(tokens(clean), lambda t: F.array_contains(lex, t)))
 
 
-def lexicon_semi_join(df, lexicon, clean_col: str = "clean_text", id_col: str = "news_id"):
-    """Rows with at least one token in a *large* lexicon table (column ``word``).
+#: Words of the texts that are decided next to the scan in a large-lexicon join.
+FREQUENT_WORDS = 2000
 
-    Tokens are exploded and equi-joined with the lexicon; Spark broadcasts
-    the lexicon only when AQE measures it small, otherwise both sides are
-    shuffled on the word (a hot word is split by the skew-join rule).  The
-    distinct (id) hits then semi-join the rows, so each row is kept once.
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores behind it as it takes to clash with no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def _frequent(words: DataFrame, most: int) -> list[str]:
+    """About the ``most`` most frequent values of column ``word``, by a sketch next to the scan."""
+    top = words.agg(F.expr(f"approx_top_k(word, {most}, {1 << max(12, (4 * most).bit_length())})").alias("top")).first()["top"]
+    return [r["item"] for r in top or []]
+
+
+def rare_words(df: DataFrame, lexicon: DataFrame, clean_col: str, frequent: int = FREQUENT_WORDS) -> tuple[Column, Column]:
+    """(hit, rare): whether one of the frequent words of a row is in the lexicon, and the row's other distinct words.
+
+    A frequency sketch finds the frequent words in one pass without a shuffle; any set of words would do, so its errors
+    change cost only.  Which of them are in the lexicon reaches the driver (at most ``frequent`` words).
+    """
+    known = _frequent(df.select(F.explode(tokens(F.col(clean_col))).alias("word")), frequent)
+    hits = [r["word"] for r in lexicon.filter(F.col("word").isin(known)).select("word").distinct().collect()] if known else []
+    row = tokens(F.col(clean_col))
+    return F.coalesce(F.arrays_overlap(row, _str_array(hits)), F.lit(False)), F.array_except(row, _str_array(known))
+
+
+def lexicon_semi_join(df: DataFrame, lexicon: DataFrame, clean_col: str = "clean_text", id_col: str = "news_id",
+                      frequent: int = FREQUENT_WORDS) -> DataFrame:
+    """Rows with at least one token in a lexicon table (column ``word``) of any size.
+
+    Frequent words are decided next to the scan, so neither they nor the rows that hold a frequent lexicon word enter a
+    shuffle; the distinct rare words of the other rows meet the lexicon in a join, and the rows hit are found again by id
+    and text hash.  Null and repeated ids are rows of their own.
     """
-    toks = df.select(F.col(id_col), F.explode(tokens(F.col(clean_col))).alias("word"))
-    hits = toks.join(lexicon.select("word").distinct(), "word", "left_semi").select(id_col).distinct()
-    return df.join(hits, id_col, "left_semi")
+    hit, rare = rare_words(df, lexicon, clean_col, frequent)
+    left = df.filter(~hit)
+    l_id, l_text = free_names(df, "l_id", "l_text")
+    row = [F.col(id_col).alias(l_id), F.xxhash64(F.col(clean_col)).alias(l_text)]
+    found = (left.select(*row, F.explode(rare).alias("word"))
+             .join(lexicon.select("word").distinct(), "word", "left_semi").select(l_id, l_text).distinct())
+    same = F.col(id_col).eqNullSafe(F.col(l_id)) & (F.xxhash64(F.col(clean_col)) == F.col(l_text))
+    return df.filter(hit).unionByName(left.join(found, same, "left_semi"))
 
 
 def lexicon_sentiment(clean: Column, positive: Sequence[str] = S.POSITIVE_WORDS,
@@ -122,6 +161,40 @@ def detect_tickers(text: Column, tickers: Sequence[str] = tuple(t for t, _ in S.
     return F.filter(_str_array(tickers), lambda t: F.array_contains(found, t))
 
 
+def name_words(text: Column) -> Column:
+    """Upper-cased words of a text: runs of letters, digits and ``_``."""
+    return F.regexp_extract_all(F.upper(F.coalesce(text.cast("string"), F.lit(""))), F.lit(r"([\p{L}\p{N}_]+)"), 1)
+
+
+def detect_names(df: DataFrame, dictionary: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """F5 for dictionaries of any size and names of several words: ``id_col`` and ``names`` of every row of ``df``.
+
+    ``dictionary``: ord (position), code and name.  A name is found where its words follow each other in the text, whatever
+    stands between two words; ``names`` are the codes found, each once, in dictionary order.  Names meet the texts by their
+    first word: a position carries as many words as the longest name has, and positions of frequent words that start no
+    name are left out at the scan, so a text is never shuffled whole.  First words are broadcast if Spark measures them
+    small.  A name without a word is never found; rows are told apart by id and text, so null and repeated ids are rows of
+    their own and equal rows have equal names.
+    """
+    names = (dictionary.select("ord", "code", name_words(F.col("name")).alias("d_words")).filter(F.size("d_words") > 0)
+             .withColumn("first", F.col("d_words")[0]))
+    longest = names.agg(F.max(F.size("d_words"))).first()[0] or 0
+    rows = df.select(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("t_hash"), name_words(F.col(text_col)).alias("words"))
+    known = _frequent(rows.select(F.explode("words").alias("word")), FREQUENT_WORDS)
+    starts = {r["first"] for r in names.filter(F.col("first").isin(known)).select("first").distinct().collect()} if known else set()
+    idle = [w for w in known if w not in starts]
+    at = rows.select(F.col(id_col).alias("n_id"), F.col("t_hash").alias("n_hash"), "words", F.posexplode("words").alias("pos", "word"))
+    at = (at.filter(~F.col("word").isin(idle)) if idle else at).select(
+        "n_id", "n_hash", "word", F.slice("words", F.col("pos") + 1, max(longest, 1)).alias("ahead"))
+    found = (at.join(names, F.col("word") == F.col("first"))
+             .filter(F.slice("ahead", F.lit(1), F.size("d_words")) == F.col("d_words"))
+             .groupBy("n_id", "n_hash").agg(F.collect_set(F.struct("ord", "code")).alias("hits")))
+    found = found.select("n_id", "n_hash", F.transform(F.array_sort("hits"), lambda h: h["code"]).alias("hits"))
+    return (rows.select(F.col(id_col), "t_hash")
+            .join(found, F.col(id_col).eqNullSafe(F.col("n_id")) & (F.col("t_hash") == F.col("n_hash")), "left")
+            .select(F.col(id_col), F.coalesce("hits", F.array().cast("array<string>")).alias("names")))
+
+
 def signal(sentiment: Column, confidence: Column) -> Column:
     return (
         F.when((sentiment == "positif") & (confidence >= S.SIGNAL_THRESHOLD), F.lit("WATCH"))

@@ -62,3 +62,47 @@ def encode(news_df: DataFrame, vocab: DataFrame, max_length: int = S.MAX_LENGTH,
     mask = F.slice(F.concat(F.array_repeat(F.lit(1), F.size(ids)), F.array_repeat(F.lit(0), max_length)), 1,
                    max_length)
     return docs.select(id_col, padded.alias("input_ids"), mask.alias("attention_mask"))
+
+
+#: Words whose ids a task keeps at hand.
+WORDS_KEPT = 100_000
+
+
+def encode_subwords(df: DataFrame, tokenizer: str, max_length: int = S.MAX_LENGTH, text: str = "clean_text",
+                    keep: tuple[str, ...] = ("news_id",)) -> DataFrame:
+    """F14 with sub-words: ``keep`` columns, ``input_ids`` and ``attention_mask`` of exactly ``max_length`` for every row.
+
+    ``tokenizer`` is the path of a given vocabulary file that drops white space between words (never trained here).  A word
+    has at least one id, so the first ``max_length`` words decide; every word is encoded by itself, once as long as the task
+    remembers it.  Nothing is shuffled.  A null or empty text is all padding (id 0).
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(tokenizer)
+        library.encode_special_tokens = True
+        known: dict[str, list[int]] = {}
+        for batch in batches:
+            ids, mask = np.zeros((len(batch), max_length), np.int32), np.zeros((len(batch), max_length), np.int32)
+            for i, words in enumerate(batch.column(len(keep))):
+                out: list[int] = []
+                for word in words.as_py() or ():
+                    if len(out) >= max_length:
+                        break
+                    if word not in known:
+                        if len(known) >= WORDS_KEPT:
+                            known.clear()
+                        known[word] = library.encode(word, add_special_tokens=False).ids
+                    out += known[word]
+                out = out[:max_length]
+                ids[i, :len(out)], mask[i, :len(out)] = out, 1
+            offsets = pa.array(np.arange(len(batch) + 1) * max_length, pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.ListArray.from_arrays(offsets, pa.array(v.reshape(-1))) for v in (ids, mask))],
+                                             names=[*keep, "input_ids", "attention_mask"])
+
+    rows = df.select(*keep, F.slice(X.tokens(F.coalesce(F.col(text), F.lit(""))), 1, max_length).alias("words"))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
+    return rows.mapInArrow(run, f"{kinds}, input_ids array<int>, attention_mask array<int>")

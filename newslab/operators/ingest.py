@@ -160,6 +160,37 @@ def json_posts(feeds: DataFrame, json_col: str = "json", source_col: str = "conv
     return out.filter(F.length("title") > min_len)
 
 
+def _text_of(value: Column) -> Column:
+    """The text of a VARIANT that holds one, else null (numbers, objects and lists are no titles)."""
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
+def json_posts_of_any_shape(feeds: DataFrame, json_col: str = "json", source_col: str = "conv_id",
+                            min_len: int = S.JSON_MIN_TITLE, prefix: str = S.JSON_LINK_PREFIX) -> DataFrame:
+    """S5 for listings whose shape drifts: as ``json_posts``, but nothing in a page can end the job or shift its posts.
+
+    A page is read as VARIANT.  Broken JSON, a page without ``data.children``, or children that are no list give no posts; a
+    child that is no object, or whose title is missing or no text, keeps its place and has an empty title; a permalink that
+    is missing or no text is empty.
+    """
+    pages = feeds.select(F.col(source_col).alias("conv_id"), "start", F.try_parse_json(F.col(json_col)).alias("page"))
+    posts = pages.select("conv_id", "start", F.posexplode(F.try_variant_get("page", "$.data.children", "array<variant>")).alias("idx", "child"))
+
+    def text(path: str) -> Column:
+        return F.coalesce(_text_of(F.try_variant_get("child", path, "variant")), F.lit(""))
+
+    out = posts.select("conv_id", (F.col("start") + F.col("idx")).cast("int").alias("pos"), text("$.data.title").alias("title"),
+                       F.concat(F.lit(prefix), text("$.data.permalink")).alias("url"), F.col("conv_id").cast("string").alias("source"))
+    return out.filter(F.length("title") > min_len)
+
+
+def feed_shape(feeds: DataFrame, json_col: str = "json") -> str | None:
+    """The common schema of all listing pages, as Spark merges their VARIANT schemas; null without a page that parses."""
+    found = feeds.select(F.try_parse_json(F.col(json_col)).alias("v")).filter("v is not null")
+    row = found.agg(F.schema_of_variant_agg("v").alias("shape"), F.count(F.lit(1)).alias("n")).first()
+    return row["shape"] if row["n"] else None
+
+
 def dedup_titles(items: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
     """U4: the first occurrence, in arrival order, of every exact title wins."""
     w = Window.partitionBy("title").orderBy(*order)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from newslab import schema as S
 from newslab.functions import text as X
+from newslab.operators.encode import global_rank
+from newslab.sources import files
 
 
 def news_features(df: DataFrame, text_col: str = "text", positive: Sequence[str] = S.POSITIVE_WORDS,
@@ -69,6 +71,28 @@ def ticker_sentiment_counts(df: DataFrame, seq_col: str = "news_id") -> DataFram
     return per.join(first, "ticker")
 
 
+#: Sentiments on one page of a ticker's list.
+PAGE_ROWS = 1000
+
+
+def ticker_sentiment_pages(df: DataFrame, seq_col: str = "news_id", page_rows: int = PAGE_ROWS) -> DataFrame:
+    """The sentiments of every ticker in order of appearance, in numbered pages: (ticker, page, sentiments).
+
+    A range sort by ticker and appearance gives each mention its place (sums over ranges, then inside a range), so a hot
+    ticker is many tasks' work and no list holds more than ``page_rows``.  Null sequence numbers come first; mentions with
+    the same one follow the sentiment.
+    """
+    order = ["ticker", "seq", "sentiment", "tie"]
+    spread = df.select(F.col(seq_col).alias("seq"), F.explode("tickers").alias("ticker"), "sentiment").withColumn("tie", F.monotonically_increasing_id())
+    ranked = global_rank(spread, order)
+    first = ranked.groupBy("ticker").agg(F.min("rank").alias("first_rank")).withColumnRenamed("ticker", "f_ticker")
+    place = F.col("rank") - F.col("first_rank")
+    placed = ranked.join(first, F.col("ticker").eqNullSafe(F.col("f_ticker"))).select(
+        "ticker", F.expr(f"(rank - first_rank) div {page_rows}").alias("page"), place.alias("place"), "sentiment")
+    pages = placed.groupBy("ticker", "page").agg(F.array_sort(F.collect_list(F.struct("place", "sentiment"))).alias("rows"))
+    return pages.select("ticker", "page", F.transform("rows", lambda r: r["sentiment"]).alias("sentiments"))
+
+
 def ticker_dominant(df: DataFrame, seq_col: str = "news_id") -> DataFrame:
     """A8 + W6: most frequent sentiment per ticker, ties to the smallest value."""
     exploded = df.select(F.col(seq_col).alias("seq"), F.explode("tickers").alias("ticker"), "sentiment")
@@ -132,6 +156,22 @@ def market_briefing(features: DataFrame, seq_col: str = "news_id") -> DataFrame:
     return total.unionByName(counts).unionByName(ranked).unionByName(none_row)
 
 
+def recent_from_store(spark: SparkSession, store: str, n: int = S.RECENT_ROWS, ts: str = "created_at", id_col: str = "seq") -> DataFrame:
+    """K2 on the news store: the newest ``n`` rows, reading only as many of the newest days as hold them.
+
+    Days are the store's partitions; their rows are counted newest first, a few at a time (counts come from file footers),
+    until there are enough.  Rows without a time come last and are read only if all dated rows are too few.
+    """
+    days = files.store_days(spark, store)
+    use: list[str | None] = []
+    rows, step = 0, 1
+    while days and rows < n:
+        take, days, step = days[:step], days[step:], 2 * step
+        use += take
+        rows += files.load_news_store(spark, store, take).count()
+    return recent(files.load_news_store(spark, store, use), n, ts, id_col)
+
+
 def recent(df: DataFrame, n: int = S.RECENT_ROWS, ts: str = "created_at", id_col: str = "news_id") -> DataFrame:
     """K2: newest ``n`` rows, id as tie-break (plans as TakeOrderedAndProject)."""
     return df.orderBy(F.col(ts).desc_nulls_last(), F.col(id_col).desc()).limit(n)

@@ -6,7 +6,7 @@ fitness, which SQL states, and conditions on the predictions checked row by row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from newslab import schema as S
@@ -49,7 +49,7 @@ def surrogate_screen(spark, d):
     chosen = G.unseen(G.topk(pred, "predicted", S.SURROGATE_TOPK), t).select("cand_key", F.lit(True).alias("chosen"))
     stored = t.select("cand_key", F.lit(True).alias("stored")).distinct()
     rows = pool.select("cand_key").join(chosen, "cand_key", "left").join(stored, "cand_key", "left")
-    few = F.count_if("chosen").over(Window.partitionBy()) <= S.SURROGATE_TOPK  # one row per pool member
+    few = F.lit(chosen.limit(S.SURROGATE_TOPK + 1).count() <= S.SURROGATE_TOPK)
     return rows.select("cand_key", F.col("stored").isNotNull().alias("stored"),
                        (~(F.col("chosen").isNotNull() & F.col("stored").isNotNull()) & few).alias("ok"))
 

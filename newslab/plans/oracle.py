@@ -341,6 +341,9 @@ def _oracle() -> dict[str, str]:
     q["news_etl_summary"] = with_ctes(
         "SELECT label, count(*) AS documents, sum(words) AS total_words FROM news GROUP BY ROLLUP (label)")
     q["scan_csv_roundtrip"] = with_ctes("SELECT doc_id, judul, tanggal, sentimen FROM news_raw")
+    q["scan_csv_tolerant"] = with_ctes("""
+SELECT doc_id, judul, sentimen, NULL AS record FROM news_raw
+UNION ALL SELECT NULL, NULL, NULL, 'x' || doc_id || ',' || source FROM documents WHERE doc_id % 10 = 0""")
     q["sql_label_counts"] = with_ctes("SELECT label, count(*) AS count FROM news GROUP BY label ORDER BY count DESC")
     q["label_distribution"] = with_ctes("SELECT label, count(*) AS n FROM news GROUP BY label")
     q["total_words"] = with_ctes(
@@ -381,6 +384,12 @@ SELECT DISTINCT news_id, label FROM (SELECT news_id, label, unnest({tokens_sql('
 WHERE word IN (SELECT unnest({tokens_sql(clean_sql('text'))}) FROM benchmark)""")
     q["lexicon_sentiment"] = with_ctes("SELECT news_id, sentiment, confidence FROM scored")
     q["detect_tickers"] = with_ctes(f"SELECT doc_id, {tickers_sql('text')} AS tickers FROM documents")
+    words = "regexp_extract_all(upper(coalesce(text, '')), '[\\pL\\pN_]+')"
+    q["detect_names"] = f"""
+WITH names AS (SELECT item_id AS ord, 'item-' || item_id AS code, ' ' || array_to_string({words}[1:3], ' ') || ' ' AS name FROM benchmark),
+texts AS (SELECT row_number() OVER () AS r, doc_id, ' ' || array_to_string({words}, ' ') || ' ' AS t FROM documents),
+found AS (SELECT r, list(code ORDER BY ord) AS names FROM texts JOIN names ON name <> '  ' AND contains(t, name) GROUP BY r)
+SELECT doc_id, coalesce(names, []::VARCHAR[]) AS names FROM texts LEFT JOIN found USING (r)"""
     q["sentiment_signal"] = with_ctes(
         f"SELECT news_id, sentiment, confidence, {signal_sql('sentiment', 'confidence')} AS signal FROM scored")
     bp = "CAST(round(confidence * 10000) AS BIGINT)"
@@ -416,6 +425,10 @@ SELECT ticker, sentiment AS dominant, n AS dominant_n, mentions, first_seq FROM
   FROM {per}) WHERE rk = 1""")
     q["ticker_sentiments"] = with_ctes(
         f"SELECT ticker, sentiment, n, s AS first_seq, min(s) OVER (PARTITION BY ticker) AS ticker_first_seq FROM {per}")
+    q["ticker_sentiment_pages"] = with_ctes(f"""
+SELECT ticker, (place - 1) // 1000 AS page, list(sentiment ORDER BY place) AS sentiments FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY news_id NULLS FIRST, sentiment) AS place
+  FROM (SELECT news_id, unnest(tickers) AS ticker, sentiment FROM feat)) GROUP BY 1, 2""")
     q["market_briefing"] = with_ctes(f"""
 SELECT 'total' AS section, 0 AS ord, 'total' AS key, CAST(count(*) AS VARCHAR) AS value FROM feat
 UNION ALL
@@ -435,6 +448,7 @@ SELECT strftime(created_at, '%Y-%m-%d') AS day,
 FROM scored GROUP BY 1""")
     recent = f"(SELECT news_id, created_at, sentiment FROM scored ORDER BY created_at DESC NULLS LAST, news_id DESC LIMIT {S.RECENT_ROWS})"
     q["recent_news"] = with_ctes(f"SELECT * FROM {recent}")
+    q["recent_from_store"] = q["recent_news"]
     q["dashboard_read"] = with_ctes(f"""
 SELECT *, count(*) FILTER (WHERE sentiment = 'positif') OVER () AS positif,
           count(*) FILTER (WHERE sentiment = 'negatif') OVER () AS negatif,
@@ -458,6 +472,11 @@ SELECT conv_id, pos, title, url FROM (
   WHERE length(title) > {S.JSON_MIN_TITLE}
   QUALIFY row_number() OVER (PARTITION BY title ORDER BY conv_id, pos) = 1)
 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY pos) <= {S.ITEMS_PER_SOURCE}""")
+    q["json_posts_drift"] = f"""
+SELECT conv_id, pos, title, url FROM (
+  SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos, coalesce(text, '') AS title,
+         '{S.JSON_LINK_PREFIX}' || CASE WHEN conv_id % 5 = 0 THEN '/c/' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) ELSE '' END AS url
+  FROM conversations) WHERE conv_id % 5 IN (0, 2) AND length(title) > {S.JSON_MIN_TITLE}"""
     s_t, c_t = sentiment_sql(clean_sql("title"))
     q["ingest_score_store"] = with_ctes(f"""
 SELECT h.page_id, h.pos, h.title, h.url, h.source, {s_t} AS sentiment, {c_t} AS confidence,
@@ -495,13 +514,13 @@ FROM heads_cap h LEFT JOIN events e ON e.event_id = h.page_id""", headlines=True
     q["next_generation"] = qs(f"SELECT slot, cand_key, {ig} FROM pop_2")
     sw = "cand_key, n, accuracy, precision, recall, fitness"
     q["trial_sweep"] = qs(f"SELECT {sw} FROM ({_sweep('(SELECT DISTINCT cand_key, ' + ig + ' FROM pop_1)', 'vec_proxy')})")
-    q["grid_sweep"] = qs(f"SELECT {sw} FROM gs")
+    q["grid_sweep"] = qs(f"SELECT {sw} FROM gs_full")
     g = {name: f"c.i_{name}" for name in GENES}
     s_ = f"(v.ph * ({g['learning_rate']} + 1) - v.nh * ({g['batch_size']} + 1))"
     m_ = f"({g['lora_dropout']} * v.lb)"
     pred = (f"CASE WHEN v.wm < {g['weight_decay']} * 2 + 3 THEN 1 WHEN {s_} > {g['lora_rank']} + {m_} THEN 2 "
             f"WHEN -{s_} > {g['lora_alpha']} + {m_} THEN 0 ELSE 1 END")
-    vec_lang = _vectors("(SELECT p.*, d.lang FROM proxy p JOIN documents d ON d.doc_id = p.news_id)").replace(
+    vec_lang = _vectors("(SELECT p.*, d.lang FROM news p JOIN documents d ON d.doc_id = p.news_id)").replace(
         "SELECT label_id,", "SELECT lang, label_id,")
     pairs = (f"(SELECT l.lang, c.cand_key, v.label_id, coalesce(v.cnt, 0) AS cnt, {pred} AS pred "
              f"FROM (SELECT DISTINCT lang FROM documents) l CROSS JOIN (SELECT DISTINCT cand_key, {ig} FROM pop_1) c "

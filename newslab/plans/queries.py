@@ -68,6 +68,20 @@ def scan_csv_roundtrip(spark, d):
     return files.read_news(spark, path, schema)
 
 
+@query
+def scan_csv_tolerant(spark, d):
+    """S1 over a table with broken records (every tenth document adds one): good rows, and the quarantined records."""
+    raw = news_raw(spark, d, dated=False).select("doc_id", "judul", F.lit(None).cast("string").alias("tanggal"), "sentimen", "source")
+    path, quarantine = scratch_path(spark, "broken-csv"), scratch_path(spark, "csv-quarantine")
+    files.write_news_csv(raw.drop("source"), f"{path}/good")
+    files.write_news_csv(raw.filter("doc_id % 10 = 0").select(F.concat(F.lit("x"), F.col("doc_id")).alias("doc_id"), "source"), f"{path}/broken")
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), *S.RAW_NEWS.fields])
+    good = files.read_news_tolerant(spark, f"{path}/*", quarantine, schema)
+    broken = spark.read.schema("record string, file string").parquet(quarantine)
+    return good.select("doc_id", "judul", "sentimen", F.lit(None).cast("string").alias("record")).unionByName(
+        broken.select("record"), allowMissingColumns=True)
+
+
 @query
 def sql_label_counts(spark, d):
     P.news(spark, d, dated=False).createOrReplaceTempView("stock_news")
@@ -194,6 +208,15 @@ def detect_tickers(spark, d):
     return docs.select("doc_id", X.detect_tickers(F.col("text"), C.TICKER_WORDS).alias("tickers"))
 
 
+@query
+def detect_names(spark, d):
+    """F5 with a dictionary table: the first three words of every benchmark item, searched in every document."""
+    names = read_table(spark, d, "benchmark").select(
+        F.col("item_id").alias("ord"), F.concat(F.lit("item-"), F.col("item_id")).alias("code"),
+        F.array_join(F.slice(X.name_words(F.col("text")), 1, 3), " ").alias("name"))
+    return X.detect_names(read_table(spark, d, "documents").select("doc_id", "text"), names)
+
+
 @query
 def sentiment_signal(spark, d):
     s = _scored(spark, d)
@@ -250,6 +273,12 @@ def ticker_sentiments(spark, d):
     return N.ticker_sentiment_counts(_features(spark, d))
 
 
+@query
+def ticker_sentiment_pages(spark, d):
+    """Every ticker's sentiments in order of appearance, a thousand to a page."""
+    return N.ticker_sentiment_pages(_features(spark, d))
+
+
 @query
 def market_briefing(spark, d):
     return N.market_briefing(_features(spark, d))
@@ -265,6 +294,14 @@ def recent_news(spark, d):
     return N.recent(_scored(spark, d)).select("news_id", "created_at", "sentiment")
 
 
+@query
+def recent_from_store(spark, d):
+    """K2 on the stored news: only the newest days' partitions are read."""
+    store = scratch_path(spark, "news-recent")
+    files.append_news(_scored(spark, d).select(F.col("news_id").alias("seq"), F.lit("").alias("title"), "sentiment", "created_at"), store, "run-1")
+    return N.recent_from_store(spark, store).select(F.col("seq").alias("news_id"), "created_at", "sentiment")
+
+
 @query
 def dashboard_read(spark, d):
     s = _scored(spark, d).select("news_id", "created_at", "sentiment")
@@ -279,6 +316,19 @@ def encode_tokens(spark, d):
     vocab = build_vocab(n)
     return encode(n, vocab, S.MAX_LENGTH)
 
+
+
+#: A given sub-word vocabulary; its path is a parameter of the operator.
+SUBWORDS = "/opt/tokenizers/word_bpe_49k.json"
+
+
+@query
+def encode_subwords(spark, d):
+    """F14 with the sub-words of a given vocabulary (beyond SQL; the tests hold it against the library on whole texts)."""
+    from newslab.operators.encode import encode_subwords
+
+    return encode_subwords(C.news(spark, d), SUBWORDS)
+
 # --------------------------------------------------------------------------- listings
 
 
@@ -323,6 +373,20 @@ def json_posts(spark, d):
     return kept.select("conv_id", "pos", "title", "url")
 
 
+@query
+def json_posts_drift(spark, d):
+    """S5 over listings of drifting shape: by conversation, titles that are numbers, no permalinks, children in an object,
+    pages cut short."""
+    conv = read_table(spark, d, "conversations").select("conv_id", "turn", "text")
+    feeds = I.feed_json(conv)
+    kind = F.pmod("conv_id", F.lit(5))
+    drifted = (F.when(kind == 1, F.regexp_replace("json", '"title":"(?:[^"\\\\]|\\\\.)*"', '"title":12345678901234567'))
+               .when(kind == 2, F.regexp_replace("json", ',"permalink":"[^"]*"', ""))
+               .when(kind == 3, F.concat(F.lit('{"data":{"children":{"first":'), F.col("json"), F.lit("}}}")))
+               .when(kind == 4, F.expr("left(json, length(json) - 3)")).otherwise(F.col("json")))
+    return I.json_posts_of_any_shape(feeds.withColumn("json", drifted)).select("conv_id", "pos", "title", "url")
+
+
 def _events_time(spark, d):
     return read_table(spark, d, "events").select(F.col("event_id").alias("page_id"), F.col("ts").alias("created_at"))
 
@@ -412,20 +476,20 @@ def trial_sweep(spark, d):
 
 @query
 def grid_sweep(spark, d):
-    return _sweep_out(G.sweep(G.grid(spark), C.vectors(spark, d, "proxy")))
+    return _sweep_out(G.sweep(G.grid(spark), C.vectors(spark, d, "full")))
 
 
 @query
 def trial_errors(spark, d):
     """The first population swept per document language in one job.
 
-    Languages present in ``documents`` but without labelled proxy rows enter
+    Languages present in ``documents`` but without labelled rows enter
     as zero-count vectors, so their evaluations fail and become rows with
     ``fitness = -1`` and an error text; the job goes on.
     """
     pop = G.create_population(spark, S.POPULATION_SIZE, S.SEED, 1)
     langs = read_table(spark, d, "documents").select(F.col("doc_id").alias("news_id"), "lang")
-    labelled = G.feature_vectors(C.proxy_news(spark, d).join(langs, "news_id"), C.POSITIVE, C.NEGATIVE, ("lang",))
+    labelled = G.feature_vectors(C.news(spark, d).join(langs, "news_id"), C.POSITIVE, C.NEGATIVE, ("lang",))
     placeholders = langs.select("lang").distinct().select(
         "lang", *(F.lit(0).alias(c) for c in G.FEATURE_COLS), F.lit(0).cast("long").alias("cnt"))
     vec = labelled.unionByName(placeholders)

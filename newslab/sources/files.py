@@ -6,11 +6,14 @@ Paths live under the shared folder named by ``spark.checkpoint.dir`` (see
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newslab import schema as S
+from newslab.session import scratch_path
 
 _CSV_OPTS = {
     "header": "true",
@@ -38,6 +41,21 @@ def read_news(spark: SparkSession, path: str, schema: T.StructType = S.RAW_NEWS)
     return spark.read.schema(schema).options(**opts).option("mode", "FAILFAST").csv(path)
 
 
+def read_news_tolerant(spark: SparkSession, path: str, quarantine: str, schema: T.StructType = S.RAW_NEWS) -> DataFrame:
+    """S1 for tables with broken records: a record that doesn't fit the schema (too few or many fields, a wrong type) costs
+    itself only.  Good rows are returned; broken ones go to ``quarantine`` as (record, file), one row each.
+
+    The table is parsed once, into a written copy that both are read from.
+    """
+    opts = _CSV_OPTS | {"emptyValue": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_record"}
+    parsed = spark.read.schema(T.StructType([*schema.fields, T.StructField("_record", T.StringType())])).options(**opts).csv(path)
+    copy = scratch_path(spark, "csv-parsed")
+    parsed.withColumn("_file", F.col("_metadata.file_path")).write.parquet(copy)
+    rows = spark.read.parquet(copy)
+    rows.filter("_record is not null").select(F.col("_record").alias("record"), F.col("_file").alias("file")).write.mode("overwrite").parquet(quarantine)
+    return rows.filter("_record is null").select(*schema.names)
+
+
 STORE_SALTS = 8
 
 
@@ -58,9 +76,21 @@ def append_news(df: DataFrame, path: str, run: str, required: tuple[str, ...] =
      .partitionBy("run", "valid", "date").parquet(path))
 
 
-def load_news_store(spark: SparkSession, path: str) -> DataFrame:
-    """The valid rows of all runs."""
-    return spark.read.parquet(path).filter("valid = 1").drop("valid", "run")
+def load_news_store(spark: SparkSession, path: str, days: Sequence[str | None] | None = None) -> DataFrame:
+    """The valid rows of all runs; with ``days`` only of these partitions (None: rows without a time)."""
+    rows = spark.read.parquet(path).filter("valid = 1")
+    if days is not None:
+        rows = rows.filter(F.col("date").isin([d for d in days if d is not None]) | (F.col("date").isNull() if None in days else F.lit(False)))
+    return rows.drop("valid", "run")
+
+
+def store_days(spark: SparkSession, path: str) -> list[str | None]:
+    """Days with valid rows, newest first, rows without a time last; from the names of the partitions alone."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/run=*/valid=1/date=*")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    names = {f.getPath().getName().split("=", 1)[1] for f in found}
+    dated = sorted((n for n in names if not n.startswith("__")), reverse=True)
+    return [*dated, *([None] if len(dated) < len(names) else [])]
 
 
 def load_quarantine(spark: SparkSession, path: str) -> DataFrame:
