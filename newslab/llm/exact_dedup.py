@@ -2,9 +2,10 @@
 
 DataFrame operations only.  The index maps the 64-bit hash of a normalised text to a bucket through a directory of
 hash prefixes.  A bucket with more distinct keys than its capacity is split by doubling the directory, until every
-bucket fits.  Index rows lie in the shared folder; the owner of a bucket processes one range of keys, chains equal
-hashes and compares their texts byte by byte.  Copies are pre-aggregated before each shuffle, so a group of any size
-reaches its owner as one row per task.
+bucket fits.  Copies are pre-aggregated by the task that reads them, then the entries of shared keys go to the owner of
+their bucket: buckets and keys are dealt in ranges, an owner sorts its range, chains the texts of equal keys and compares
+them byte by byte.  What the owners find is written as the index in the shared folder, by bucket, and decides the groups;
+a group of any size reaches its owner as one row per reading task.
 """
 
 from __future__ import annotations
@@ -12,10 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newslab.functions.text import free_names
 from newslab.llm.common import WORD_GAP, text_or_empty, written
 
 #: Distinct keys that one bucket may hold.
-BUCKET_KEYS = 1_000_000
+BUCKET_KEYS = 20_000
+#: Directory slots that are broadcast (16 MB); a larger directory is joined by a shuffle.
+BROADCAST_SLOTS = 1 << 20
 #: Shared keys that are broadcast (8 MB of hashes); beyond, the same join is shuffled.
 BROADCAST_KEYS = 1_000_000
 #: Rows of (doc_id, digest) that are broadcast to drop copies (about 30 MB); beyond, the same join is shuffled.
@@ -28,6 +32,11 @@ def normalised(text: str = "text") -> Column:
     return F.regexp_replace(text_or_empty(text), WORD_GAP, " ")
 
 
+def text_key(norm: str) -> Column:
+    """The 64-bit hash by which the index finds a text."""
+    return F.xxhash64(norm)
+
+
 def prefix(key: str, depth: int) -> Column:
     """The first ``depth`` bits of a 64-bit key."""
     return F.shiftrightunsigned(key, HASH_BITS - depth) if depth else F.lit(0).cast("long")
@@ -36,11 +45,11 @@ def prefix(key: str, depth: int) -> Column:
 def directory(keys: DataFrame, capacity: int = BUCKET_KEYS) -> tuple[int, list[int]]:
     """(depth, bucket number for each of the 2**depth prefixes) such that no bucket holds over ``capacity`` keys.
 
-    ``keys`` has one row per distinct key.  Counting starts at the depth that the number of keys asks for; after
-    that each doubling counts the overfull buckets alone.  About ``len(keys) / capacity`` counts reach the driver.
+    ``keys`` has one row per distinct key.  Counting starts two doublings short of the depth that evenly spread keys ask
+    for; each doubling counts the overfull buckets alone.  About ``len(keys) / capacity`` counts reach the driver.
     """
     n = keys.count()
-    depth = max(0, (n // max(capacity, 1)).bit_length())
+    depth = max(0, (n // max(capacity, 1)).bit_length() - 2)
     full = {r["p"]: r["n"] for r in keys.groupBy(prefix("key", depth).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
     leaves = [(depth, p) for p in range(1 << depth)]
     overfull = [p for p, c in full.items() if c > capacity]
@@ -59,10 +68,27 @@ def directory(keys: DataFrame, capacity: int = BUCKET_KEYS) -> tuple[int, list[i
     return depth, slots
 
 
-def bucket_of(key: str, depth: int, slots: list[int]) -> Column:
-    """The bucket that owns ``key``: its prefix looked up in the directory, one constant array."""
-    table = F.split(F.lit(",".join(map(str, slots))), ",").cast("array<int>")
-    return F.get(table, prefix(key, depth).cast("int"))
+def with_bucket(rows: DataFrame, key: str, depth: int, slots: list[int]) -> DataFrame:
+    """``rows`` with the bucket that owns each key: its prefix looked up in the directory."""
+    table = rows.sparkSession.createDataFrame(list(enumerate(slots)), "slot long, bucket int")
+    if len(slots) <= BROADCAST_SLOTS:
+        table = F.broadcast(table)
+    return rows.join(table, prefix(key, depth) == F.col("slot")).drop("slot")
+
+
+def owned_chains(texts: DataFrame, depth: int, slots: list[int]) -> DataFrame:
+    """Index entries (bucket, c_key, c_sha, keep_id, group_size) of ``texts`` (doc_id, key, norm), one per different text.
+
+    The first grouping is by reading task and only thins copies out.  Then buckets and keys are dealt in ranges to owner
+    tasks, and the grouping there needs no further exchange: an owner has all entries of its keys beside each other.
+    """
+    thin = (texts.groupBy(F.spark_partition_id().alias("task"), "key", "norm")
+            .agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
+    owners = max(slots, default=0) + 1
+    dealt = (with_bucket(thin, "key", depth, slots).repartitionByRange(owners, "bucket", "key")
+             .sortWithinPartitions("bucket", "key", "norm"))
+    return (dealt.groupBy("bucket", "key", "norm").agg(F.min("low").alias("keep_id"), F.sum("n").alias("group_size"))
+            .select("bucket", F.col("key").alias("c_key"), F.unhex(F.sha2("norm", 256)).alias("c_sha"), "keep_id", "group_size"))
 
 
 def dedup_exact(docs: DataFrame, capacity: int = BUCKET_KEYS, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
@@ -74,7 +100,7 @@ def dedup_exact(docs: DataFrame, capacity: int = BUCKET_KEYS, broadcast_keys: in
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised().alias("norm"))
     entries = written(
-        source.select("doc_id", F.xxhash64("norm").alias("key"), F.unhex(F.sha2("norm", 256)).alias("sha"),
+        source.select("doc_id", text_key("norm").alias("key"), F.unhex(F.sha2("norm", 256)).alias("sha"),
                       F.monotonically_increasing_id().alias("row")), "dedup-entries")
     keys = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "dedup-keys")
     depth, slots = directory(keys, capacity)
@@ -83,12 +109,8 @@ def dedup_exact(docs: DataFrame, capacity: int = BUCKET_KEYS, broadcast_keys: in
     shared = keys.filter("n > 1").select("key")
     if shared.count() <= broadcast_keys:
         shared = F.broadcast(shared)
-    texts = source.withColumn("key", F.xxhash64("norm")).join(shared, "key", "left_semi")
-    chains = written(
-        texts.withColumn("bucket", bucket_of("key", depth, slots)).groupBy("bucket", "key", "norm")
-        .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("bucket", F.col("key").alias("c_key"), F.unhex(F.sha2("norm", 256)).alias("c_sha"), "keep_id", "group_size"),
-        "dedup-chains")
+    texts = source.withColumn("key", text_key("norm")).join(shared, "key", "left_semi")
+    chains = written(owned_chains(texts, depth, slots), "dedup-index")
 
     # Rows that repeat a doc_id and a text: the first one counts.
     again = (entries.groupBy("key", "sha", F.col("doc_id").alias("r_id"))
@@ -107,16 +129,18 @@ def dedup_exact(docs: DataFrame, capacity: int = BUCKET_KEYS, broadcast_keys: in
 
 
 def keep_first(docs: DataFrame, capacity: int = BUCKET_KEYS) -> DataFrame:
-    """The rows of ``docs`` that ``dedup_exact`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``dedup_exact`` keeps, with all their columns, whatever these are called."""
     found = written(dedup_exact(docs, capacity), "dedup-result")
+    sha, d_id, d_sha = free_names(docs, "sha", "d_id", "d_sha")
     # Texts of which a row goes, by doc_id; where one of several equal rows stays, all but one of them go.
-    state = written(found.groupBy(F.col("doc_id").alias("d_id"), F.col("text_sha256").alias("d_sha"))
+    state = written(found.groupBy(F.col("doc_id").alias(d_id), F.col("text_sha256").alias(d_sha))
                     .agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("times")).filter("not stays or times > 1"), "dedup-go")
-    again = state.filter("stays")
-    go = F.broadcast(state) if state.count() <= BROADCAST_ROWS else state
-    rows = docs.withColumn("_sha", F.sha2(normalised(), 256))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("d_id")) & (F.col("_sha") == F.col("d_sha"))
+    again = state.filter("stays").select(d_id, d_sha)
+    go = state.select(d_id, d_sha)
+    go = F.broadcast(go) if state.count() <= BROADCAST_ROWS else go
+    rows = docs.withColumn(sha, F.sha2(normalised(), 256))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(d_id)) & (F.col(sha) == F.col(d_sha))
     once = rows.join(go, same, "left_anti")
     if again.isEmpty():
-        return once.drop("_sha")
-    return once.unionByName(rows.join(again, same, "left_semi").dropDuplicates(["doc_id", "_sha"])).drop("_sha")
+        return once.drop(sha)
+    return once.unionByName(rows.join(again, same, "left_semi").dropDuplicates(["doc_id", sha])).drop(sha)
