@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newslab.functions.text import free_names
 from newslab.llm.common import WORD_GAP, text_or_empty, written
 
 MAX_REPEATS = 3
@@ -140,9 +141,10 @@ def mixed_rows(docs: DataFrame, seed: int = 17) -> DataFrame:
     A copy that the quota cuts is whole here if at least half of it is taken and else left out.  The rows are written
     once with a number each, by which the plan finds them, so rows that share a doc_id keep their own copies.
     """
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-input")
-    plan = written(plan_mix(rows, seed, row="_row").filter("taken > 0").select(
-        F.col("_row").alias("p_row"), F.filter("copies", lambda c: 2 * c["words"] >= F.col("size")).alias("_copies")), "mix-plan")
-    return (rows.join(plan, F.col("_row") == F.col("p_row"))
-            .select(*[F.col(c) for c in docs.columns], F.explode("_copies").alias("_copy"))
-            .orderBy("_copy.position", "doc_id", "_copy.epoch").drop("_copy"))
+    row, p_row, copies, copy = free_names(docs, "row", "p_row", "copies", "copy")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "mix-input")
+    plan = plan_mix(rows, seed, row=row).filter("taken > 0")
+    plan = written(plan.select(F.col(row).alias(p_row), F.filter("copies", lambda c: 2 * c["words"] >= F.col("size")).alias(copies)), "mix-plan")
+    return (rows.join(plan, F.col(row) == F.col(p_row))
+            .select(*[F.col(c) for c in docs.columns], F.explode(copies).alias(copy))
+            .orderBy(F.col(copy)["position"], "doc_id", F.col(copy)["epoch"]).drop(copy))
