@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newslab.functions.text import free_names
+
 FOREVER = "9999-12-31"
 
 
@@ -52,17 +54,18 @@ def filter_captures(captures: DataFrame, entries: DataFrame, url: str = "url", f
     unusable URL, or a null day, matches no list; repeated rows get equal verdicts; ties between lists are listed
     by name.
     """
-    new = ["host", "blocked", "n_lists", "first_list", "_day"]
+    new = ["host", "blocked", "n_lists", "first_list"]
     rows = captures.drop(*[c for c in captures.columns if c.lower() in new and c not in (url, fetched)])
-    rows = rows.withColumns({"host": host_of(F.col(url)), "_day": F.col(fetched).cast("date")})
-    moments = rows.select(F.col("host").alias("m_host"), F.col("_day").alias("m_day")).distinct()
-    hits = (moments.filter("m_host is not null and m_day is not null")
-            .withColumn("m_domain", F.explode(host_suffixes(F.col("m_host"))))
-            .join(validity_intervals(entries), (F.col("m_domain") == F.col("domain"))
-                  & (F.col("m_day") >= F.col("valid_from")) & (F.col("m_day") < F.col("valid_to")))
-            .groupBy("m_host", "m_day")
+    day, m_host, m_day, m_domain = free_names(captures, "day", "m_host", "m_day", "m_domain")
+    rows = rows.withColumns({"host": host_of(F.col(url)), day: F.col(fetched).cast("date")})
+    moments = rows.select(F.col("host").alias(m_host), F.col(day).alias(m_day)).distinct()
+    hits = (moments.filter(F.col(m_host).isNotNull() & F.col(m_day).isNotNull())
+            .withColumn(m_domain, F.explode(host_suffixes(F.col(m_host))))
+            .join(validity_intervals(entries), (F.col(m_domain) == F.col("domain"))
+                  & (F.col(m_day) >= F.col("valid_from")) & (F.col(m_day) < F.col("valid_to")))
+            .groupBy(m_host, m_day)
             .agg(F.countDistinct("list_name").alias("n_lists"), F.min("list_name").alias("first_list")))
-    return (rows.join(hits, (F.col("host") == F.col("m_host")) & (F.col("_day") == F.col("m_day")), "left")
+    return (rows.join(hits, (F.col("host") == F.col(m_host)) & (F.col(day) == F.col(m_day)), "left")
             .withColumns({"n_lists": F.coalesce("n_lists", F.lit(0).cast("long")),
                           "blocked": F.col("n_lists").isNotNull()})
-            .drop("m_host", "m_day", "_day"))
+            .drop(m_host, m_day, day))
