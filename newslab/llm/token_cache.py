@@ -14,8 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Entries a worker's cache holds before it starts anew (about 200 bytes each).
-CACHE_ENTRIES = 1_000_000
+#: Bytes that a worker's cache may take before it starts anew, and what an entry takes beside its piece and value.
+CACHE_BYTES, ENTRY_BYTES = 64 * 1024 * 1024, 150
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -24,19 +24,27 @@ class _Unsafe(Exception):
 
 
 class PieceCache(dict):
-    """Maps a piece (without its leading space) to ``encode(piece)``; filled on demand, bounded."""
+    """Maps a piece (without its leading space) to ``encode(piece)``; filled on demand, bounded beside the ``first`` tier."""
 
-    def __init__(self, encode, limit: int = CACHE_ENTRIES):
+    def __init__(self, encode, limit: int | None = None):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.size, self.first = encode, CACHE_BYTES if limit is None else limit, 0, {}
+
+    def stock(self, first: dict) -> None:
+        """Hold the first tier's entries at all times."""
+        self.first = first
+        self.update(first)
 
     def __missing__(self, piece: str):
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Unsafe
-        if len(self) >= self.limit:
-            self.clear()
         value = self.encode(piece)
         if len(piece) <= 64:
+            self.size += ENTRY_BYTES + len(piece) + (len(value) if isinstance(value, bytes) else 0)
+            if self.size > self.limit:
+                self.clear()
+                self.update(self.first)
+                self.size = 0
             self[piece] = value
         return value
 

@@ -78,8 +78,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, table: tuple[st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, cache = _worker_cache(path)
         first = dict(zip(*(sent.value[0].split(" "), sent.value[1]))) if sent.value[0] else {}
-        for piece, n in first.items():  # both tiers answer from one dictionary: a miss in it is encoded once
-            cache.setdefault(piece, n)
+        cache.stock(first)  # both tiers answer from one dictionary: a miss in it is encoded once
         total = lambda head, rest: sum(head) + sum(rest)
         for batch in batches:
             n_bytes, n_tokens = [], []
