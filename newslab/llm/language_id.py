@@ -13,10 +13,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newslab.llm.common import text_or_empty
+from newslab.llm.common import discard, text_or_empty, written
 
 N = 4
 HASHES = 3
@@ -24,13 +24,14 @@ HASHES = 3
 SLOTS = 1 << 21
 #: Labelled documents per language that the model is fitted on (a Bernoulli draw of this expected size).
 SAMPLE_DOCS = 3_000
-#: An n-gram belongs to a language if this share of its sampled documents has it ...
+#: The rate of an n-gram in a language: its sampled documents that have it, in all its sampled documents and PRIOR_DOCS
+#: more without it, so that the n-grams of few documents weigh little.
+PRIOR_DOCS = 10
+#: An n-gram belongs to a language if its rate is at least this ...
 MIN_RATE = 0.004
-#: (of a language with fewer sampled documents than FEW_DOCS, one that has it is enough, and rates count as of so many)
-FEW_DOCS = 10
-#: ... and at least this part of the share in the language where it is most common ...
+#: ... and at least this part of its rate in the language where it is most common ...
 MIN_RELATIVE = 0.2
-#: ... and it is among the language's most common ones.
+#: ... and it is among so many of the language's most common ones: the filter's capacity, ties by hash.
 NGRAMS_PER_LANGUAGE = 60_000
 UNKNOWN = "und"
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double, coverage double"
@@ -133,8 +134,9 @@ def _slots(grams: np.ndarray, slots: int) -> list[np.ndarray]:
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, min_rate: float = MIN_RATE) -> LanguageFilters:
     """Filters learned from text and non-null lang of the documents that are not held out.
 
-    Document frequencies of n-grams are counted by Spark over a bounded sample per language; only n-grams frequent
-    enough for a filter reach the driver (at most about ``n-grams per document / min_rate`` per language).
+    Document frequencies of n-grams are counted by Spark over a bounded sample per language, and ranked there: at most
+    ``NGRAMS_PER_LANGUAGE`` n-grams of a language reach the driver, whatever the length of its texts.  The same rule holds
+    for a language of one document and of many.
     """
     labelled = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
@@ -154,27 +156,25 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, min_rate: float = MIN_R
                      pa.array([len(sets) if not i else 0 for i in range(len(gram))], pa.int64())],
                     names=["lang", "gram", "n", "docs"])
 
-    counted = sample.mapInArrow(frequencies, "lang string, gram long, n long, docs long").persist()
-    drawn = {r["lang"]: r["docs"] for r in counted.groupBy("lang").agg(F.sum("docs").alias("docs")).collect()}
-    least = F.coalesce(*[F.when(F.col("lang") == k, F.lit(max(2.0 if n >= FEW_DOCS else 1.0, min_rate * n))) for k, n in drawn.items()]) if drawn else F.lit(2.0)
-    kept = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).toPandas()
-    counted.unpersist()
-    return select(kept["lang"].to_numpy(), kept["gram"].to_numpy(np.int64).view(np.uint64), kept["n"].to_numpy(np.float64), drawn, sizes)
+    counted = written(sample.mapInArrow(frequencies, "lang string, gram long, n long, docs long"), "language-ngrams")
+    drawn = counted.groupBy(F.col("lang").alias("d_lang")).agg(F.sum("docs").alias("drawn"))
+    best = Window.partitionBy("lang").orderBy(F.desc("rate"), "gram")
+    kept = (counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).join(drawn, F.col("lang") == F.col("d_lang"))
+            .withColumn("rate", F.col("n") / (F.col("drawn") + PRIOR_DOCS)).filter(F.col("rate") >= min_rate)
+            .withColumn("place", F.row_number().over(best)).filter(F.col("place") <= NGRAMS_PER_LANGUAGE)
+            .select("lang", "gram", "rate").toArrow())
+    languages = sorted(r["d_lang"] for r in drawn.select("d_lang").collect())
+    discard(counted)
+    return select(languages, kept["lang"].to_numpy(), kept["gram"].to_numpy().view(np.uint64), kept["rate"].to_numpy(), sizes)
 
 
-def select(lang: np.ndarray, gram: np.ndarray, n: np.ndarray, drawn: dict, sizes: dict) -> LanguageFilters:
-    """Filters from document counts ``n`` per (language, n-gram) and documents ``drawn`` per language."""
-    languages = sorted(drawn)
-    rates = n / np.array([max(drawn[k], FEW_DOCS) for k in lang]) if len(lang) else n
+def select(languages: list[str], lang: np.ndarray, gram: np.ndarray, rates: np.ndarray, sizes: dict) -> LanguageFilters:
+    """Filters from the rates of (language, n-gram) pairs; ``sizes``: labelled documents per language."""
     values, inverse = np.unique(gram, return_inverse=True)
     top = np.zeros(len(values))
     np.maximum.at(top, inverse, rates)
     strong = rates >= MIN_RELATIVE * top[inverse]
-    members = []
-    for k in languages:
-        own = np.flatnonzero((lang == k) & strong)
-        own = own[np.lexsort((gram[own], -rates[own]))][:NGRAMS_PER_LANGUAGE]
-        members.append(gram[own])
+    members = [gram[(lang == k) & strong] for k in languages]
     usual = max(range(len(languages)), key=lambda i: (sizes[languages[i]], -i)) if languages else 0
     return LanguageFilters.build(languages, members, usual)
 
