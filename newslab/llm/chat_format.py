@@ -148,20 +148,65 @@ def format_conversations(turns: DataFrame, template: Template = DEFAULT) -> Data
     return rows.mapInArrow(run, SEGMENTS)
 
 
-def read_back(segments: DataFrame, template: Template = DEFAULT) -> DataFrame:
-    """Per conversation, digests of what the segments of ``format_conversations`` say when parsed again.
+class TurnParser:
+    """Reads turns back from a formatted string that arrives in pieces, cut anywhere; holds the turn at hand only.
 
-    Roles are taken from the opening markers and texts are unescaped.  Reads the segments in the order in which
-    they were made, in the same stage and without another shuffle, one segment at a time.
+    Markers are all that it goes by: no control string occurs inside an escaped text, so a turn's text ends where the
+    closing marker of its role first occurs.
     """
-    names = {r.open: name for name, r in template.roles.items()}
 
+    def __init__(self, template: Template):
+        self.unescape = unescaper(template)
+        self.opens = sorted(((r.open, name, r.close) for name, r in template.roles.items()), key=lambda o: -len(o[0]))
+        self.other, self.other_close = template.other_open, template.other_close
+        self.rest, self.role, self.close, self.seen = "", None, "", 0
+
+    def _open(self) -> bool:
+        for mark, role, close in self.opens:
+            if self.rest.startswith(mark):
+                self.role, self.close, self.rest, self.seen = role, close, self.rest[len(mark):], 0
+                return True
+        before, after = self.other
+        if self.rest.startswith(before) and (end := self.rest.find(after, len(before))) >= 0:
+            self.role, self.close = self.unescape(self.rest[len(before):end]), self.other_close
+            self.rest, self.seen = self.rest[end + len(after):], 0
+            return True
+        if self.rest.startswith(before) or any(m.startswith(self.rest) for m in (*(o[0] for o in self.opens), before)):
+            return False  # the rest of the marker is still to come
+        raise ValueError(f"no opening marker at {self.rest[:40]!r}")
+
+    def feed(self, piece: str) -> Iterator[tuple[str, str]]:
+        """Turns (role, text) that end in ``piece``."""
+        self.rest += piece
+        while self.rest or self.role is not None:
+            if self.role is None and not self._open():
+                return
+            end = self.rest.find(self.close.strip(), self.seen)
+            lead = len(self.close) - len(self.close.lstrip())
+            if end < 0 or len(self.rest) < end - lead + len(self.close):
+                self.seen = max(0, len(self.rest) - len(self.close)) if end < 0 else end
+                return
+            text, self.rest = self.rest[:end - lead], self.rest[end - lead + len(self.close):]
+            yield self.role, self.unescape(text)
+            self.role = None
+
+    def finish(self) -> None:
+        if self.rest or self.role is not None:
+            raise ValueError("the formatted string ends inside a turn")
+
+
+def read_back(segments: DataFrame, template: Template = DEFAULT) -> DataFrame:
+    """Per conversation, digests of its formatted string, parsed again, and of the text under its loss mask.
+
+    The string is the conversation's segments one after the other; turns are found in it by its markers alone
+    (``TurnParser``).  Reads the segments in the order in which they were made, in the same stage and without another
+    shuffle, one segment at a time.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unescape, out = unescaper(template), []
-        before, after = template.other_open
+        unescape, parser, out = unescaper(template), TurnParser(template), []
         turns, loss = hashlib.sha256(), hashlib.sha256()
         n_turns = loss_chars = chars = n_segments = 0
-        valid, role = True, ""
+        valid = True
         for batch in batches:
             conv_ids, texts, flags, legals, kinds = (
                 batch.column(batch.schema.get_field_index(c)).to_pylist()
@@ -169,22 +214,21 @@ def read_back(segments: DataFrame, template: Template = DEFAULT) -> DataFrame:
             for conv, text, flag, legal, kind in zip(conv_ids, texts, flags, legals, kinds):
                 valid = valid and legal
                 chars += len(text)
+                for role, plain in parser.feed(text):
+                    turns.update(f"{role}\n{plain}\n".encode())
+                    n_turns += 1
+                if flag:
+                    masked = unescape(text)
+                    loss.update(masked.encode())
+                    loss_chars += len(masked)
                 if kind == "end":
+                    parser.finish()
                     out.append((conv, n_turns, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, n_segments, valid))
                     turns, loss = hashlib.sha256(), hashlib.sha256()
                     n_turns = loss_chars = chars = n_segments = 0
                     valid = True
                     continue
                 n_segments += 1
-                if kind == "open":
-                    role = names[text] if text in names else unescape(text[len(before):len(text) - len(after)])
-                elif kind == "text":
-                    plain = unescape(text)
-                    turns.update(f"{role}\n{plain}\n".encode())
-                    n_turns += 1
-                    if flag:
-                        loss.update(plain.encode())
-                        loss_chars += len(plain)
             if len(out) > 10_000:
                 yield _emit(out, _DIG_SCHEMA)
                 out = []
