@@ -80,12 +80,12 @@ def test_links_equal_all_pairs(spark, case):
     rows = {"light": lambda: random_texts(1, 160, 6, (1, 14)), "large": lambda: random_texts(2, 200, 40, (5, 60)),
             "hub": lambda: [(i, " ".join(f"h{k}" for k in range(40)) + f" own{i % 7} " + " ".join(f"x{i % 25}y{k}" for k in range(i % 50)))
                             for i in range(150)]}[case]()
-    jaccard_round, jaccard_join.ROUND = jaccard_join.ROUND, 3
+    split_list, jaccard_join.SPLIT_LIST = jaccard_join.SPLIT_LIST, 3
     salt, jaccard_join.SALT_ROWS = jaccard_join.SALT_ROWS, 10
     try:
         check_links(jaccard_join.link_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)), rows)
     finally:
-        jaccard_join.ROUND, jaccard_join.SALT_ROWS = jaccard_round, salt
+        jaccard_join.SPLIT_LIST, jaccard_join.SALT_ROWS = split_list, salt
 
 
 def test_every_boundary_finds_all_links(spark, monkeypatch):
@@ -232,12 +232,60 @@ def test_keep_first_keeps_whole_rows(docs, monkeypatch):
         assert Counter(r.doc_id for r in got.collect()) == Counter(min((i for i in ids if i is not None), default=None) for ids in groups.values())
 
 
+def test_colliding_keys_are_told_apart_by_their_bytes(spark, docs, monkeypatch):
+    """All texts in one chain, then in two: groups come from comparing texts, not from the hash."""
+    groups = brute_exact([(r[0], r[1]) for r in documents()])
+    for key in (lambda c: F.lit(7).cast("long"), lambda c: F.xxhash64(F.length(c) % 2)):
+        monkeypatch.setattr(exact_dedup, "text_key", key)
+        got = exact_dedup.dedup_exact(docs, 3).collect()
+        assert Counter((r.text_sha256, r.group_size) for r in got) == Counter(
+            (hashlib.sha256(t.encode()).hexdigest(), len(ids)) for t, ids in groups.items() for _ in ids)
+
+
+def test_groups_come_from_the_owners_buckets(spark, monkeypatch):
+    """Without one bucket of the index its groups fall apart and no other does; owners hold ranges of buckets."""
+    rows = spark.createDataFrame([(i, f"text {i % 60}") for i in range(180)], "doc_id long, text string").repartition(4)
+    whole = {r.doc_id: r.group_size for r in exact_dedup.dedup_exact(rows, 8).collect()}
+    assert set(whole.values()) == {3}
+    chains, lost = exact_dedup.owned_chains, []
+
+    def without_one(texts, depth, slots):
+        found = chains(texts, depth, slots)
+        tasks = found.groupBy(F.spark_partition_id().alias("t")).agg(F.min("bucket").alias("low"), F.max("bucket").alias("high")).orderBy("low").collect()
+        assert len(tasks) > 1 and all(a.high <= b.low for a, b in zip(tasks, tasks[1:]))
+        lost.extend(r.keep_id for r in found.filter("bucket = 2").collect())
+        return found.filter("bucket <> 2")
+
+    monkeypatch.setattr(exact_dedup, "owned_chains", without_one)
+    got = {r.doc_id: r.group_size for r in exact_dedup.dedup_exact(rows, 8).collect()}
+    assert lost and {i for i, n in got.items() if n == 1} == {i for i in range(180) if i % 60 in lost}
+
+
+#: Every name that the row-keeping functions use beside the caller's columns.
+HELPERS = ["g_id", "sha", "_sha", "d_id", "d_sha", "row", "_row", "p_row", "copies", "_copies", "copy", "_copy", "stays", "times", "position",
+           "m_host", "m_day", "m_domain", "day", "_day", "domain", "valid_from", "list_name", "host_", "g_id_", "Sha"]
+
+
+def test_helper_names_of_the_caller_survive(spark, docs):
+    extra = docs.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) for c in HELPERS if c != "Sha"})
+    for fn in (exact_dedup.keep_first, jaccard_join.keep_one, mixing.mixed_rows):
+        got = fn(extra)
+        assert got.columns == extra.columns, fn.__name__
+        assert Counter(got.select(docs.columns).collect()) == Counter(fn(docs).collect()), fn.__name__
+        assert all(r[c] == c + ("" if r.doc_id is None else str(r.doc_id)) for r in got.collect() for c in HELPERS if c != "Sha")
+    pages = spark.createDataFrame([(1, "http://a.b.c/x", "2024-01-05"), (2, None, None)], "page_id long, url string, fetch_date string")
+    more = pages.withColumns({c: F.lit(c) for c in HELPERS if c != "Sha"})
+    entries = spark.createDataFrame([("l", "b.c", "2024-01-01", "add")], "list_name string, domain string, entry_date string, action string")
+    got = {r.page_id: r for r in url_filter.filter_captures(more, entries).collect()}
+    assert got[1].blocked and not got[2].blocked and all(r[c] == c for r in got.values() for c in HELPERS if c != "Sha")
+
+
 def test_directory_covers_every_key_once(spark):
     keys = spark.range(5000).select(F.xxhash64("id").alias("key"))
     depth, slots = exact_dedup.directory(keys, 40)
-    found = keys.select(exact_dedup.bucket_of("key", depth, slots).alias("b")).groupBy("b").count().collect()
+    found = exact_dedup.with_bucket(keys, "key", depth, slots).groupBy("bucket").count().collect()
     assert len(slots) == 1 << depth and sum(r["count"] for r in found) == 5000
-    assert max(r["count"] for r in found) <= 40 and {r["b"] for r in found} <= set(slots)
+    assert max(r["count"] for r in found) <= 40 and {r["bucket"] for r in found} <= set(slots)
 
 
 # ------------------------------------------------------------------ 8
@@ -360,6 +408,53 @@ def test_few_or_no_labels_keep_documents(spark):
     assert {r.doc_id for r in language_id.identify(one, filters).collect() if r.lang_pred == "fi"} == {ids[0], 900}
 
 
+def brute_grams(text):
+    """Character 4-grams as strings: letters lower-cased, one space for every run of others and at both ends."""
+    low = "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text or "")
+    s = re.sub(" +", " ", f" {low} ").ljust(4)
+    return [s[i:i + 4] for i in range(len(s) - 3)] if s.strip() else []
+
+
+def test_language_equals_plain_sets(spark):
+    """Learned and decided with sets of strings, without filters: the same languages, and scores up to false positives."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    got = {r.doc_id: r for r in language_id.identify(docs, language_id.fit(docs)).collect()}
+    drawn, holds = Counter(), defaultdict(Counter)
+    for i, text, lang in rows:
+        if lang is not None and text is not None and zlib.crc32(str(i).encode()) % 4 != 2 and (grams := set(brute_grams(text))):
+            drawn[lang] += 1
+            holds[lang].update(grams)
+    rate = {k: {g: n / (drawn[k] + 10) for g, n in c.items() if n / (drawn[k] + 10) >= 0.004} for k, c in holds.items()}
+    top = Counter()
+    for r in rate.values():
+        for g, x in r.items():
+            top[g] = max(top[g], x)
+    sets = {k: {g for g, x in r.items() if x >= 0.2 * top[g]} for k, r in rate.items()}
+    assert max(map(len, sets.values())) <= language_id.NGRAMS_PER_LANGUAGE
+    for i, text, _ in rows:
+        grams = brute_grams(text)
+        share = {k: sum(g in s for g in grams) / max(len(grams), 1) for k, s in sorted(sets.items())}
+        if not grams:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        best = max(share, key=lambda k: share[k])
+        second = sorted(share.values())[-2]
+        assert got[i].lang_pred == best or share[best] - second < 0.02
+        if got[i].lang_pred == best and share[best]:
+            assert abs(got[i].coverage - share[best]) < 0.02 and abs(got[i].score - share[best] / sum(share.values())) < 0.02
+
+
+def test_language_fit_is_bounded_by_its_capacity(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "NGRAMS_PER_LANGUAGE", 50)
+    rows = [(i, "".join(chr(97 + (i * 7 + k * k) % 26) for k in range(3000)), f"l{i % 12}", "s", 1) for i in range(40)]
+    built = []
+    build = language_id.LanguageFilters.build
+    monkeypatch.setattr(language_id.LanguageFilters, "build", staticmethod(lambda names, members, *a: built.append(list(map(len, members))) or build(names, members, *a)))
+    language_id.fit(spark.createDataFrame(rows, DOCS))
+    assert built and max(built[0]) <= 50
+
+
 def test_filters_return_all_languages_of_an_ngram():
     rng = np.random.default_rng(1)
     members = [rng.integers(0, 2 ** 63, 2000).astype(np.uint64) for _ in range(11)]
@@ -373,6 +468,36 @@ def test_filters_return_all_languages_of_an_ngram():
 # ------------------------------------------------------------------ 10
 
 
+def test_kept_equals_every_labelling_tried(spark):
+    """On documents of up to eight lines: the best of all labellings of the lines, weighed out line by line."""
+    from itertools import product
+
+    field = quality_crf.fit(*(spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels")))
+    texts = [r.text for r in spark.read.parquet(f"{SF01}/documents.parquet").collect() if r.text and r.text.count("\n") < 8][:150]
+    texts += [t or "" for _, t, *_ in documents() if (t or "").count("\n") < 8] + ["$$$ BUY!!! NOW!!!\nA plain line of text follows here.\n### *** ###"] * 2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in quality_crf.apply_rules(df, field).collect()}
+    for i, text in enumerate(texts):
+        lines = [line for line in text.split("\n") if WORDS.search(line)]
+        x = quality_crf.measure(text).features
+        assert len(lines) == len(x)
+        if not lines:
+            assert (got[i].content_share, got[i].kept) == (0.0, False)
+            continue
+
+        def weight(states):
+            total = float(field.begin[states[0]]) + sum(float(x[k] @ field.emit[s]) for k, s in enumerate(states))
+            return total + sum(float(field.move[a, b]) for a, b in zip(states, states[1:]))
+
+        ways = sorted(product((0, 1), repeat=len(lines)), key=weight, reverse=True)
+        if len(ways) > 1 and weight(ways[0]) - weight(ways[1]) < 1e-6:
+            continue
+        chars = [sum(map(len, WORDS.findall(line))) for line in lines]
+        share = sum(c for c, s in zip(chars, ways[0]) if s == 0) / sum(chars)
+        assert abs(got[i].content_share - share) < 1e-9
+        assert got[i].kept == (not brute_measures(text)[5] and share >= quality_crf.MIN_CONTENT)
+
+
 def brute_measures(text):
     text = text or ""
     words = WORDS.findall(text)

@@ -160,6 +160,8 @@ def test_packing_pads_little_and_digests_agree(spark):
     assert used / (windows * packing.WINDOW) > 0.97
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
     tokenizer = load_tokenizer(BYTE)
-    for r in rows[:200]:
-        ids = (tokenizer.encode(text[r.doc_id], add_special_tokens=False).ids + [1])[r.start:r.start + r.length]
-        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+    whole = {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for i, t in text.items()}
+    for r in rows:
+        assert r.ids_crc32 == zlib.crc32(np.array(whole[r.doc_id][r.start:r.start + r.length], "<u4").tobytes())
+        assert r.doc_tokens == len(whole[r.doc_id])
+    assert {i: sum(r.length for r in rows if r.doc_id == i) for i in whole} == {i: len(ids) for i, ids in whole.items()}
