@@ -4,7 +4,8 @@ DataFrame operations only.  Each source gets a share of the budget by weight, ne
 its size.  Its weight over training time t in [0, 1] is a linear schedule; the integral of the schedule is the
 source's cumulative token demand, and inverting it turns a document's place in its source into a training position.
 Places are prefix sums in two levels (totals per hash range, then sums within a range), so no source is ever in one
-task, and the schedule is range-sorted by position.
+task.  The copies are range-sorted by position into one schedule, numbered from 0; what the mix takes of a document is what
+the schedule holds of it.
 """
 
 from __future__ import annotations
@@ -129,10 +130,43 @@ def plan_mix(docs: DataFrame, seed: int = 17, max_repeats: int = MAX_REPEATS, ra
                     *([F.col("tie").alias(row)] if row else [])))
 
 
-def schedule(plan: DataFrame) -> DataFrame:
-    """The training order: a row (position, doc_id, source, epoch, words) per copy, range-sorted by position."""
-    return (plan.select("doc_id", "source", F.explode("copies").alias("c"))
-            .select("c.position", "doc_id", "source", "c.epoch", "c.words").orderBy("position", "doc_id", "epoch"))
+_POS_BITS = 33  # monotonically_increasing_id: partition << 33 | row in it
+
+
+def schedule(plan: DataFrame, row: str | None = None) -> DataFrame:
+    """The training order: (ordinal, position, doc_id, source, epoch, words) per copy, and ``row`` if the plan has it.
+
+    Copies are range-sorted by position, then doc_id, row and epoch; a range's first ordinal is the number of copies in the
+    ranges before it (one count per range reaches the driver).
+    """
+    more = [row] if row else []
+    copies = plan.select(*more, "doc_id", "source", F.explode("copies").alias("c")).select(*more, "c.position", "doc_id", "source", "c.epoch", "c.words")
+    spark = plan.sparkSession
+    keys = ["position", "doc_id", *more, "epoch"]
+    ordered = written(copies.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
+                      .withColumn("s_id", F.monotonically_increasing_id()), "mix-schedule")
+    part = F.shiftright("s_id", _POS_BITS)
+    starts, at = [], 0
+    for r in sorted(ordered.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()):
+        starts.append((r["p"], at - (r["p"] << _POS_BITS)))
+        at += r["n"]
+    starts = spark.createDataFrame(starts, "s_part long, shift long")
+    return (ordered.join(F.broadcast(starts), part == F.col("s_part"))
+            .select((F.col("s_id") + F.col("shift")).alias("ordinal"), "position", *more, "doc_id", "source", "epoch", "words")
+            .orderBy("ordinal"))
+
+
+def mix_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
+    """``plan_mix`` with ``taken`` summed, and ``first_ordinal`` taken, from the schedule: one row per row of ``docs``.
+
+    A document that the schedule doesn't hold has taken 0 and first_ordinal null.  Edge cases as in ``plan_mix``.
+    """
+    rows = docs.select("doc_id", "source", "text").withColumn("m_row", F.monotonically_increasing_id())
+    plan = written(plan_mix(rows, seed, row="m_row", **options).drop("taken"), "mix-plan")
+    held = (schedule(plan, "m_row").groupBy(F.col("m_row").alias("h_row"))
+            .agg(F.sum("words").alias("words"), F.min("ordinal").alias("first_ordinal")))
+    return (plan.join(held, F.col("m_row") == F.col("h_row"), "left")
+            .select("doc_id", "source", "size", "source_size", "target", F.coalesce("words", F.lit(0).cast("long")).alias("taken"), "copies", "first_ordinal"))
 
 
 def mixed_rows(docs: DataFrame, seed: int = 17) -> DataFrame:

@@ -193,7 +193,7 @@ FROM n WINDOW g AS (PARTITION BY text_sha256)"""
 @query
 def op8_mixing(spark, d):
     """Words that the mix takes of every document."""
-    plan = mixing.plan_mix(table(spark, d, "documents"))
+    plan = mixing.mix_documents(table(spark, d, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken",
                        F.coalesce(F.get("copies", F.lit(0))["position"], F.lit(-1.0)).alias("first_position"))
 

@@ -328,6 +328,23 @@ def test_mix_targets_and_limits(docs, clashing, empty):
     assert mixing.plan_mix(empty).count() == 0
 
 
+def test_taken_comes_from_the_schedule(spark, docs, clashing, empty, monkeypatch):
+    """Ordinals number the copies in order of position; a range missing from the schedule is missing from what is taken."""
+    more = clashing.withColumns({c: F.lit("x") for c in ("m_row", "h_row", "words", "epoch", "ordinal", "s_id", "shift")})
+    got = mixing.mix_documents(more).collect()
+    key = lambda r: (str(r.doc_id), r["size"], str(r.source), r.taken)
+    assert sorted(map(key, got)) == sorted(map(key, mixing.plan_mix(docs).collect()))
+    plan = mixing.plan_mix(docs)
+    rows = sorted(mixing.schedule(plan).collect())
+    assert [r.ordinal for r in rows] == list(range(len(rows))) and [r.position for r in rows] == sorted(r.position for r in rows)
+    assert mixing.mix_documents(empty).count() == 0
+    whole = mixing.schedule
+    monkeypatch.setattr(mixing, "schedule", lambda plan, row: whole(plan, row).filter("position < 0.5"))
+    cut = mixing.mix_documents(docs).collect()
+    assert sum(r.taken for r in cut) < sum(r.taken for r in got)
+    assert all(r.taken == sum(c.words for c in r.copies if c.position < 0.5) for r in cut)
+
+
 def test_mixed_rows_tell_rows_of_one_id_apart(spark):
     """Different texts with a null or repeated doc_id, one source and one size: each has its own copies."""
     texts = [f"t{i} two three four" for i in range(40)]
