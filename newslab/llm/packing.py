@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslab.llm.common import text_or_empty
+from newslab.llm.common import giving_back, text_or_empty
 from newslab.llm.token_cache import id_encoder
 
 WINDOW = 2048
@@ -133,5 +133,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, ranks_path: str | None
         if held:
             place()
         yield from flush()
+        held, out = [], []
+        encode.cache.empty()
 
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(giving_back(run), PIECES)

@@ -35,6 +35,11 @@ class PieceCache(dict):
         self.first = first
         self.update(first)
 
+    def empty(self) -> None:
+        """Forget everything, as at the end of a task."""
+        self.clear()
+        self.first, self.size = {}, 0
+
     def __missing__(self, piece: str):
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Unsafe
@@ -102,5 +107,5 @@ class IdEncoder:
 
 @lru_cache(maxsize=4)
 def id_encoder(path: str, ranks_path: str | None = None, pattern: str | None = None) -> IdEncoder:
-    """One encoder per worker process and file, so that its cache outlives a task."""
+    """One encoder per worker process and file."""
     return IdEncoder(path, ranks_path, pattern)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newslab.llm.common import text_or_empty
+from newslab.llm.common import giving_back, text_or_empty
 from newslab.llm.token_cache import PieceCache, load_tokenizer, pieces
 
 LIMIT = 2048
@@ -89,5 +89,6 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, table: tuple[st
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),
                  pa.array([n > limit for n in n_tokens], pa.bool_())], schema=_SCHEMA)
+        cache.empty()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, COUNTS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(giving_back(run), COUNTS)
