@@ -84,7 +84,7 @@ def owned_chains(texts: DataFrame, depth: int, slots: list[int]) -> DataFrame:
     """
     thin = (texts.groupBy(F.spark_partition_id().alias("task"), "key", "norm")
             .agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
-    owners = max(slots, default=0) + 1
+    owners = min(max(slots, default=0) + 1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # or several buckets each
     dealt = (with_bucket(thin, "key", depth, slots).repartitionByRange(owners, "bucket", "key")
              .sortWithinPartitions("bucket", "key", "norm"))
     return (dealt.groupBy("bucket", "key", "norm").agg(F.min("low").alias("keep_id"), F.sum("n").alias("group_size"))
