@@ -169,7 +169,7 @@ def recent_from_store(spark: SparkSession, store: str, n: int = S.RECENT_ROWS, t
         take, days, step = days[:step], days[step:], 2 * step
         use += take
         rows += files.load_news_store(spark, store, take).count()
-    return recent(files.load_news_store(spark, store, use), n, ts, id_col)
+    return recent(files.load_news_store(spark, store, use or None), n, ts, id_col)
 
 
 def recent(df: DataFrame, n: int = S.RECENT_ROWS, ts: str = "created_at", id_col: str = "news_id") -> DataFrame:

@@ -77,11 +77,13 @@ def append_news(df: DataFrame, path: str, run: str, required: tuple[str, ...] =
 
 
 def load_news_store(spark: SparkSession, path: str, days: Sequence[str | None] | None = None) -> DataFrame:
-    """The valid rows of all runs; with ``days`` only of these partitions (None: rows without a time)."""
-    rows = spark.read.parquet(path).filter("valid = 1")
-    if days is not None:
-        rows = rows.filter(F.col("date").isin([d for d in days if d is not None]) | (F.col("date").isNull() if None in days else F.lit(False)))
-    return rows.drop("valid", "run")
+    """The valid rows of all runs; with ``days`` (one at least) only these partitions are listed and read (None: rows without
+    a time)."""
+    if days is None:
+        return spark.read.parquet(path).filter("valid = 1").drop("valid", "run")
+    parts = [f"{path}/run=*/valid=1/date={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in days]
+    rows = spark.read.option("basePath", path).parquet(*parts)
+    return rows.withColumn("date", F.col("date").cast("string").cast("date")).drop("valid", "run")
 
 
 def store_days(spark: SparkSession, path: str) -> list[str | None]:

@@ -29,8 +29,28 @@ def test_a_failing_fit_is_a_row(spark, monkeypatch):
     assert rows["good"].f1 >= 0 and rows["good"].error is None and rows["good"].seconds > 0
 
 
+def ridge(features, y):
+    """Predictor from X'X sums: features standardised by the pipeline (sample spread), then features and label again by the
+    regression (population spread), which penalises there."""
+    import numpy as np
+
+    mean, spread = features.mean(axis=0), features.std(axis=0, ddof=1)
+    scale = np.where(spread > 0, spread, 1)
+    z = (features - mean) / scale
+    inner = np.where(z.std(axis=0) > 0, z.std(axis=0), 1)
+    z = z / inner
+    w = np.linalg.solve(z.T @ z / len(y) + 0.1 / y.std() * np.eye(z.shape[1]), z.T @ (y - y.mean()) / len(y))
+    return lambda x: (x - mean) / scale / inner @ w + y.mean()
+
+
+def features_of(df):
+    from newslab.operators import search as G
+
+    rows = G.candidate_features(df).toPandas()
+    return rows["cand_key"].tolist(), rows[G.FEATURE_NAMES].to_numpy(float)
+
+
 def test_ridge_surrogate_equals_normal_equations(spark):
-    """Coefficients from X'X sums of the standardised features, as the regularised least squares of the library states."""
     import numpy as np
 
     from newslab.operators import ml
@@ -38,14 +58,39 @@ def test_ridge_surrogate_equals_normal_equations(spark):
     from newslab.plans import context as C
 
     t = C.trials(spark, SF01)
-    samples = G.candidate_features(G.valid_trials(t).select("cand_key", *G.GENE_COLS, "fitness")).toPandas()
-    x, y = samples[G.FEATURE_NAMES].to_numpy(float), samples["fitness"].to_numpy(float)
-    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)  # the pipeline's scaler
-    # The regression standardises features and label again (by their population spread) and penalises there.
-    z = z / z.std(axis=0)
-    w = np.linalg.solve(z.T @ z / len(y) + 0.1 / y.std() * np.eye(z.shape[1]), z.T @ (y - y.mean()) / len(y))
+    valid = G.valid_trials(t).select("cand_key", *G.GENE_COLS, "fitness")
+    keys, x = features_of(valid)
+    y = {r.cand_key: r.fitness for r in valid.collect()}
+    want = ridge(x, np.array([y[k] for k in keys]))(x)
     pred = {r.cand_key: r.predicted for r in ml.screen(ml.fit_surrogate(t, kind="ridge"), t.select("cand_key", *G.GENE_COLS)).collect()}
-    np.testing.assert_allclose([pred[k] for k in samples["cand_key"]], z @ w + y.mean(), rtol=1e-6)
+    np.testing.assert_allclose([pred[k] for k in keys], want, rtol=1e-6)
+
+
+def test_screened_generations_evaluate_the_best_predicted(spark):
+    """Generation by generation: the surrogate refitted by hand on the trials so far picks the candidates that were evaluated."""
+    import numpy as np
+
+    from newslab.operators import search as G
+    from newslab.operators.search_loop import run_search
+    from newslab.plans import context as C
+    from newslab.session import scratch_path
+
+    res = run_search(spark, C.vectors(spark, SF01, "proxy"), scratch_path(spark, "screened"), surrogate="ridge", parent_scope="history")
+    trials = spark.read.parquet(res.trials_path)
+    checked = 0
+    for gen in range(S.WARMUP_GENERATIONS + 1, res.generations_run + 1):
+        before = G.valid_trials(trials.filter(f"gen < {gen}")).select("cand_key", *G.GENE_COLS, "fitness")
+        keys, x = features_of(before)
+        y = {r.cand_key: r.fitness for r in before.collect()}
+        predict = ridge(x, np.array([y[k] for k in keys]))
+        pool, px = features_of(G.distinct_candidates(G.create_population(spark, S.SURROGATE_POOL, S.SEED, gen, tag="pool")).select("cand_key", *G.GENE_COLS))
+        ranked = sorted(zip(-predict(px), pool))
+        if ranked[S.SURROGATE_TOPK][0] - ranked[S.SURROGATE_TOPK - 1][0] < 1e-9:
+            continue  # a tie at the cut
+        best = {k for _, k in ranked[:S.SURROGATE_TOPK]}
+        assert {r.cand_key for r in trials.filter(f"gen = {gen}").collect()} == best - {r.cand_key for r in trials.filter(f"gen < {gen}").collect()}
+        checked += 1
+    assert checked
 
 
 def test_boosted_surrogate_fits_and_calibrates(spark):
