@@ -33,6 +33,8 @@ STACK_BYTES = 32 * 1024 * 1024
 #: once, at most.
 SLICE_BYTES, ENTRIES = 64 * 1024 * 1024, 200_000
 MAX_WIDTH = 1 << 18
+#: Rows that a task takes at least, as every task sends a gradient.
+TASK_ROWS = 400
 LENGTH = 8.0
 #: Passes that bound the curvature.
 ROUNDS = 4
@@ -184,9 +186,19 @@ def _slices(batch: pa.RecordBatch, lists: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(a, b - a)]) for c in batch.columns], names=batch.schema.names)
 
 
-def _summed(features: DataFrame, names: list[str], total: int, visit) -> np.ndarray:
-    """Sum over all tasks of a vector of length ``total`` that ``visit(out, batch)`` adds to."""
-    data = features.select(*names).coalesce(2 * features.sparkSession.sparkContext.defaultParallelism)  # a vector per task, not per file
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers for the wire; features that a task's rows don't have are zeros, which take little room."""
+    return pa.compress(values.tobytes(), codec="lz4_raw", asbytes=True)
+
+
+def _unpacked(part, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(part, decompressed_size=8 * size, codec="lz4_raw", asbytes=True))
+
+
+def _summed(features: DataFrame, names: list[str], total: int, visit, rows: int) -> np.ndarray:
+    """Sum over all tasks of a vector of length ``total`` that ``visit(out, batch)`` adds to; ``rows``: about the rows."""
+    most = 2 * features.sparkSession.sparkContext.defaultParallelism  # a vector per task, not per file
+    data = features.select(*names).coalesce(min(most, 1 + rows // TASK_ROWS))
     tasks = max(1, data.rdd.getNumPartitions())
     few = 8 * total * tasks <= SLICE_BYTES
     size = total if few else int(min(65_536, max(1024, SLICE_BYTES // (8 * tasks))))
@@ -197,28 +209,32 @@ def _summed(features: DataFrame, names: list[str], total: int, visit) -> np.ndar
             for batch in _slices(whole, 1):
                 visit(out, batch)
         cuts = range(0, total, size)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(cuts)), pa.int32()), pa.array([out[a:a + size].tobytes() for a in cuts], pa.binary())],
-                                         names=["slice", "part"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(cuts)), pa.int32()), pa.array([len(out[a:a + size]) for a in cuts], pa.int32()),
+                                          pa.array([_packed(out[a:a + size]) for a in cuts], pa.binary())], names=["slice", "n", "part"])
 
-    def add(group: pa.Table) -> pa.Table:
-        out = np.zeros(len(group.column("part")[0].as_buffer()) // 8)
+    def summed(group: pa.Table) -> np.ndarray:
+        out = np.zeros(group.column("n")[0].as_py())
         for part in group.column("part"):
-            out += np.frombuffer(part.as_buffer())
-        return pa.table({"slice": group.column("slice")[:1], "part": pa.array([out.tobytes()], pa.binary())})
+            out += _unpacked(part.as_buffer(), len(out))
+        return out
+
+    def add(group: pa.Table) -> pa.Table:
+        return pa.table({"slice": group.column("slice")[:1], "n": group.column("n")[:1], "part": pa.array([_packed(summed(group))], pa.binary())})
 
-    schema = "slice int, part binary"
+    schema = "slice int, n int, part binary"
     parts = data.mapInArrow(run, schema)
     if few:
-        return np.frombuffer(add(parts.toArrow())["part"][0].as_buffer())
-    rows = parts.groupBy("slice").applyInArrow(add, schema).collect()
-    return np.concatenate([np.frombuffer(r["part"]) for r in sorted(rows, key=lambda r: r["slice"])])
+        return summed(parts.toArrow())
+    found = parts.groupBy("slice").applyInArrow(add, schema).collect()
+    return np.concatenate([_unpacked(r["part"], r["n"]) for r in sorted(found, key=lambda r: r["slice"])])
 
 
 def _names(label: str, widths) -> list[str]:
     return [label, *[c for w in sorted(set(widths)) for c in _cols(w)]]
 
 
-def gradients(features: DataFrame, candidates: Sequence[Candidate], active: Sequence[int], stack: Stack, label: str) -> list[np.ndarray]:
+def gradients(features: DataFrame, candidates: Sequence[Candidate], active: Sequence[int], stack: Stack, label: str,
+              rows: int) -> list[np.ndarray]:
     """Sums over all rows of every active candidate's gradient of the log loss, at the weights it looks ahead to."""
     names = _names(label, [candidates[i].width for i in active])
     starts = np.concatenate(([0], np.cumsum([candidates[i].width + 1 for i in active]))) * CLASSES
@@ -232,13 +248,14 @@ def gradients(features: DataFrame, candidates: Sequence[Candidate], active: Sequ
         for members, row, ids, value in now.parts(batch, names):
             slots = [place[i] for i in members]
             away = _scores([ahead[k] for k in slots], row, ids, value, len(batch)) - np.eye(CLASSES)[y][:, None, :]
+            lines = np.ascontiguousarray(away.reshape(len(batch), -1).T)
             for j, k in enumerate(slots):
                 grad = out[starts[k]:starts[k + 1]].reshape(-1, CLASSES)
                 for c in range(CLASSES):
-                    grad[:-1, c] += np.bincount(ids, value * away[row, j, c], len(grad) - 1)
+                    grad[:-1, c] += np.bincount(ids, value * lines[CLASSES * j + c][row], len(grad) - 1)
                 grad[-1] += away[:, j].sum(axis=0)
 
-    flat = _summed(features, names, int(starts[-1]), visit)
+    flat = _summed(features, names, int(starts[-1]), visit, rows)
     sent.unpersist()
     return [flat[a:b].reshape(-1, CLASSES) for a, b in zip(starts[:-1], starts[1:])]
 
@@ -261,7 +278,7 @@ def curvatures(features: DataFrame, stack: Stack, rows: int, label: str) -> dict
                 sums[:-1] += np.bincount(ids, value * along[row], len(sums) - 1)
                 sums[-1] += along.sum()
 
-        new = _summed(features, names, int(starts[-1]), visit) / rows
+        new = _summed(features, names, int(starts[-1]), visit, rows) / rows
         sent.unpersist()
         for k, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
             there = new[a:b] > 0
@@ -303,7 +320,7 @@ def train(features: DataFrame, candidates: Sequence[Candidate], label: str = "la
         active = [i for i in group if candidates[i].max_iter > 0]
         while active:
             t0 = time.time()
-            found = gradients(features, candidates, active, stack, label)
+            found = gradients(features, candidates, active, stack, label, rows)
             done = {i for i, g in zip(active, found) if candidates[i].step(g / rows)}
             for i in active:
                 candidates[i].seconds += (time.time() - t0) / len(active)

@@ -80,9 +80,9 @@ def features(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("stack_bytes,entries,slices", [(1 << 25, 200_000, 1 << 26), (200_000, 50, 20_000)])
-def test_weights_and_scores_equal_dense_training(spark, features, monkeypatch, stack_bytes, entries, slices):
-    for name, value in (("STACK_BYTES", stack_bytes), ("ENTRIES", entries), ("SLICE_BYTES", slices)):
+@pytest.mark.parametrize("stack_bytes,entries,slices,task_rows", [(1 << 25, 200_000, 1 << 26, 1000), (200_000, 50, 20_000, 5)])
+def test_weights_and_scores_equal_dense_training(spark, features, monkeypatch, stack_bytes, entries, slices, task_rows):
+    for name, value in (("STACK_BYTES", stack_bytes), ("ENTRIES", entries), ("SLICE_BYTES", slices), ("TASK_ROWS", task_rows)):
         monkeypatch.setattr(K, name, value)
     train = features.filter("split = 'train'")
     rows, code = words(spark, train)
