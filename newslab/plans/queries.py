@@ -378,10 +378,16 @@ def json_posts_drift(spark, d):
     """S5 over listings of drifting shape: by conversation, titles that are numbers, no permalinks, children in an object,
     pages cut short."""
     conv = read_table(spark, d, "conversations").select("conv_id", "turn", "text")
-    feeds = I.feed_json(conv)
+    feeds = I.feed_json(conv).withColumn("j", F.from_json("json", S.JSON_FEED))
     kind = F.pmod("conv_id", F.lit(5))
-    drifted = (F.when(kind == 1, F.regexp_replace("json", '"title":"(?:[^"\\\\]|\\\\.)*"', '"title":12345678901234567'))
-               .when(kind == 2, F.regexp_replace("json", ',"permalink":"[^"]*"', ""))
+
+    def page(child):
+        """The page with every post replaced by ``child`` of its title and permalink."""
+        posts = F.transform("j.data.children", lambda c: F.struct(child(c["data"]).alias("data")))
+        return F.to_json(F.struct(F.struct(posts.alias("children")).alias("data")))
+
+    drifted = (F.when(kind == 1, page(lambda d: F.struct(F.lit(12345678901234567).alias("title"), d["permalink"].alias("permalink"))))
+               .when(kind == 2, page(lambda d: F.struct(d["title"].alias("title"))))
                .when(kind == 3, F.concat(F.lit('{"data":{"children":{"first":'), F.col("json"), F.lit("}}}")))
                .when(kind == 4, F.expr("left(json, length(json) - 3)")).otherwise(F.col("json")))
     return I.json_posts_of_any_shape(feeds.withColumn("json", drifted)).select("conv_id", "pos", "title", "url")
