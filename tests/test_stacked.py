@@ -140,3 +140,22 @@ def test_queries_give_the_metrics_of_the_scores(spark):
     assert len(news) == C.news(spark, SF001).count() and all(1 / 3 <= r.confidence <= 1 for r in news)
     cmp = {r.metric: r for r in REGISTRY["baseline_vs_tuned"](spark, SF001).collect()}
     assert set(cmp) == {"accuracy", "precision", "recall", "f1"} and all(r.delta == r.a - r.b for r in cmp.values())
+
+
+def test_candidates_on_one_path_are_computed_once(spark, monkeypatch):
+    words = ["a b c", "a c d", "b d", "c d a a", "b c", "a d"] * 3  # every word is in more than two rows
+    rows = spark.createDataFrame([(w, i % 3) for i, w in enumerate(words)], "clean_text string, label_id int")
+    made = [candidate("one", minDocFreq=1), candidate("long", minDocFreq=1, maxIter=30), candidate("stops", minDocFreq=1, tol=0.02),
+            candidate("rare", minDocFreq=2), candidate("other", minDocFreq=1, regParam=0.1)]
+    alone = [candidate(c.key, maxIter=c.max_iter, tol=c.tol, minDocFreq=c.min_df, regParam=c.reg) for c in made]
+    features = K.hashed_features(rows, [4096], ["label_id"])
+    for c in alone:
+        K.train(features, [c])
+    sizes, plain = [], K._summed
+    monkeypatch.setattr(K, "_summed", lambda f, names, total, *rest: sizes.append(total) or plain(f, names, total, *rest))
+    K.train(features, made)
+    path = 4097 * K.CLASSES
+    assert sizes == [4097] * K.ROUNDS + [2 * path] * 20 + [path] * 10  # two paths for five candidates, one group of rows
+    for c, own in zip(made, alone):
+        assert c.iterations == own.iterations
+        np.testing.assert_allclose(c.weights, own.weights, atol=1e-12)
