@@ -15,7 +15,8 @@ that no other document shares:
    strings on that side.
 4. length 50.  The strings that are left are ranked one by one.
 
-Each round pre-aggregates in the task before the shuffle and joins on keys whose hot values Spark may split.
+Each round pre-aggregates in the task before the shuffle and joins on keys whose hot values Spark may split.  Shared ranks
+are one row each and few beside the positions, so they are hashed in their partition and the positions are not sorted.
 """
 
 from __future__ import annotations
@@ -126,11 +127,13 @@ def blocks(texts: Iterator[bytes]) -> Iterator[tuple[list[int], list[int], Block
         yield index, offset, Block(parts)
 
 
-def runs_of(texts: list[bytes], zones: bool = True) -> tuple[np.ndarray, ...]:
-    """(text index, rank, zone, start in the text, number of strings, place) of every run in ``texts``."""
+def runs_of(texts: list[bytes], zones: bool = True, part: int = 0, parts: int = 1) -> tuple[np.ndarray, ...]:
+    """(text index, rank, zone, start in the text, number of strings, place) of every run in ``texts`` whose rank is in ``part``."""
     out = []
     for index, offset, block in blocks(iter(texts)):
         rank, first, count, place = block.chosen()
+        mine = np.flatnonzero(rank % np.uint64(parts) == part)
+        rank, first, count, place = rank[mine], first[mine], count[mine], place[mine]
         seg = block.segment_of(first)
         out.append((np.array(index)[seg], rank, block.zones(first, count) if zones else rank,
                     first - block.begins[seg] + np.array(offset)[seg], count, place))
@@ -147,9 +150,8 @@ def _first_ranks(part: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            index, rank, *_ = runs_of(_bytes_of(batch, 2), zones=False)
-            mine = rank % np.uint64(parts) == part
-            rank, doc = rank[mine], ids[index[mine]]
+            index, rank, *_ = runs_of(_bytes_of(batch, 2), False, part, parts)
+            doc = ids[index]
             order = np.argsort(rank, kind="stable")
             rank, doc = rank[order], doc[order]
             head = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1]))) if len(rank) else np.empty(0, np.int64)
@@ -164,12 +166,10 @@ def _all_runs(part: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, sums = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            index, rank, zone, start, count, place = runs_of(_bytes_of(batch, 2))
-            mine = rank % np.uint64(parts) == part
-            index = index[mine]
+            index, rank, zone, start, count, place = runs_of(_bytes_of(batch, 2), True, part, parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rank[mine].view(np.int64)), pa.array(zone[mine].view(np.int64)), pa.array(ids[index]), pa.array(sums[index]),
-                 pa.array((start << 12 | count << 6 | place)[mine])], names=["rank", "zone", "doc_id", "text_hash", "at"])
+                [pa.array(rank.view(np.int64)), pa.array(zone.view(np.int64)), pa.array(ids[index]), pa.array(sums[index]),
+                 pa.array(start << 12 | count << 6 | place)], names=["rank", "zone", "doc_id", "text_hash", "at"])
     return run
 
 
@@ -219,7 +219,7 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
                  .filter("several or low < high").select("rank"))
         shared = written(ranks, "repeats-ranks")
         parts.append(written(docs.mapInArrow(_all_runs(part, PASSES), "rank long, zone long, doc_id long, text_hash int, at long")
-                             .join(shared, "rank", "left_semi"), "repeats-runs"))
+                             .join(shared.hint("shuffle_hash"), "rank", "left_semi"), "repeats-runs"))
         discard(shared)
         runs = parts[0] if runs is None else runs.union(parts[-1])
 
@@ -244,14 +244,14 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
                     "repeats-sides")
     halves = (sides.groupBy(F.col("rank").alias("h_rank"), F.col("half").alias("h_half"))
               .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h_rank", "h_half"))
-    open_ = written(sides.join(halves, (F.col("rank") == F.col("h_rank")) & (F.col("half") == F.col("h_half")), "left_semi")
+    open_ = written(sides.join(halves.hint("shuffle_hash"), (F.col("rank") == F.col("h_rank")) & (F.col("half") == F.col("h_half")), "left_semi")
                     .select("half", "doc_id", "text_hash", "start", "strings"), "repeats-open")
     discard(sides)
     strings = (open_.select("half", "doc_id", "text_hash", "start", F.posexplode("strings").alias("i", "string"))
                .select("half", "string", "doc_id", "text_hash", (F.col("start") + F.col("i")).alias("start")))
     lowest = (strings.groupBy(F.col("half").alias("l_half"), F.col("string").alias("l_string"))
               .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").drop("high"))
-    single = written(strings.join(lowest, (F.col("half") == F.col("l_half")) & (F.col("string") == F.col("l_string")) & (F.col("doc_id") > F.col("low")))
+    single = written(strings.join(lowest.hint("shuffle_hash"), (F.col("half") == F.col("l_half")) & (F.col("string") == F.col("l_string")) & (F.col("doc_id") > F.col("low")))
                      .select("doc_id", "text_hash", "start", F.lit(1).cast("long").alias("n")), "repeats-single")
     discard(open_)
     return (judged.filter("repeated").select("doc_id", "text_hash", F.shiftright("at", 12).alias("start"),

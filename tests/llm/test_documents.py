@@ -169,6 +169,23 @@ def brute_repeats(rows, length=repeats.LENGTH):
     return Counter(out)
 
 
+def test_parts_of_runs_are_all_runs():
+    texts = [t.encode() for _, t, *_ in documents() if t] + [bytes(range(256)) * 3]
+    whole = Counter(zip(*(c.tolist() for c in repeats.runs_of(texts))))
+    parts = [Counter(zip(*(c.tolist() for c in repeats.runs_of(texts, True, k, 3)))) for k in range(3)]
+    assert sum(whole.values()) > 3 and sum(parts, Counter()) == whole
+    assert all(run[1] % 3 == k for k, part in enumerate(parts) for run in part)
+
+
+def test_positions_are_hashed_not_sorted_against_shared_ranks(spark, monkeypatch):
+    plans, write = [], repeats.written
+    monkeypatch.setattr(repeats, "written", lambda df, name: plans.append((name, df._jdf.queryExecution().executedPlan().toString())) or write(df, name))
+    text = "a passage of more than fifty bytes that two documents share, word for word"
+    repeats.remove_repeats(spark.createDataFrame([(1, text), (2, "x " + text)], "doc_id long, text string")).collect()
+    named = [(n, p) for n, p in plans if n in ("repeats-runs", "repeats-open", "repeats-single")]
+    assert len(named) == repeats.PASSES + 2 and all("ShuffledHashJoin" in p and "SortMergeJoin" not in p for _, p in named)
+
+
 def check_repeats(df, rows):
     got = repeats.remove_repeats(df).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(rows)
