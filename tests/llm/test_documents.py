@@ -1,12 +1,14 @@
 """Operators 4 to 10: brute force, held-out accuracy and defined results for edge cases."""
 
 import hashlib
+import pathlib
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,6 +214,64 @@ def test_repeats_equal_brute_force(spark, monkeypatch, block):
     check_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), rows)
 
 
+def test_stretches_equal_brute_force(spark):
+    rng = random.Random(4)
+    piece = lambda: rng.choice(["z", "y", "zy", "xyz"]) * rng.randint(1, 120) + rng.choice(["", "end", "abc def"])
+    rows = [(rng.randint(0, 40), "".join(piece() for _ in range(rng.randint(0, 4)))) for _ in range(60)]
+    check_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows)
+
+
+def test_equal_runs_in_a_row_are_one():
+    blanks = b" " * 100_000
+    _, _, _, start, count, _, _, times = repeats.runs_of([b"x" + blanks + b"y"])
+    assert len(start) < 200 and (count * times).sum() == len(blanks) + 2 - (repeats.LENGTH - 1)
+
+
+def test_disk_is_bounded_when_all_text_is_shared(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("abcdefghij klmnop", k=20_000)) for _ in range(60)]
+    live, most, write, drop = {}, [0], repeats.written, repeats.discard
+
+    def written(df, name):
+        out = write(df, name)
+        live[out.scratch] = sum(p.stat().st_size for p in pathlib.Path(out.scratch.removeprefix("file:")).rglob("*.parquet"))
+        most[0] = max(most[0], sum(live.values()))
+        return out
+
+    monkeypatch.setattr(repeats, "written", written)
+    monkeypatch.setattr(repeats, "discard", lambda *tables: [live.pop(t.scratch) for t in tables] and drop(*tables))
+    rows = [(i, t) for i, t in enumerate(texts * 2)]
+    got = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {i: 20_000 * (i >= 60) for i, _ in rows}
+    assert 0 < most[0] < 0.5 * sum(len(t) for _, t in rows)
+
+
+def test_ranks_met_twice_are_shared(monkeypatch):
+    monkeypatch.setattr(repeats, "PORTION", 300)
+    rng = random.Random(6)
+    passages = ["".join(rng.choices("abcdef ", k=rng.randint(50, 150))) for _ in range(20)]
+    rows = [(i, 0, "".join(rng.choices(passages, k=rng.randint(1, 3)))) for i in range(30)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("doc_id", "text_hash", "text"), r)) for r in rows[k:k + 7]]) for k in range(0, 30, 7)]
+    sent = pa.Table.from_batches(repeats._first_ranks(iter(batches))).sort_by("bucket").combine_chunks()
+    got = pa.Table.from_batches(repeats._shared_ranks(3)(sent.to_batches(max_chunksize=11)))
+    docs = defaultdict(set)
+    for i, _, text in rows:
+        for rank in repeats.runs_of([text.encode()], False)[1].tolist():
+            docs[rank].add(i)
+    ranks = got["rank"].to_numpy().view("uint64").tolist()
+    assert len(ranks) == len(set(ranks)) and set(ranks) == {r for r, d in docs.items() if len(d) > 1}
+    assert got["part"].to_pylist() == [r % 3 for r in ranks]
+
+
+def test_rows_of_a_key_stay_together(monkeypatch):
+    monkeypatch.setattr(repeats, "ROWS", 10)
+    keys = [k for k, n in enumerate([1, 3, 50, 2, 9, 10, 11, 1]) for _ in range(n)]
+    batches = [pa.RecordBatch.from_pydict({"key": keys[i:i + 4], "row": list(range(i, min(i + 4, len(keys))))}) for i in range(0, len(keys), 4)]
+    parts = list(repeats._together(iter(batches), 0))
+    assert [x for p in parts for x in p[1].tolist()] == list(range(len(keys))) and len(parts) > 3
+    assert all(a[0][-1] != b[0][0] for a, b in zip(parts, parts[1:]))
+
+
 # ------------------------------------------------------------------ 7
 
 
